@@ -10,7 +10,6 @@ from __future__ import annotations
 import hashlib
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -132,49 +131,37 @@ class Normaliser:
         return bytes(out), np.array([*source, end], np.int64)
 
 
+def piece_sizes(model: bytes) -> np.ndarray:
+    """Bytes of the normalised text that each piece stands for: 1 for a byte piece, -1 where only the text can say."""
+    sizes = []
+    for piece in (dict(message_fields(v)) for f, v in message_fields(model) if f == 1):
+        sizes.append({2: -1, 3: 0, 6: 1}.get(piece.get(3, 1), len(piece.get(1, b""))))
+    return np.array(sizes, np.int64)
+
+
 class Encoder:
     """One model in a task: ids, pieces, spans and back."""
 
-    def __init__(self, model: bytes) -> None:
+    def __init__(self, model: bytes, sizes: np.ndarray) -> None:
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.normalise = Normaliser(model)
-        pieces = [(dict(message_fields(v)).get(1, b""), dict(message_fields(v)).get(3, 1)) for f, v in message_fields(model) if f == 1]
-        # a byte piece stands for one byte of the normalised text; what an unknown piece stands for is left to the text
-        self.sizes = np.array([1 if kind == 6 else 0 if kind in (2, 3) else len(p) for p, kind in pieces], np.int64)
-        self.unknown = {i for i, (_, kind) in enumerate(pieces) if kind == 2}
-        self.digits = [str(i) for i in range(len(pieces))]
+        self.normalise, self.sizes = Normaliser(model), sizes
+        self.digits = [str(i) for i in range(len(sizes))]
 
     def spans(self, text: bytes, ids: np.ndarray) -> np.ndarray:
         """(n, 2) start and end of every piece in bytes of the original text; a piece of inserted space is empty."""
-        normal, source = self.normalise(text)
+        _, source = self.normalise(text)
         sizes = self.sizes[ids]
-        missing = len(normal) - int(sizes.sum())
-        if missing and len(ids):
-            gaps = np.flatnonzero(np.isin(ids, list(self.unknown)))
-            if len(gaps) != 1:
-                return self._from_library(text)
-            sizes[gaps] = missing
+        if (sizes < 0).any():  # unknown pieces are as long as the text they stand for
+            sizes = np.array([len(p.encode()) for p in self.library.encode(text.decode(), out_type=str)], np.int64)
         ends = np.cumsum(sizes)
         return np.stack([source[ends - sizes], source[ends]], 1)
 
-    def _from_library(self, text: bytes) -> np.ndarray:
-        """Models without byte pieces, texts with several unknown runs: the library says how long each was."""
-        normal, source = self.normalise(text)
-        sizes = [len(p.encode()) for p in self.library.encode(text.decode(), out_type=str)]
-        ends = np.minimum(np.cumsum(np.array(sizes, np.int64)), len(normal))
-        return np.stack([source[np.concatenate([[0], ends[:-1]])], source[ends]], 1)
-
-
-@lru_cache(maxsize=2)
-def _encoder(model: bytes) -> Encoder:
-    return Encoder(model)
-
 
 def _digests(model):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _encoder(model.value)
+        own = Encoder(*model.value)
         for b in batches:
             out: list[list] = [[], [], [], [], []]
             for raw in binary_texts(b.column("text")):
@@ -194,7 +181,7 @@ def _digests(model):
 
 def _pieces(model):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _encoder(model.value)
+        own = Encoder(*model.value)
         for b in batches:
             ids, spans, texts = [], [], []
             for raw in binary_texts(b.column("text")):
@@ -210,7 +197,8 @@ def _pieces(model):
 
 def _model(docs: DataFrame, model_path: str | None):
     with open(model_path or default_model(), "rb") as file:
-        return docs.sparkSession.sparkContext.broadcast(file.read())
+        model = file.read()
+    return docs.sparkSession.sparkContext.broadcast((model, piece_sizes(model)))
 
 
 def encode(docs: DataFrame, model_path: str | None = None, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -237,7 +225,7 @@ def decode(encoded: DataFrame, model_path: str | None = None) -> DataFrame:
     model = _model(encoded, model_path)
 
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _encoder(model.value)
+        own = Encoder(*model.value)
         for b in batches:
             texts = [own.library.decode(x or []) for x in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
