@@ -5,6 +5,7 @@ from __future__ import annotations
 from .decontaminate import op1_decontaminate
 from .jaccard_join import op9_jaccard_join
 from .line_dedup import op3_line_dedup
+from .lm_score import op7_lm_score
 from .pii import op8_pii
 from .quality_rank import op2_quality_rank
 from .quality_rules import op4_quality_rules
@@ -12,5 +13,5 @@ from .secret_scan import op10_secret_scan
 from .sentence_pieces import op6_sentence_pieces
 from .token_counts import op5_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rank, op3_line_dedup, op4_quality_rules, op5_token_counts, op6_sentence_pieces, op8_pii, op9_jaccard_join, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rank, op3_line_dedup, op4_quality_rules, op5_token_counts, op6_sentence_pieces, op7_lm_score, op8_pii, op9_jaccard_join, op10_secret_scan)}
 SQL: dict[str, str] = {}
