@@ -44,3 +44,19 @@ def binary_texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+
+
+#: Keys of rows (id and text hash, about 16 bytes) that are sent to all tasks at most; more are joined by a shuffle.
+BROADCAST_ROWS = 500_000
+
+
+def checked(small: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
+    """small, marked for broadcast if it has at most `bound` rows."""
+    return F.broadcast(small) if small.count() <= bound else small
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id (null equals null) and hash of text are among keys (doc_id, h)."""
+    keys = checked(cut(keys.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()))
+    match = docs["doc_id"].eqNullSafe(keys["_id"]) & (F.xxhash64(docs["text"].cast("string")) == keys["_h"])
+    return docs.join(keys, match, "left_anti")

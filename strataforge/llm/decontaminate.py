@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from .common import ALNUM_TABLE, binary_texts, cut, id_text, read_table
+from .common import ALNUM_TABLE, binary_texts, cut, id_text, read_table, without
 
 WINDOW = 10
 #: Lists that are intersected for each window: those of its rarest terms.
 RAREST = 2
 BLOCK_WINDOWS = 100_000
 
-_INDEX_SCHEMA = "row long, doc_id {id}, n_words long, postings array<struct<term:int,pos:int,near:binary>>"
+_INDEX_SCHEMA = "row long, doc_id {id}, h long, n_words long, postings array<struct<term:int,pos:int,near:binary>>"
 
 
 def split_words(text: bytes) -> list[bytes]:
@@ -89,8 +89,8 @@ def _indexer(vocabulary, wanted, n: int):
                 [pa.array(np.concatenate(terms)), pa.array(np.concatenate(places)), pa.array(nears, pa.binary())], names=["term", "pos", "near"]
             )
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), b.column("doc_id"), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(found, pa.int32()), postings)],
-                names=["row", "doc_id", "n_words", "postings"],
+                [b.column("row"), b.column("doc_id"), b.column("h"), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(found, pa.int32()), postings)],
+                names=["row", "doc_id", "h", "n_words", "postings"],
             )
 
     return index
@@ -129,14 +129,14 @@ def _block_matches(spark: SparkSession, rows: DataFrame, windows: list[list[str]
 def phrase_matches(
     docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, rarest: int = RAREST, block_windows: int = BLOCK_WINDOWS
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows of the documents (row, doc_id, n_words), and exact matches (row, start, size, item_id).
+    """Rows of the documents (row, doc_id, h: a hash of the text, n_words), and exact matches (row, start, size, item_id).
 
     docs needs id_col and text_col, items item_id and text; other columns are ignored. A null or empty text has no
     words and no match. Rows that repeat an id are separate rows. Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`
     after lower-casing A-Z. Ties between equally rare terms go to the earlier offset, which changes no result.
     """
     spark = docs.sparkSession
-    rows = id_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = id_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("h"), "text")
     windows = cut(test_windows(items.select("item_id", F.col("text").cast("string").alias("text")), n).withColumn("phrase", F.array_join("words", " ")))
     phrases = windows.select("words", "phrase").distinct()
     n_blocks = max(1, -(-phrases.count() // block_windows))
@@ -149,7 +149,7 @@ def phrase_matches(
         named = {tuple(w): np.array(s, "<i4").tobytes() for w, s in _as_ids(part)}
         keys = spark.createDataFrame([(bytearray(v), " ".join(k)) for k, v in named.items()], "phrase binary, words string")
         hits = hits.join(F.broadcast(keys), "phrase").select("row", "start", "size", F.col("words").alias("phrase"))
-        base = index.select("row", "doc_id", "n_words") if base is None else base
+        base = index.select("row", "doc_id", "h", "n_words") if base is None else base
         found = hits if found is None else found.unionByName(hits)
     return base, found.join(windows.select("item_id", "phrase"), "phrase").select("row", "start", "size", "item_id")
 
@@ -167,7 +167,7 @@ def proximity_matches(docs: DataFrame, items: DataFrame, *, slop: int = 5, id_co
     wide as the widest match. A term that the window has twice must be there twice.
     """
     spark = docs.sparkSession
-    rows = id_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = id_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("h"), "text")
     windows = test_windows(items.select("item_id", F.col("text").cast("string").alias("text")), n)
     lists = [(r.item_id, r.words) for r in windows.toLocalIterator()]
     reach = n + slop
@@ -205,7 +205,7 @@ def proximity_matches(docs: DataFrame, items: DataFrame, *, slop: int = 5, id_co
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """One row per row of docs: doc_id, n_words, n_hit, n_items, items (their ids as sorted strings), contaminated.
+    """One row per row of docs: doc_id, h (a hash of the text), n_words, n_hit, n_items, items (their ids as sorted strings), contaminated.
 
     n_hit counts the document words inside any occurrence of a window, each once. Without a match n_hit and n_items are
     0 and items is empty; so it is for every document when items is empty. An item without an id has matches that count
@@ -221,12 +221,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     listed = found.where("item_id is not null").select("row", F.col("item_id").cast("string").alias("item")).distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
     out = base.join(hit, "row", "left").join(listed, "row", "left")
     return out.select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+        "doc_id", "h", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
 
 
+def keep_clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """docs, with all its columns, without the rows in which a window of the test items occurs."""
+    bad = decontaminate(docs, items, **options).where("contaminated").select("doc_id", "h")
+    return without(docs, bad)
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return out.select(

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_texts, cut, id_text, read_table
+from .common import binary_texts, cut, id_text, read_table, without
 from .components import components
 from .shingles import Hasher, mix
 
@@ -50,6 +50,7 @@ def _classify(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, sketch, kind = Hasher(), np.zeros(SKETCH, np.int64), None
+        names = ["doc_id", "h", "cls", "n", "bucket", "seen"]
         for b in batches:
             ids, sizes = [], []
             pending = []
@@ -62,11 +63,11 @@ def _classify(words: int):
                 sketch += np.bincount(np.concatenate(pending), minlength=SKETCH)
             kind = b.column("doc_id").type
             none = pa.nulls(len(ids), pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), none, pa.nulls(len(ids), pa.int64())], names=["doc_id", "cls", "n", "bucket", "seen"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("h"), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), none, pa.nulls(len(ids), pa.int64())], names=names)
         if kind is not None:
             hot = np.flatnonzero(sketch > 2 * sketch.mean() + 8)
             empty = pa.nulls(len(hot), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), kind), empty, empty, pa.array(hot.astype(np.int32)), pa.array(sketch[hot])], names=["doc_id", "cls", "n", "bucket", "seen"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(hot), kind), empty, empty, empty, pa.array(hot.astype(np.int32)), pa.array(sketch[hot])], names=names)
 
     return run
 
@@ -150,8 +151,8 @@ def _verified(texts: DataFrame, pairs: DataFrame, words: int, percent: int, leve
     return both.where(100 * common >= percent * (F.size("a_tokens") + F.size("b_tokens") - common)).select("a", "b")
 
 
-def jaccard_components(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id.
+def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, h (a hash of the text), n_shingles, component_id, component (null for no words).
 
     The set of a document: its distinct runs of `words` words (A-Z lower-cased); with fewer words the whole sequence;
     without words or text the empty set, which is linked with nothing. Documents link when 100 * intersection size is
@@ -160,8 +161,8 @@ def jaccard_components(docs: DataFrame, *, words: int = WORDS, percent: int = PE
     """
     texts = id_text(docs, id_col, text_col)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    found = cut(texts.mapInArrow(_classify(words), f"doc_id {kind}, cls long, n long, bucket int, seen long"))
-    rows = found.where("bucket is null").select("doc_id", "cls", "n")
+    found = cut(texts.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(_classify(words), f"doc_id {kind}, h long, cls long, n long, bucket int, seen long"))
+    rows = found.where("bucket is null").select("doc_id", "h", "cls", "n")
     level = np.zeros(SKETCH, np.uint8)
     for r in found.where("bucket is not null").groupBy("bucket").agg(F.sum("seen").alias("seen")).toLocalIterator():
         level[r.bucket] = min(63, 1 + int(math.log2(r.seen)))
@@ -193,9 +194,22 @@ def jaccard_components(docs: DataFrame, *, words: int = WORDS, percent: int = PE
     least = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     named = least.join(label, "cls", "left").select("cls", "least", F.coalesce("component", "cls").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = named.join(smallest, "component").select("cls", "component_id")
-    return rows.join(by_class, "cls", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    by_class = named.join(smallest, "component").select("cls", "component_id", "component")
+    component_id = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return rows.join(by_class, "cls", "left").select("doc_id", "h", F.col("n").alias("n_shingles"), component_id.alias("component_id"), "component")
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """docs, with all its columns, with one row of each component: the smallest id (no id comes last), then the smallest
+    hash of the text. Rows without words all stay. Of rows that repeat both id and text one stays."""
+    found = cut(jaccard_classes(docs, **options).where("component is not null").select("doc_id", "h", "component"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("h").alias("h"))
+    best = found.groupBy("component").agg(F.min(rank).alias("best"))
+    out = without(docs, found.join(best, "component").where(~(rank.eqNullSafe(F.col("best")))))
+    repeated = found.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").join(best, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("h").alias("h")).eqNullSafe(F.col("best")))
+    return out.dropDuplicates(["doc_id", "text"]) if repeated.limit(1).count() else out
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+    out = jaccard_classes(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+    return out.select("doc_id", "n_shingles", "component_id")

@@ -19,13 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, id_text, read_table
+from .common import checked, cut, id_text, read_table
 from .shingles import Hasher, mix
 
 #: Shorter lines, in characters without outer white space, are never dropped.
 MIN_CHARS = 24
-#: Keys of documents (16 bytes each, with their line numbers) that are sent to all tasks at most.
-BROADCAST_ROWS = 500_000
 
 _BLANK = " \t\r\x0b\x0c"
 _KEY = ["a", "b"]
@@ -100,11 +98,6 @@ def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), l1)), pa.array(np.full(len(k), l2)), pa.array(k), pa.array(np.concatenate(places).astype(np.int32))], names=["l1", "l2", "key", "at"])
 
 
-def _checked(small: DataFrame, bound: int) -> DataFrame:
-    """small, marked for broadcast if it has at most `bound` rows; beyond that the join shuffles."""
-    return F.broadcast(small) if small.count() <= bound else small
-
-
 def duplicate_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b, dropped): the key of a document (see `_keyed`) and the numbers of its lines that an earlier line makes redundant.
 
@@ -123,7 +116,7 @@ def duplicate_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, id_col: str
 
     bits = cut(_near_bits(rows).join(first, ["l1", "l2"]))
     wanted = bits.select("l1", "l2", "same", "other", "first", F.col("first.a").alias("a"), F.col("first.b").alias("b"), F.col("first.line_no").alias("line_no"))
-    texts = keyed.select("a", "b", F.col("text")).join(_checked(wanted, BROADCAST_ROWS), _KEY)
+    texts = keyed.select("a", "b", F.col("text")).join(checked(wanted), _KEY)
     texts = texts.select("l1", "l2", "same", "other", "first", F.btrim(F.element_at(F.split("text", "\n"), F.col("line_no") + 1), F.lit(_BLANK)).alias("line"))
     texts = cut(texts.drop_duplicates(["l1", "l2"]))
     variants = texts.select("l1", "l2", "line", "same", "other").mapInArrow(_variants, "l1 long, l2 long, key long, at int").join(texts.select("l1", "l2", "first"), ["l1", "l2"])
@@ -158,11 +151,21 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, id_col: str = "d
     gone = cut(duplicate_lines(docs, min_chars=min_chars, id_col=id_col, text_col=text_col))
     packed = docs.select(F.struct(*[docs[c] for c in carry or [id_col]]).alias("_row"), docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     keys = (F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b"))
-    rows = packed.select("_row", F.col("text").alias("_text"), *keys).join(_checked(gone, BROADCAST_ROWS), _KEY, "left").select("_row", "_text", "dropped")
+    rows = packed.select("_row", F.col("text").alias("_text"), *keys).join(checked(gone), _KEY, "left").select("_row", "_text", "dropped")
     kind = rows.schema["_row"].dataType.simpleString()
     return rows.mapInArrow(_without, f"_row {kind}, _text string, n_lines long, n_dropped long")
 
 
+def drop_lines(docs: DataFrame, **options) -> DataFrame:
+    """docs, with its columns, without redundant lines (n_chars follows the text), and without the documents of which
+    no word is left; documents that had none before stay."""
+    out = dedup_lines(docs, carry=docs.columns, **options)
+    has_word = lambda c: F.coalesce(c.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    out = out.where(has_word(F.col("_text")) | ~has_word(F.col("_row.text")))
+    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    return out.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(read_table(spark, sf_dir, "documents"))
     digest = F.sha2(F.coalesce("_text", F.lit("")).cast("binary"), 256)
