@@ -1,0 +1,49 @@
+"""Tables as versioned parquet directories: each write makes a new version, a pointer file names the one that counts.
+
+Readers keep the version they opened. A write that fails leaves no trace but an unused directory. The pointer is a
+one-row text directory written through Spark, so any store that Spark reaches will do.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+
+    def _files(self):
+        jvm = self.spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(self.path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+    def version(self) -> int:
+        """The version that counts; 0 before the first write. Pointers are directories whose rename is the commit."""
+        files, path = self._files()
+        if not files.exists(path(self.path)):
+            return 0
+        names = [s.getPath().getName() for s in files.listStatus(path(self.path))]
+        return max([0, *(int(n.removeprefix("_done-")) for n in names if n.startswith("_done-"))])
+
+    def read(self) -> DataFrame:
+        at = self.version()
+        if not at:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v{at}")
+
+    def replace(self, make: Callable[[DataFrame], DataFrame], batch_id: int | None = None) -> int:
+        """Write make(current) as the next version. A batch_id that has been written before is skipped."""
+        files, path = self._files()
+        mark = None if batch_id is None else path(f"{self.path}/_batch-{batch_id}")
+        at = self.version()
+        if mark is not None and files.exists(mark):
+            return at
+        make(self.read()).select([f.name for f in self.schema]).write.mode("overwrite").parquet(f"{self.path}/v{at + 1}")
+        files.mkdirs(path(f"{self.path}/_done-{at + 1}"))
+        if mark is not None:
+            files.mkdirs(mark)
+        return at + 1
