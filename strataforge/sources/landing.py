@@ -15,7 +15,7 @@ BACKFILL_SOURCE = "Manual backfill"
 #: Share of bad rows, in percent, from which a whole file is rejected.
 REJECT_PERCENT = 10
 
-_CSV = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "enforceSchema": "true"}
+_CSV = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "enforceSchema": "true", "columnPruning": "false"}
 
 
 def csv_schema(table: str) -> T.StructType:
@@ -52,9 +52,11 @@ def numbered(rows: DataFrame) -> DataFrame:
 
 
 def file_report(rows: DataFrame, reject_percent: int = REJECT_PERCENT) -> DataFrame:
-    """file_name, parsed, rejected, first_error, accepted. Rows with too few or too many fields are errors."""
+    """file_name, parsed, keyed (rows with a first value), rejected, first_error, accepted. Rows with too few or too many
+    fields are errors."""
     bad = F.col("_bad").isNotNull()
-    out = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("parsed"), F.count_if(bad).alias("rejected"), F.min("_bad").alias("first_error"))
+    counts = [F.count(F.lit(1)).alias("parsed"), F.count(rows.columns[0]).alias("keyed"), F.count_if(bad).alias("rejected")]
+    out = rows.groupBy("file_name").agg(*counts, F.min("_bad").alias("first_error"))
     return out.withColumn("accepted", 100 * F.col("rejected") < reject_percent * F.col("parsed"))
 
 
@@ -64,9 +66,10 @@ def accepted_rows(rows: DataFrame, report: DataFrame) -> DataFrame:
     return rows.where(F.col("_bad").isNull()).join(good, "file_name", "left_semi").drop("_bad")
 
 
-def read_csv(spark: SparkSession, folder: str, table: str, source: str | None = None, loaded_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows with load columns of the accepted files, the report on all files)."""
-    raw = spark.read.schema(csv_schema(table)).options(**csv_options(table)).csv(folder)
+def read_csv(spark: SparkSession, folder: str, table: str, source: str | None = None, loaded_at: Column | None = None, pattern: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows with load columns of the accepted files, the report on all files). Files: the table's prefix, or a pattern."""
+    options = csv_options(table) | ({"pathGlobFilter": pattern} if pattern else {})
+    raw = spark.read.schema(csv_schema(table)).options(**options).csv(folder)
     rows = with_load_columns(raw, table, loaded_at, source)
     report = file_report(rows)
     return accepted_rows(numbered(rows), report), report

@@ -46,6 +46,20 @@ def validate_folder(spark, folder: str, prefixes: list[str]) -> None:
     validate_upload(listing(spark, folder), prefixes)
 
 
+def export(lake: Lake, rows: DataFrame, name: str) -> str:
+    """rows as one CSV file `name`.csv in the landing folder: written aside, then moved there whole."""
+    folder, to = lake.path("staging", name), lake.path("landing", f"{name}.csv")
+    unload_csv(rows, folder)
+    path = lake.spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(lake.spark._jsc.hadoopConfiguration())
+    part = next(s.getPath() for s in files.listStatus(path(folder)) if s.getPath().getName().startswith("part-"))
+    files.mkdirs(path(to).getParent())
+    files.delete(path(to), False)
+    files.rename(part, path(to))
+    files.delete(path(folder), True)
+    return to
+
+
 class Replay:
     """seed: the raw tables of all days. One `step` lands one day and moves on to the next older one."""
 
@@ -72,20 +86,7 @@ class Replay:
         """Export the rows of a day, as one CSV file in the landing folder."""
         ids = self.days.where(F.col("day") == F.lit(day)).select("match_id").distinct()
         rows = self.seed[table].join(ids, "match_id", "left_semi").select(RAW[table].names)
-        folder = self.lake.path("staging", f"{table}_{day:%Y%m%d}")
-        unload_csv(rows, folder)
-        return self._move(folder, self.lake.path("landing", f"{table}_{day:%Y%m%d}.csv"))
-
-    def _move(self, folder: str, to: str) -> str:
-        jvm = self.lake.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path
-        files = path(folder).getFileSystem(self.lake.spark._jsc.hadoopConfiguration())
-        part = next(s.getPath() for s in files.listStatus(path(folder)) if s.getPath().getName().startswith("part-"))
-        files.mkdirs(path(to).getParent())
-        files.delete(path(to), False)
-        files.rename(part, path(to))
-        files.delete(path(folder), True)
-        return to
+        return export(self.lake, rows, f"{table}_{day:%Y%m%d}")
 
     def advance(self) -> None:
         """To the next older day that has matches; past the oldest, to the day before it, which means exhausted."""
@@ -96,9 +97,7 @@ class Replay:
     def stage_reference(self) -> None:
         """Reference tables are landed once."""
         for table in set(RAW) - set(FACTS):
-            folder = self.lake.path("staging", table)
-            unload_csv(self.seed[table].select(RAW[table].names), folder)
-            self._move(folder, self.lake.path("landing", f"{table}.csv"))
+            export(self.lake, self.seed[table].select(RAW[table].names), table)
 
     def step(self) -> dt.date | None:
         """Load one day; None when there is none left."""
