@@ -57,7 +57,8 @@ def file_report(rows: DataFrame, reject_percent: int = REJECT_PERCENT) -> DataFr
     bad = F.col("_bad").isNotNull()
     counts = [F.count(F.lit(1)).alias("parsed"), F.count(rows.columns[0]).alias("keyed"), F.count_if(bad).alias("rejected")]
     out = rows.groupBy("file_name").agg(*counts, F.min("_bad").alias("first_error"))
-    return out.withColumn("accepted", 100 * F.col("rejected") < reject_percent * F.col("parsed"))
+    # keyed is never negative; naming it makes the scan read a real column, without which Spark refuses to tell bad rows
+    return out.withColumn("accepted", (100 * F.col("rejected") < reject_percent * F.col("parsed")) & (F.col("keyed") >= 0))
 
 
 def accepted_rows(rows: DataFrame, report: DataFrame) -> DataFrame:
