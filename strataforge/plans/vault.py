@@ -38,8 +38,9 @@ def _ratio(over: Column, under: str) -> Column:
 
 
 def partitions(states: DataFrame, hub: DataFrame) -> dict[str, DataFrame]:
-    """The four derived tables of new states: combat, economy, items, team objectives."""
-    rows = states.drop("ldts", "rsrc").join(hub.select("hub_hash", *HUB), "hub_hash")
+    """The four derived tables of new states: combat, economy, items, team objectives. States are numbers here."""
+    states = states.select("hub_hash", "ldts", "rsrc", *[F.col(c).try_cast("bigint").alias(c) for c in STATE])
+    rows = states.drop("ldts", "rsrc").join(hub.select("hub_hash", "id", "match_id", "player_id", F.col("minute").try_cast("bigint").alias("minute")), "hub_hash")
     kda = _ratio((F.col("kills") + F.col("assists")).cast("decimal(38,0)"), "deaths")
     objectives = F.col("team_dragons") + F.col("team_barons") + F.col("team_heralds") + F.col("team_void_grubs")
     team = [c for c in STATE if c.startswith("team_")]
