@@ -17,7 +17,7 @@ from .common import cut, id_text, read_table
 from .native import let, text_or_empty
 
 WINDOW = 8
-#: Documents on which costs and rejections are estimated: those with the smallest hash of their text.
+#: Documents, about, on which costs and rejections are estimated: an even share by hash of id and text.
 SAMPLE = 2000
 
 _SPACES = "[\\x20\\x09-\\x0D]+"
@@ -56,16 +56,17 @@ def n_repeat_words(words: Column, n: int = WINDOW) -> Column:
 
 
 def with_base(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, n_words and the four counts, base_failed; a null text is as an empty one."""
+    """doc_id, text, words, n_words and the four counts, base_failed; a null text is as an empty one."""
     rows = id_text(docs, id_col, text_col).withColumn("text", text_or_empty(F.col("text")))
-    counts = let(words_of(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), n_repeat_words(w).cast("long").alias("n_repeat_words")))
+    rows = rows.withColumn("words", words_of(F.col("text")))
+    counts = let(F.col("words"), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), n_repeat_words(w).cast("long").alias("n_repeat_words")))
     bare = F.translate("text", " \t\n\x0b\x0c\r", "")
     rows = rows.select(
-        "doc_id", "text", counts.alias("c"), F.length(bare).cast("long").alias("word_chars"),
+        "doc_id", "text", "words", counts.alias("c"), F.length(bare).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"), n_dup_lines(F.col("text")).cast("long").alias("n_dup_lines"),
     )
     failed = (F.col("c.n_words") < 20) | (100 * F.col("c.n_repeat_words") > 30 * F.col("c.n_words"))
-    return rows.select("doc_id", "text", "c.n_words", "word_chars", "n_symbols", "n_dup_lines", "c.n_repeat_words", failed.alias("base_failed"))
+    return rows.select("doc_id", "text", "words", "c.n_words", "word_chars", "n_symbols", "n_dup_lines", "c.n_repeat_words", failed.alias("base_failed"))
 
 
 def default_rules() -> list[Rule]:
@@ -74,11 +75,10 @@ def default_rules() -> list[Rule]:
     upper = F.length(F.col("text")) - F.length(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ", ""))
     marks = F.length(F.col("text")) - F.length(F.translate("text", "!?", ""))
     digits = F.length(F.col("text")) - F.length(F.translate("text", "0123456789", ""))
-    repeated = let(words_of(F.col("text")), lambda w: 100 * F.size(F.array_distinct(w)) < 20 * F.size(w))
-    twice = let(
-        words_of(F.col("text")),
-        lambda w: 100 * F.size(F.filter(F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w)), lambda a, b: a == b), lambda x: x)) > 15 * F.size(w),
-    )
+    repeated = 100 * F.size(F.array_distinct("words")) < 20 * words
+    w = F.col("words")
+    next_is_same = F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w)), lambda a, b: a == b)
+    twice = 100 * F.size(F.filter(next_is_same, lambda x: x)) > 15 * words
     return [
         Rule("symbols", 100 * F.col("n_symbols") > 10 * words),
         Rule("dup_lines", 2 * F.col("n_dup_lines") > F.size(F.split("text", "\n"))),
@@ -118,7 +118,9 @@ def quality_rules(docs: DataFrame, rules: list[Rule] | None = None, *, id_col: s
     """
     rules = default_rules() if rules is None else rules
     rows = with_base(docs, id_col=id_col, text_col=text_col)
-    picked = id_text(docs, id_col, text_col).orderBy(F.xxhash64("text"), "doc_id").limit(sample)
+    picked = id_text(docs, id_col, text_col)
+    share = min(1.0, sample / max(1, picked.count()))
+    picked = picked.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(1_000_000 * share))
     ordered = [r for r, _, _ in rule_order(with_base(picked), rules)]
     verdict = F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(ordered))
     out = rows.withColumn("failed_rule", verdict)
