@@ -94,12 +94,21 @@ def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     return rows.select("row", "doc_id", F.xxhash64("text").alias("h"), "found", near.alias("near"), entities.alias("entities"))
 
 
+def _over(pairs: DataFrame, n: int, share: float) -> DataFrame:
+    """Pairs (n_te, n_t, n_e) over the threshold among n texts, with pmi and ic."""
+    rows = pairs.withColumn("pmi", F.log2(F.col("n_te") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e")))).withColumn("ic", F.log2(F.lit(float(n)) / F.col("n_e")))
+    return rows.where((F.col("ic") > 0) & (F.col("pmi") >= share * F.col("ic")))
+
+
 def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, support: int = SUPPORT, text_col: str = "text") -> DataFrame:
     """(entity, term, pmi, ic, certain) of the terms over the threshold, from counts over all distinct texts."""
     n = found.agg(F.countDistinct("h").alias("n")).first()["n"]
     holds = found.select("h", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    both = found.select("h", F.explode("near").alias("x")).select("h", "x.entity", "x.term").distinct()
-    both = cut(both.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= support))
+    beside = cut(found.select("h", F.explode("near").alias("x")).select("h", "x.entity", "x.term").distinct())
+    # a term is in at least as many texts as it is beside any entity: pairs that fail with this count fail with the true one
+    least = beside.select("h", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    both = beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= support)
+    both = cut(_over(both.join(holds, "entity").join(least, "term"), n, share).select("entity", "term", "n_te", "n_e"))
     terms = cut(both.select("term").distinct())
     size = terms.count()
     if size:
@@ -109,9 +118,8 @@ def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, supp
         counts = words.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     else:
         counts = terms.select("term", F.lit(0).cast("long").alias("n_t"))
-    rows = both.join(counts, "term").join(holds, "entity")
-    rows = rows.withColumn("pmi", F.log2(F.col("n_te") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e")))).withColumn("ic", F.log2(F.lit(float(n)) / F.col("n_e")))
-    return rows.where((F.col("ic") > 0) & (F.col("pmi") >= share * F.col("ic"))).select("entity", "term", "pmi", "ic", (F.col("n_t") == F.col("n_te")).alias("certain"))
+    rows = _over(both.join(counts, "term"), n, share)
+    return rows.select("entity", "term", "pmi", "ic", (F.col("n_t") == F.col("n_te")).alias("certain"))
 
 
 def personal_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, support: int = SUPPORT) -> DataFrame:
