@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,10 +34,14 @@ def _null_word(column: Column) -> Column:
 
 
 def with_load_columns(rows: DataFrame, table: str, loaded_at: Column | None = None, source: str | None = None) -> DataFrame:
-    """Source columns, with the words '' and NULL as null, then ldts, file_name, rsrc and the flag of bad rows."""
+    """Source columns, with the words '' and NULL as null, then ldts, file_name, rsrc and the flag of bad rows.
+
+    The flag names a source column, though it does not depend on it: Spark refuses to read the flag alone.
+    """
+    bad = F.when(F.length(F.coalesce(F.col(RAW[table].names[0]), F.lit(""))) >= 0, F.col("_bad"))
     return rows.select(
         *[_null_word(F.col(c)).alias(c) for c in RAW[table].names], (F.localtimestamp() if loaded_at is None else loaded_at).alias("ldts"),
-        F.col("_metadata.file_path").alias("file_name"), F.lit(source or SOURCES[table]).alias("rsrc"), "_bad", F.col("_metadata.file_block_start").alias("_block"),
+        F.col("_metadata.file_path").alias("file_name"), F.lit(source or SOURCES[table]).alias("rsrc"), bad.alias("_bad"), F.col("_metadata.file_block_start").alias("_block"),
     )
 
 
@@ -52,13 +58,9 @@ def numbered(rows: DataFrame) -> DataFrame:
 
 
 def file_report(rows: DataFrame, reject_percent: int = REJECT_PERCENT) -> DataFrame:
-    """file_name, parsed, keyed (rows with a first value), rejected, first_error, accepted. Rows with too few or too many
-    fields are errors."""
-    bad = F.col("_bad").isNotNull()
-    counts = [F.count(F.lit(1)).alias("parsed"), F.count(rows.columns[0]).alias("keyed"), F.count_if(bad).alias("rejected")]
-    out = rows.groupBy("file_name").agg(*counts, F.min("_bad").alias("first_error"))
-    # keyed is never negative; naming it makes the scan read a real column, without which Spark refuses to tell bad rows
-    return out.withColumn("accepted", (100 * F.col("rejected") < reject_percent * F.col("parsed")) & (F.col("keyed") >= 0))
+    """file_name, parsed, rejected, first_error, accepted. Rows with too few or too many fields are errors."""
+    out = rows.groupBy("file_name").agg(F.count(F.lit(1)).alias("parsed"), F.count("_bad").alias("rejected"), F.min("_bad").alias("first_error"))
+    return out.withColumn("accepted", 100 * F.col("rejected") < reject_percent * F.col("parsed"))
 
 
 def accepted_rows(rows: DataFrame, report: DataFrame) -> DataFrame:
@@ -82,9 +84,11 @@ def load_errors(history: DataFrame, now: Column, days: int = 30) -> DataFrame:
 
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """path, size and time of files, without reading them."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(folder)
-    return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    """path, size and time of the files of a folder, empty ones too, without reading them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []
+    rows = [(f.getPath().toString(), f.getLen(), dt.datetime.fromtimestamp(f.getModificationTime() / 1000, dt.UTC)) for f in found if f.isFile()]
+    return spark.createDataFrame(rows, "path string, size long, modified timestamp")
 
 
 def count_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
