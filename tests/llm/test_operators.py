@@ -554,3 +554,10 @@ def test_text_ids(spark):
     df = spark.createDataFrame([("b", "one two three four five six"), ("a", "one two three four five six"), (None, "x")], T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("text", T.StringType())]))
     got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_classes(df).collect()}
     assert got == {"a": "a", "b": "a", None: None}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_same_as_sql(spark, data, name):
+    from ..oracle import compare, connect
+
+    compare(connect(data), QUERIES[name](spark, data), SQL[name])
