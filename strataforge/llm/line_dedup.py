@@ -5,9 +5,10 @@ both (substitution), or if one of them is left when a character is deleted from
 one-deletion variants as hashed keys, equal keys are joined, and what meets is verified by edit distance.
 
 Variants are many, so lines that can have no partner are first put aside, without losing any pair: an edit leaves the
-first or the last half of a line as it is, hence only lines that share a hashed half with another line go on. A key's
-group is never enumerated: each member is compared with the earliest member only, which is all that "keep the earliest"
-needs, because all members of a group are within one edit of each other.
+first or the last half of a line as it is, hence only lines that share a hashed half with another line go on; of these,
+only lines that share all but a short segment with another. A key's
+group is never enumerated: each member is compared with the earliest member of the other side only, which is all that
+"keep the earliest" needs, because all of them are within one edit of it.
 """
 
 from __future__ import annotations
@@ -29,15 +30,6 @@ _BLANK = " \t\r\x0b\x0c"
 _KEY = ["a", "b"]
 
 
-def _grid(n: int) -> list[int]:
-    """Lengths of halves: up to n, each about a quarter longer than the one before."""
-    out, g = [], 4
-    while g <= n:
-        out.append(g)
-        g = max(g + 2, g * 5 // 4)
-    return out
-
-
 def _keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and 128 bits of both as the document's key: rows that repeat id and text are the same document."""
     return docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b"))
@@ -50,52 +42,75 @@ def _lines(keyed: DataFrame, min_chars: int) -> DataFrame:
 
 
 def _halves(lines: DataFrame) -> DataFrame:
-    """A row for each half key of a line: first and last g characters, g on a grid so that lengths n and n + 1 meet."""
-    sizes = np.array(_grid(1 << 24))
-    upper = F.lit(int(sizes[0]))
-    # the largest grid value up to half of n; n - 1 may have the one below, and a partner of that length looks there
-    half = F.expr("filter(array({}), g -> g <= n div 2)".format(", ".join(map(str, sizes.tolist()))))
-    short = F.expr("filter(array({}), g -> g <= (n - 1) div 2)".format(", ".join(map(str, sizes.tolist()))))
-    grids = F.array_distinct(F.array(F.greatest(F.element_at(half, -1), upper), F.greatest(F.element_at(short, -1), upper)))
-    ends = lines.withColumn("g", F.explode(grids))
+    """A row for each half key of a line: its first and its last g characters.
+
+    g(n) is the largest 2^k or 3 * 2^(k-1) up to half of n, or half of n itself below 2. A line of n characters has keys
+    for g(n) and, where it differs, g(n - 1): so it meets lines of its own length and of one more or less.
+    """
+    size = lambda n: F.expr(
+        f"case when {n} < 4 then {n} div 2 when ({n} div 2) * 2 >= 3 * shiftleft(1, cast(floor(log2({n} div 2)) as int)) "
+        f"then (3 * shiftleft(1, cast(floor(log2({n} div 2)) as int))) div 2 else shiftleft(1, cast(floor(log2({n} div 2)) as int)) end"
+    )
+    both = lines.withColumn("g0", size("n")).withColumn("g1", size("(n - 1)"))
+    ends = both.withColumn("g", F.explode(F.when(F.col("g0") == F.col("g1"), F.array("g0")).otherwise(F.array("g0", "g1"))))
     start = F.xxhash64(F.lit(0), "g", F.expr("substring(line, 1, g)"))
     stop = F.xxhash64(F.lit(1), "g", F.expr("substring(line, -g, g)"))
     return ends.withColumn("half", F.explode(F.array(start, stop)))
 
 
-def _near_bits(rows: DataFrame) -> DataFrame:
-    """(l1, l2, same, other): lines with a partner of the same length, or of a length one off, in one of their groups."""
-    distinct = cut(rows.where("near").select("half", "n", "l1", "l2").distinct())
-    same = distinct.groupBy("half", "n").agg((F.min("l1") < F.max("l1")).alias("yes")).where("yes").select("half", "n")
-    paired = distinct.withColumn("pair", F.explode(F.array("n", F.col("n") - 1)))
-    other = paired.groupBy("half", "pair").agg((F.min("n") < F.max("n")).alias("yes")).where("yes").select("half", "pair")
-    a = distinct.join(same, ["half", "n"]).select("l1", "l2", F.lit(1).alias("same"), F.lit(0).alias("other"))
-    b = paired.join(other, ["half", "pair"]).select("l1", "l2", F.lit(0).alias("same"), F.lit(1).alias("other"))
-    return a.unionByName(b).groupBy("l1", "l2").agg(F.max("same").alias("same"), F.max("other").alias("other"))
+def _codes(line: str, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
+    """Mixed code points of a line, and the sums that give the hash of any stretch of it."""
+    codes = mix(np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64))
+    hasher.reach(len(codes))
+    return codes, np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * hasher.powers[: len(codes)], dtype=np.uint64)])
+
+
+def _segments(most: int):
+    """Keys of all but one segment of each line, for up to `most` segments: one edit leaves all segments but one.
+
+    For the shorter length m of two lines that differ by one edit, some segment i holds the edit: what stands before
+    it, and as much as stands behind it, are equal. So a line of n characters has keys for m = n and for m = n - 1.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for b in batches:
+            for l1, l2, line in zip(*(b.column(c).to_pylist() for c in ("l1", "l2", "line")), strict=True):
+                _, sums = _codes(line, hasher)
+                n, keys = len(sums) - 1, []
+                for m in (n, n - 1):
+                    count = min(most, max(4, m // 8))
+                    i, q = np.arange(count), m // count
+                    behind = np.where(i == count - 1, 0, m - (i + 1) * q)
+                    tail = hasher.between(sums, n - behind, np.full(count, n))
+                    keys.append(mix(mix(sums[i * q], 21) + mix(tail, 22) + mix(i.astype(np.uint64) + np.uint64(128 * m), 23)))
+                k = np.concatenate(keys).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), l1)), pa.array(np.full(len(k), l2)), pa.array(k)], names=["l1", "l2", "key"])
+
+    return run
+
+
+def _with_partner(texts: DataFrame, most: int) -> DataFrame:
+    """The lines that share all but one of their segments with another line."""
+    keys = cut(texts.select("l1", "l2", "line").mapInArrow(_segments(most), "l1 long, l2 long, key long"))
+    shared = keys.groupBy("key").agg(F.min("l1").alias("x"), F.max("l1").alias("y")).where("x < y").select("key")
+    return cut(texts.join(keys.join(shared, "key").select("l1", "l2").distinct(), ["l1", "l2"]))
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All one-deletion variants of each line as hashed keys: with the place for substitutions (at), without (-1)."""
+    """All one-deletion variants of each line as hashed keys: with the place for substitutions (at), without it (-1); and
+    the line itself (-2), which the variants of longer lines meet."""
     hasher = Hasher()
     for b in batches:
-        for l1, l2, line, same, other in zip(*(b.column(c).to_pylist() for c in ("l1", "l2", "line", "same", "other")), strict=True):
-            raw = np.frombuffer(line.encode("utf-32-le"), "<u4")
-            codes = mix(raw.astype(np.uint64))
+        for l1, l2, line in zip(*(b.column(c).to_pylist() for c in ("l1", "l2", "line")), strict=True):
+            codes, sums = _codes(line, hasher)
             n = len(codes)
-            if n >= len(hasher.powers):
-                hasher._grow(2 * n + 2)
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * hasher.powers[:n])])
             # what stands behind the deleted character moves one place to the front
             left = sums[:-1] + (sums[-1] - sums[1:]) * hasher.inverse[1]
-            keys, places = [], []
-            if same:
-                keys.append(mix(left + np.uint64(n), 3))
-                places.append(np.arange(n))
-            if other:
-                keys += [np.unique(mix(left, 5)), mix(sums[-1:], 5)]
-                places.append(np.full(len(keys[-2]) + 1, -1))
-            k = np.concatenate(keys).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), l1)), pa.array(np.full(len(k), l2)), pa.array(k), pa.array(np.concatenate(places).astype(np.int32))], names=["l1", "l2", "key", "at"])
+            shorter = np.unique(mix(left, 5))
+            k = np.concatenate([mix(left + np.uint64(n), 3), shorter, mix(sums[-1:], 5)]).astype(np.int64)
+            at = np.concatenate([np.arange(n), np.full(len(shorter), -1), [-2]]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), l1)), pa.array(np.full(len(k), l2)), pa.array(k), pa.array(at)], names=["l1", "l2", "key", "at"])
 
 
 def duplicate_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -114,14 +129,21 @@ def duplicate_lines(docs: DataFrame, *, min_chars: int = MIN_CHARS, id_col: str
     rows = cut(halves.select("half", "n", "l1", "l2", place.alias("place")).join(groups, "half").drop_duplicates(["half", "place"]))
     first = rows.groupBy("l1", "l2").agg(F.min("place").alias("first"))
 
-    bits = cut(_near_bits(rows).join(first, ["l1", "l2"]))
-    wanted = bits.select("l1", "l2", "same", "other", "first", F.col("first.a").alias("a"), F.col("first.b").alias("b"), F.col("first.line_no").alias("line_no"))
-    texts = keyed.select("a", "b", F.col("text")).join(checked(wanted), _KEY)
-    texts = texts.select("l1", "l2", "same", "other", "first", F.btrim(F.element_at(F.split("text", "\n"), F.col("line_no") + 1), F.lit(_BLANK)).alias("line"))
+    near = cut(rows.where("near").select("l1", "l2").distinct().join(first, ["l1", "l2"]))
+    wanted = near.select("l1", "l2", "first", F.col("first.a").alias("a"), F.col("first.b").alias("b"), F.col("first.line_no").alias("line_no"))
+    texts = keyed.select("a", "b", "text").join(checked(wanted), _KEY)
+    texts = texts.select("l1", "l2", "first", F.btrim(F.element_at(F.split("text", "\n"), F.col("line_no") + 1), F.lit(_BLANK)).alias("line"))
     texts = cut(texts.drop_duplicates(["l1", "l2"]))
-    variants = texts.select("l1", "l2", "line", "same", "other").mapInArrow(_variants, "l1 long, l2 long, key long, at int").join(texts.select("l1", "l2", "first"), ["l1", "l2"])
-    earliest = variants.groupBy("key", "at").agg(F.min(F.struct("first", "l1", "l2")).alias("e"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "at", "e")
-    met = variants.join(earliest, ["key", "at"]).where(F.col("e.first") < F.col("first")).select("l1", "l2", F.col("e.l1").alias("e1"), F.col("e.l2").alias("e2")).distinct()
+    for most in (4, 64):
+        texts = _with_partner(texts, most)
+    variants = texts.select("l1", "l2", "line").mapInArrow(_variants, "l1 long, l2 long, key long, at int").join(texts.select("l1", "l2", "first"), ["l1", "l2"])
+    variants = variants.withColumn("place", F.greatest("at", F.lit(-1)))
+    own = F.struct("first", "l1", "l2")
+    groups = variants.groupBy("key", "place").agg(F.min(F.when(F.col("at") > -2, own)).alias("variant"), F.min(F.when(F.col("at") == -2, own)).alias("whole"), F.count(F.lit(1)).alias("k"))
+    groups = groups.where("k > 1").select("key", "place", "variant", "whole")
+    # lines of one length meet in their variants; a variant of a longer line meets the whole shorter line, and it that
+    met = variants.join(groups, ["key", "place"]).withColumn("e", F.when(F.col("at") == -1, F.col("whole")).otherwise(F.col("variant")))
+    met = met.where(F.col("e.first") < F.col("first")).select("l1", "l2", F.col("e.l1").alias("e1"), F.col("e.l2").alias("e2")).distinct()
     other = texts.select(F.col("l1").alias("e1"), F.col("l2").alias("e2"), F.col("line").alias("e_line"), F.col("first").alias("e_first"))
     proven = met.join(texts.select("l1", "l2", "line"), ["l1", "l2"]).join(other, ["e1", "e2"]).where(F.levenshtein("line", "e_line", 1).between(0, 1))
     nearest = proven.groupBy("l1", "l2").agg(F.min("e_first").alias("near_first"))

@@ -34,10 +34,13 @@ class Hasher:
         inverse[0] = 1
         self.powers, self.inverse = np.cumprod(powers, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64)
 
+    def reach(self, n: int) -> None:
+        if n >= len(self.powers):
+            self._grow(2 * n + 2)
+
     def prefix(self, raw: np.ndarray) -> np.ndarray:
         """Sums up to each byte, from which `between` gets the hash of any stretch."""
-        if len(raw) >= len(self.powers):
-            self._grow(2 * len(raw) + 2)
+        self.reach(len(raw))
         out = np.zeros(len(raw) + 1, np.uint64)
         np.cumsum(_BYTES[raw] * self.powers[: len(raw)], out=out[1:])
         return out
@@ -52,13 +55,13 @@ class Hasher:
         start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
         return mix(self.between(self.prefix(raw), start, end))
 
-    def shingle_set(self, text: bytes, size: int) -> np.ndarray:
-        """Sorted distinct hashes of all runs of `size` words; of the whole sequence where it is shorter."""
-        words = self.words(text)
+    @staticmethod
+    def shingles(words: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of all runs of `size` words, in order; of the whole sequence where it is shorter; of none for no word."""
         if not len(words):
             return words
         n = min(size, len(words))
         total = np.full(len(words) - n + 1, n, np.uint64)
         for k in range(n):
             total += words[k : k + len(total)] * _PLACES[k % 64]
-        return np.unique(mix(total))
+        return mix(total)
