@@ -20,8 +20,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of one Arrow batch at most. Batches are counted in rows, and whole texts can be long.
+BATCH_ROWS = 1000
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only the id and the text, so that no extra column of the caller can clash with ours."""
+    """Only the id and the text, so that no extra column of the caller can clash with ours.
+
+    Lowers the session's Arrow batches to BATCH_ROWS if they are larger: tasks then hold a few MB of text at a time.
+    """
+    conf, name = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
 

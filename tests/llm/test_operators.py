@@ -436,9 +436,7 @@ def brute_components(rows, k, percent):
     return [(d, len(sets[i]), least.get(find(i)) if sets[i] else d) for i, (d, _) in enumerate(rows)]
 
 
-@pytest.mark.parametrize("group", [1, 16])
-def test_components_of_near_copies(spark, monkeypatch, group):
-    monkeypatch.setattr(jaccard_join, "GROUP", group)
+def test_components_of_near_copies(spark):
     draw = random.Random(2)
     vocabulary = [f"w{i}" for i in range(60)]
     base = [[draw.choice(vocabulary) for _ in range(n)] for n in (5, 30, 60, 90)]
