@@ -56,4 +56,72 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, edge.b FR
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least_of.b AS component_id FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) least_of ON least_of.a = d.doc_id
 """
 
-SQL = {"op1_decontaminate": OP1, "op3_line_dedup": OP3, "op4_quality_rules": OP4, "op9_jaccard_join": OP9}
+def _spans(name: str, source: str, column: str, pattern: str, keys: str = "doc_id") -> str:
+    """Common table `name` (keys, start, value): matches of a pattern, placed by the lengths of what split leaves between them."""
+    return f"""{name} AS (SELECT {keys}, value, CAST(list_sum(list_transform(gaps[1 : i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1 : i - 1], lambda h: length(h))), 0) AS BIGINT) AS start
+  FROM (SELECT {keys}, gaps, hits, i, hits[i] AS value FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT {keys}, string_split_regex({column}, '{pattern}') AS gaps, regexp_extract_all({column}, '{pattern}') AS hits FROM {source} WHERE regexp_matches({column}, '{pattern}')))))"""
+
+
+def _listed(columns: str, order: str) -> str:
+    return f"coalesce(string_agg(kind || ':' || CAST(start AS VARCHAR) || ':' || CAST(stop AS VARCHAR), ',' ORDER BY {order}){columns}, '')"
+
+
+# a quote in a SQL string is written twice
+_ASSIGN = "(?i:password|passwd|secret|token|api_?key)[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+
+OP10 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+{_spans("assign_", "d", "text", _ASSIGN)},
+{_spans("access_", "d", "text", "AKIA[A-Z0-9]{14,}")},
+{_spans("hex_", "d", "text", "[0-9a-f]{16,}")},
+{_spans("candidate", "d", "text", "[A-Za-z0-9+/_=-]{20,}")},
+base AS (SELECT doc_id, 0 AS k, 'assign' AS kind, start, start + length(value) AS stop FROM assign_ WHERE length(regexp_extract(value, '{_ASSIGN}', 1)) >= 12
+  UNION ALL SELECT doc_id, 1, 'access', start, start + length(value) FROM access_ UNION ALL SELECT doc_id, 2, 'hex', start, start + length(value) FROM hex_),
+mixed AS (SELECT *, regexp_matches(value, '^[0-9a-fA-F-]+$') AS is_hex FROM candidate WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+  AND NOT regexp_matches(value, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$') AND NOT regexp_matches(value, '(?i)example|sample|placeholder|dummy|xxxx|0000000')
+  AND NOT regexp_matches(value, '^(?:[A-Za-z]*[/_-]+|[0-9]{{1,4}}[/_-]+)*(?:[A-Za-z]*|[0-9]{{1,4}})$')),
+chars AS (SELECT doc_id, start, is_hex, pos, ch, count(*) AS c FROM (SELECT doc_id, start, is_hex, pos, unnest(string_split(substring(value, pos, 20), '')) AS ch FROM (SELECT *, unnest(range(1, length(value) - 18)) AS pos FROM mixed)) GROUP BY doc_id, start, is_hex, pos, ch),
+bits AS (SELECT doc_id, start, is_hex, pos, log2(20) - sum(c * log2(c)) / 20 AS h FROM chars GROUP BY doc_id, start, is_hex, pos),
+random_ AS (SELECT doc_id, start FROM bits GROUP BY doc_id, start, is_hex HAVING max(h) >= CASE WHEN is_hex THEN 3.0 ELSE 3.9 END),
+added AS (SELECT m.doc_id, 3 AS k, 'entropy' AS kind, m.start, m.start + length(m.value) AS stop FROM mixed m JOIN random_ r ON r.doc_id = m.doc_id AND r.start = m.start
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.start <= m.start AND b.stop >= m.start + length(m.value))),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM added),
+out AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS a, count(*) FILTER (WHERE k = 1) AS b, count(*) FILTER (WHERE k = 2) AS c, count(*) FILTER (WHERE k = 3) AS e,
+  {_listed(" FILTER (WHERE k < 3)", "start, k")} AS base_list, {_listed("", "start, k")} AS list FROM every GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base_list, '')) AS base_sha256, coalesce(list, '') AS spans, coalesce(e, 0) AS n_entropy
+FROM d LEFT JOIN out ON out.doc_id = d.doc_id
+"""
+
+_DIGITS = "regexp_replace({}, '[^0-9]', '', 'g')"
+_LUHN = "list_sum(list_transform(range(1, length(n) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(reverse(n)[i] AS INT) WHEN CAST(reverse(n)[i] AS INT) > 4 THEN 2 * CAST(reverse(n)[i] AS INT) - 9 ELSE 2 * CAST(reverse(n)[i] AS INT) END)) % 10 = 0"
+
+OP8 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS h FROM documents),
+{_spans("email_", "d", "text", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:[.][A-Za-z0-9-]+)+")},
+{_spans("ip_", "d", "text", "[0-9]+(?:[.][0-9]+){3}")},
+{_spans("card_", "d", "text", "[0-9](?:[ -]?[0-9])+")},
+{_spans("phone_", "d", "text", "[+][0-9][ ().0-9-]+[0-9]")},
+found AS (SELECT doc_id, 0 AS k, 'email' AS kind, start, value, lower(value) AS entity FROM email_
+  UNION ALL SELECT doc_id, 1, 'ip', start, value, value FROM ip_ WHERE len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR coalesce(TRY_CAST(ltrim(p, '0') AS BIGINT), 0) > 255)) = 0
+  UNION ALL SELECT doc_id, 2, 'card', start, value, n FROM (SELECT *, {_DIGITS.format("value")} AS n FROM card_) WHERE length(n) BETWEEN 13 AND 19 AND {_LUHN}
+  UNION ALL SELECT doc_id, 3, 'phone', start, value, n FROM (SELECT *, {_DIGITS.format("value")} AS n FROM phone_) WHERE length(n) BETWEEN 9 AND 15),
+side AS (SELECT f.doc_id, h, k || ':' || entity AS entity, greatest(start - 60, 0) AS off, start AS edge, TRUE AS before, substring(text, greatest(start - 60, 0) + 1, start - greatest(start - 60, 0)) AS part FROM found f JOIN d ON d.doc_id = f.doc_id
+  UNION ALL SELECT f.doc_id, h, k || ':' || entity, start + length(value), start + length(value), FALSE, substring(text, start + length(value) + 1, 60) FROM found f JOIN d ON d.doc_id = f.doc_id),
+{_spans("piece", "side", "part", "\\p{L}{4,}", "doc_id, h, entity, off, edge, before")},
+near AS (SELECT doc_id, h, entity, off + start AS start, off + start + length(value) AS stop, lower(value) AS term FROM piece
+  WHERE CASE WHEN before THEN (off + start > off OR off = 0) AND off + start + length(value) < edge ELSE start > 0 AND start + length(value) < 60 END),
+n AS (SELECT count(DISTINCT h) AS n FROM d),
+holds AS (SELECT entity, count(DISTINCT h) AS n_e FROM (SELECT h, k || ':' || entity AS entity FROM found f JOIN d ON d.doc_id = f.doc_id) GROUP BY entity),
+pair AS (SELECT entity, term, count(DISTINCT h) AS n_te FROM near GROUP BY entity, term HAVING count(DISTINCT h) >= 3),
+words AS (SELECT term, count(DISTINCT h) AS n_t FROM (SELECT h, unnest(list_distinct(regexp_extract_all(lower(text), '\\p{{L}}{{4,}}'))) AS term FROM d) WHERE term IN (SELECT term FROM pair) GROUP BY term),
+told AS (SELECT pair.entity, pair.term FROM pair JOIN words ON words.term = pair.term JOIN holds ON holds.entity = pair.entity CROSS JOIN n
+  WHERE n.n > n_e AND log2(n_te * CAST(n.n AS DOUBLE) / (n_t * n_e)) >= 0.9 * log2(CAST(n.n AS DOUBLE) / n_e)),
+every AS (SELECT doc_id, k, kind, start, start + length(value) AS stop FROM found
+  UNION ALL SELECT DISTINCT near.doc_id, 4, 'term', near.start, near.stop FROM near JOIN told ON told.entity = near.entity AND told.term = near.term),
+out AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS e, count(*) FILTER (WHERE k = 1) AS i, count(*) FILTER (WHERE k = 2) AS c, count(*) FILTER (WHERE k = 3) AS p, count(*) FILTER (WHERE k = 4) AS t,
+  {_listed(" FILTER (WHERE k < 4)", "k, start")} AS base_list, {_listed("", "k, start")} AS list FROM every GROUP BY doc_id)
+SELECT d.doc_id, coalesce(e, 0) AS n_email, coalesce(i, 0) AS n_ip, coalesce(c, 0) AS n_card, coalesce(p, 0) AS n_phone, sha256(coalesce(base_list, '')) AS base_sha256, coalesce(list, '') AS spans, coalesce(t, 0) AS n_term
+FROM d LEFT JOIN out ON out.doc_id = d.doc_id
+"""
+
+SQL = {"op1_decontaminate": OP1, "op3_line_dedup": OP3, "op4_quality_rules": OP4, "op8_pii": OP8, "op9_jaccard_join": OP9, "op10_secret_scan": OP10}
