@@ -149,6 +149,26 @@ MODELS = {
 }
 
 
+#: What columns mean that do not say it themselves; kept as comments of the columns.
+DESCRIPTIONS = {
+    "participant_pos_id": "Place at queue time: 1 to 5 blue, 6 to 10 red",
+    "unlogged_duration": "Seconds between the last snapshot and the end of the match",
+    "item_build": "Sorted names of the last items, copies included",
+    "rows_sampled": "Snapshots behind the averages",
+    "primary_lane_share": "Share of a champion's games in its most frequent lane",
+    "global_win_rate": "Wins per game of five minutes or more",
+    "global_ban_rate": "Share of matches in which a champion was banned, once a match",
+    "winning_gold_diff": "Gold difference of the winner; negative if it was behind",
+    "player_purchase_rate": "Copies bought per player of the champion; over 1 with copies",
+    "most_common_first_purchase_minute": "Most frequent minute in which the item is first seen",
+}
+
+
 def build(name: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """A model by name, its columns with their comments."""
     make, needs, _ = MODELS[name]
-    return make(*[tables[t] for t in needs])
+    out = make(*[tables[t] for t in needs])
+    for column in out.columns:
+        if column in DESCRIPTIONS:
+            out = out.withMetadata(column, {"comment": DESCRIPTIONS[column]})
+    return out

@@ -109,6 +109,10 @@ def test_duplicate_items_count_twice(spark):
     assert rows(gold.companions(items, ["champion"], ["basket"]), "item_id", "top_item_1") == [(1, "B")]
 
 
+def test_comments(models):
+    assert models["champion_overviews"].schema["global_ban_rate"].metadata["comment"].startswith("Share of matches")
+
+
 def test_diffs(models, silver):
     assert models["diff_intervals"].count() == silver["intervals"].count()
 
