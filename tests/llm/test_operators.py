@@ -360,6 +360,22 @@ def test_counts_cover_every_token(spark):
     assert seen == sum(len(WORDS.findall(t or "")) for _, t in EDGE)
 
 
+def test_every_word_is_predicted(spark):
+    """Words outside the frequent ones, of one class and beside the same words, score by their own counts."""
+    hasher, shapes = lm_score.Hasher(), {}
+    for i in range(1000):
+        word = "zq" + "".join(chr(97 + i // 26**k % 26) for k in range(4))
+        shapes.setdefault(int(lm_score.buckets_and_shapes(word.encode(), hasher)[1][0]), []).append(word)
+    known, odd = max(shapes.values(), key=len)[:2]
+    common = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(common)) for i in range(20)] + [(100 + i, f"w1 {known} w2") for i in range(8)] + [(200, f"w1 {odd} w2"), (201, None)]
+    for head in (0, 10, lm_score.HEAD_WORDS):
+        got = {r.doc_id: r.pseudo_log_likelihood for r in lm_score.pseudo_likelihood(docs(spark, rows), head_words=head).collect()}
+        assert got[100] - got[200] == pytest.approx(np.log(8)) and got[201] == 0
+    count = lambda rows: lm_score.vocabulary(docs(spark, rows)).agg(F.count("n"), F.sum("n")).first()
+    assert tuple(count(rows)) == (302, 20 * 300 + 9 * 3)
+
+
 # --- 8 --------------------------------------------------------------------------------------------------------------
 
 
