@@ -5,6 +5,9 @@ the term all but tells the entity: its pointwise mutual information with the ent
 information content. PMI(t, e) = log2(N n(t,e) / (n(t) n(e))) and IC(e) = log2(N / n(e)) over distinct texts; a term is
 over the disclosure threshold when PMI >= share * IC, with at least `support` texts that hold both. Where PMI reaches
 IC (no text has the term without the entity) the term is removed, else it is generalised.
+
+Terms are taken from the whole of each text that holds the entity. With whole=False they are taken from beside the
+entity only (REACH); `op8_pii` does so, as its SQL twin says, `op8_pii_whole` and `sanitise` take whole texts.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ CARD = "[0-9](?:[\\x20-]?[0-9])++"
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
 
-#: Characters before and after an entity that its terms are taken from.
+#: Characters before and after an entity that its terms are taken from, where not from the whole text.
 REACH = 60
 #: Terms: runs of letters of at least four.
 TERM = "\\p{L}{4,}"
@@ -79,9 +82,15 @@ def _beside(text: Column, found: Column) -> Column:
     return F.transform(found, near)
 
 
-def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _apart(text: Column, found: Column) -> Column:
+    """array<struct<start, end, term>>: the terms of the whole text that neither overlap nor touch a span."""
+    terms = F.filter(spans(text, TERM), lambda t: ~F.exists(found, lambda x: (x["start"] <= t["end"]) & (x["end"] >= t["start"])))
+    return F.transform(terms, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lower(t["value"]).alias("term")))
+
+
+def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", whole: bool = True) -> DataFrame:
     """One row per row of docs: row, doc_id, h (hash of the text), found: its spans (kind, start, end, value), near: the
-    terms beside entities (entity, start, end, term)."""
+    terms beside entities (entity, start, end, term), or, if whole, all terms of texts with entities (start, end, term)."""
     rows = id_text(docs, id_col, text_col).withColumn("text", text_or_empty(F.col("text")))
     rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
     marked = lambda i: lambda x: F.struct(F.lit(i).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"))
@@ -90,6 +99,8 @@ def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     named = lambda f: F.flatten(F.zip_with(f, _beside(F.col("text"), f), lambda x, near: let(entity(x), lambda e: F.transform(near, lambda t: F.struct(e.alias("entity"), t["start"].alias("start"), t["end"].alias("end"), t["value"].alias("term"))))))
     nothing = F.array().cast("array<struct<entity:string,start:bigint,end:bigint,term:string>>")
     near = F.when(F.size("found") > 0, named(F.col("found"))).otherwise(nothing)
+    if whole:
+        near = F.when(F.size("found") > 0, _apart(F.col("text"), F.col("found"))).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,term:string>>"))
     entities = F.array_distinct(F.transform("found", entity))
     return rows.select("row", "doc_id", F.xxhash64("text").alias("h"), "found", near.alias("near"), entities.alias("entities"))
 
@@ -100,11 +111,18 @@ def _over(pairs: DataFrame, n: int, share: float) -> DataFrame:
     return rows.where((F.col("ic") > 0) & (F.col("pmi") >= share * F.col("ic")))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, support: int = SUPPORT, text_col: str = "text") -> DataFrame:
+def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, support: int = SUPPORT, text_col: str = "text", whole: bool = True) -> DataFrame:
     """(entity, term, pmi, ic, certain) of the terms over the threshold, from counts over all distinct texts."""
     n = found.agg(F.countDistinct("h").alias("n")).first()["n"]
     holds = found.select("h", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    beside = cut(found.select("h", F.explode("near").alias("x")).select("h", "x.entity", "x.term").distinct())
+    if whole:
+        # a pair is in no more texts than its entity is
+        enough = holds.where(F.col("n_e") >= support).select("entity")
+        holders = found.select("h", F.explode("entities").alias("entity")).distinct().join(enough, "entity")
+        words = found.select("h", F.explode(F.array_distinct(F.transform("near", lambda t: t["term"]))).alias("term")).distinct()
+        beside = cut(holders.join(words, "h").select("h", "entity", "term"))
+    else:
+        beside = cut(found.select("h", F.explode("near").alias("x")).select("h", "x.entity", "x.term").distinct())
     # a term is in at least as many texts as it is beside any entity: pairs that fail with this count fail with the true one
     least = beside.select("h", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     both = beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= support)
@@ -122,17 +140,24 @@ def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, supp
     return rows.select("entity", "term", "pmi", "ic", (F.col("n_t") == F.col("n_te")).alias("certain"))
 
 
-def personal_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, support: int = SUPPORT) -> DataFrame:
+def personal_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, support: int = SUPPORT, whole: bool = True) -> DataFrame:
     """One row per row of docs: row, doc_id, found (spans of the fixed kinds: kind, start, end, value), terms (start, end, certain).
 
     Spans are in code points of the whole text, end exclusive. Matches are leftmost and do not overlap within a kind;
     those that fail a test are dropped without another try. Null and empty texts have no spans. Copies of a text count
     once in the corpus counts, so that a text that is often repeated discloses nothing by that. Terms are marked only
-    in documents that hold the entity, beside it.
+    in documents that hold the entity, wherever they stand; if not whole, only beside it. No other document has a
+    certain term.
     """
-    found = cut(detect(docs, id_col=id_col, text_col=text_col))
-    told = cut(disclosures(docs, found, share=share, support=support, text_col=text_col))
-    marks = found.select("row", F.explode("near").alias("x")).select("row", "x.entity", "x.term", "x.start", "x.end").join(told.select("entity", "term", "certain"), ["entity", "term"])
+    found = cut(detect(docs, id_col=id_col, text_col=text_col, whole=whole))
+    told = cut(disclosures(docs, found, share=share, support=support, text_col=text_col, whole=whole))
+    marks = found.select("row", F.explode("near").alias("x")).select("row", "x.*")
+    if whole:
+        # what each document is told by, before its words: few rows
+        here = found.select("row", F.explode("entities").alias("entity")).join(told, "entity").groupBy("row", "term").agg(F.max("certain").alias("certain"))
+        marks = marks.join(here, ["row", "term"])
+    else:
+        marks = marks.join(told.select("entity", "term", "certain"), ["entity", "term"])
     marks = marks.groupBy("row", "start", "end").agg(F.max("certain").alias("certain"))
     marks = marks.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "certain"))).alias("terms"))
     none = F.array().cast("array<struct<start:bigint,end:bigint,certain:boolean>>")
@@ -167,8 +192,7 @@ def _listed(found: Column) -> Column:
     return F.array_join(F.transform(F.array_sort(found), lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
-def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = personal_spans(read_table(spark, sf_dir, "documents"))
+def _counted(out: DataFrame) -> DataFrame:
     plain = lambda found: F.transform(found, lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     terms = F.transform("terms", lambda x: F.struct(F.lit(4).alias("kind"), x["start"].alias("start"), x["end"].alias("end")))
     of = lambda i: lambda x: x["kind"] == i
@@ -177,3 +201,11 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *counts, F.sha2(_listed(plain(F.col("found"))).cast("binary"), 256).alias("base_sha256"),
         _listed(F.concat(plain(F.col("found")), terms)).alias("spans"), F.size("terms").cast("long").alias("n_term"),
     )
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted(personal_spans(read_table(spark, sf_dir, "documents"), whole=False))
+
+
+def op8_pii_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted(personal_spans(read_table(spark, sf_dir, "documents")))

@@ -426,6 +426,17 @@ def test_disclosing_terms(spark):
     assert loose[0] == "note 0 mail [term] to [email] please" and loose[90] == "please zorblax" and loose[91] == ""
 
 
+def test_terms_anywhere_in_the_text(spark):
+    far = "so it is " * 20
+    rows = [(i, f"zorblax {i} {far} kim@example.org {far} Zorblax") for i in range(4)] + [(10 + i, f"plain text {i}") for i in range(40)]
+    got = {r.doc_id: r for r in pii.personal_spans(docs(spark, rows)).collect()}
+    for i in range(4):
+        assert [(rows[i][1][x.start : x.end], x.certain) for x in got[i].terms] == [("zorblax", True), ("Zorblax", True)]
+    assert not got[10].terms
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs(spark, rows)).collect()}
+    assert clean[0] == f" 0 {far} [email] {far} "
+
+
 # --- 9 --------------------------------------------------------------------------------------------------------------
 
 
