@@ -20,6 +20,9 @@ WINDOW = 8
 #: Documents, about, on which costs and rejections are estimated: an even share by hash of id and text.
 SAMPLE = 2000
 
+#: Words that the share of distinct words is taken over at most; a longer text is judged by the mean over its blocks.
+DISTINCT_BLOCK = 5000
+
 _SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -69,13 +72,23 @@ def with_base(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return rows.select("doc_id", "text", "words", "c.n_words", "word_chars", "n_symbols", "n_dup_lines", "c.n_repeat_words", failed.alias("base_failed"))
 
 
+def few_distinct(words: Column, percent: int, block: int = DISTINCT_BLOCK) -> Column:
+    """Whether less than percent of the words are distinct, in the mean over blocks of that many words. The last block
+    ends with the text and may overlap the one before; a text of one block at most is judged as it is."""
+
+    def in_blocks(w: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(w) - 1) / block).cast("int")), lambda i: F.slice(w, F.least(i * block, F.size(w) - block) + 1, F.lit(block)))
+        return let(F.transform(parts, lambda p: F.size(F.array_distinct(p))), lambda d: 100 * F.aggregate(d, F.lit(0).cast("long"), lambda acc, x: acc + x) < percent * block * F.size(d).cast("long"))
+
+    return F.when(F.size(words) <= block, 100 * F.size(F.array_distinct(words)) < percent * F.size(words)).otherwise(let(words, in_blocks))
+
+
 def default_rules() -> list[Rule]:
     """Rules over the columns of `with_base`; thresholds are shares of words or characters of the whole text."""
     chars, words = F.col("word_chars"), F.col("n_words")
     upper = F.length(F.col("text")) - F.length(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ", ""))
     marks = F.length(F.col("text")) - F.length(F.translate("text", "!?", ""))
     digits = F.length(F.col("text")) - F.length(F.translate("text", "0123456789", ""))
-    repeated = 100 * F.size(F.array_distinct("words")) < 20 * words
     w = F.col("words")
     next_is_same = F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w)), lambda a, b: a == b)
     twice = 100 * F.size(F.filter(next_is_same, lambda x: x)) > 15 * words
@@ -86,7 +99,7 @@ def default_rules() -> list[Rule]:
         Rule("upper_case", 100 * upper > 30 * chars),
         Rule("marks", 100 * marks > 10 * words),
         Rule("digits", 100 * digits > 25 * chars),
-        Rule("few_words", (words >= 50) & (words <= 5000) & repeated),
+        Rule("few_words", (words >= 50) & few_distinct(F.col("words"), 20)),
         Rule("stutter", (words >= 20) & twice),
     ]
 

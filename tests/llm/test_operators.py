@@ -210,6 +210,16 @@ def test_rules(spark, data):
     assert quality_rules.quality_rules(docs(spark, [])).count() == 0
 
 
+def test_few_words_at_every_length(spark):
+    draw = random.Random(8)
+    spam = lambda n: " ".join(f"word{draw.randrange(300)}" for _ in range(n))
+    prose = lambda n: " ".join(f"word{draw.randrange(5000)}" for _ in range(n))
+    rows = [(n, spam(n)) for n in (5000, 5001, 9999, 10_000, 12_345)] + [(-n, prose(n)) for n in (5000, 5001, 12_345)]
+    rule = next(r for r in quality_rules.default_rules() if r.name == "few_words")
+    got = {r.doc_id: (r.base_failed, r.v) for r in quality_rules.with_base(docs(spark, rows)).select("doc_id", "base_failed", rule.fails.alias("v")).collect()}
+    assert got == {i: (False, i > 0) for i, _ in rows}
+
+
 def test_cascade_order(spark):
     rows = quality_rules.with_base(docs(spark, [(i, "word " * 30 + "# " * i) for i in range(20)]))
     rules = [quality_rules.Rule("never", F.lit(False)), quality_rules.Rule("often", F.col("n_symbols") > 3)]
