@@ -17,54 +17,65 @@ ACCESS = "AKIA[A-Z0-9]{14,}"
 HEX = "[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
-#: Runs of characters that may hold a secret, and the alphabets that entropy is taken over: name, pattern of the whole
-#: run, alphabet, window in characters, least entropy in bits of some window.
-CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
+#: Characters of the window that entropy is taken over.
+WINDOW = 20
+#: Character classes: name, pattern of its runs, least entropy in bits of some window, what such a window must match.
+#: The last is the class's allow-list of plain things: a window of a base64 run needs a digit beside a letter twice, so
+#: paths, compounds of words, version numbers and dates are none.
+_BESIDE = "(?:[0-9][A-Za-z]|[A-Za-z][0-9])"
 CLASSES = (
-    ("hex", "^[0-9a-fA-F-]+$", "0123456789abcdefABCDEF-", 20, 3.0),
-    ("base64", "^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 20, 3.9),
+    ("hex", "[0-9A-Fa-f]{20,}", 3.0, "[0-9].*[A-Fa-f]|[A-Fa-f].*[0-9]"),
+    ("base36", "[0-9a-z]{20,}|[0-9A-Z]{20,}", 3.5, "[0-9].*[A-Za-z]|[A-Za-z].*[0-9]"),
+    ("base64", "[A-Za-z0-9+/_=-]{20,}", 3.9, f"{_BESIDE}.*{_BESIDE}"),
 )
-#: Candidates that are no secrets: UUIDs, digits with separators, paths and compounds of plain words, placeholders.
-ALLOW = (
-    "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", "^[0-9/_=+-]+$", "^[A-Za-z/_=+-]+$", "(?i)example|sample|placeholder|dummy|xxxx|0000000",
-    "^(?:[A-Za-z]*[/_-]+|[0-9]{1,4}[/_-]+)*(?:[A-Za-z]*|[0-9]{1,4})$",
-)
+#: Runs that are no secrets, whole; and what makes a single window none, so that a key beside a placeholder still counts.
+UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+PLACEHOLDER = "(?i)example|sample|placeholder|dummy|xxxx|0000000"
+#: Characters of a run that are looked at together; blocks overlap by a window less one, so that no window is missed.
+_BLOCK = 256
+#: c log2 c in millionths, for counts 0 to WINDOW.
+WEIGHTS = [round(1_000_000 * c * math.log2(c)) if c else 0 for c in range(WINDOW + 1)]
 
 
-def window_entropy(value: Column, alphabet: str, window: int) -> Column:
-    """The highest Shannon entropy, in bits, of `window` neighbouring characters; null for a shorter value.
+def least_sum(entropy: float) -> int:
+    """The highest sum of c log2 c, in millionths, that a window of at least this entropy has."""
+    return int(WINDOW * (math.log2(WINDOW) - entropy) * 1_000_000)
 
-    Counts per character move along: one goes up, one goes down, and with them the sum of c log2 c.
+
+def _count(window: Column, char: Column) -> Column:
+    return F.length(window) - F.length(F.replace(window, char, F.lit("")))
+
+
+def random_window(value: Column, entropy: float, needs: str) -> Column:
+    """Whether some window of value has at least this entropy, matches needs and holds no placeholder.
+
+    The window moves by a character: the count of the one that enters goes up, that of the one that leaves goes down,
+    and only these two change the sum of c log2 c. A value shorter than the window has none.
     """
-    weight = lambda c: F.when(c > 0, c * F.log2(c)).otherwise(F.lit(0.0))
-    codes = F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.instr(F.lit(alphabet), F.substr(value, i, F.lit(1))))
-    zero = F.struct(F.array_repeat(F.lit(0), len(alphabet) + 1).alias("n"), F.lit(0.0).alias("s"), F.lit(float("inf")).alias("best"))
-
-    def step(codes: Column):
-        def move(acc: Column, i: Column) -> Column:
-            new, old = F.get(codes, i), F.when(i >= window, F.get(codes, i - window)).otherwise(F.lit(-1))
-            up, down = F.get(acc["n"], new), F.when(old >= 0, F.get(acc["n"], old)).otherwise(F.lit(0))
-            moved = F.transform(acc["n"], lambda c, k: c + F.when(k == new, 1).otherwise(0) - F.when(k == old, 1).otherwise(0))
-            change = F.when(new == old, F.lit(0.0)).otherwise(weight(up + 1) - weight(up) + F.when(old >= 0, weight(down - 1) - weight(down)).otherwise(F.lit(0.0)))
-            total = acc["s"] + change
-            return F.struct(moved.alias("n"), total.alias("s"), F.when(i >= window - 1, F.least(acc["best"], total)).otherwise(acc["best"]).alias("best"))
+    gain = F.array(*[F.lit(0), *[F.lit(WEIGHTS[c] - WEIGHTS[c - 1]) for c in range(1, WINDOW + 1)]])
+    most, char = least_sum(entropy), lambda b, i: F.substr(b, i, F.lit(1))
+
+    def step(block: Column):
+        def move(acc: Column, i: Column) -> Column:  # i counts from 1
+            window = F.substr(block, F.greatest(i - (WINDOW - 1), F.lit(1)), F.least(i, F.lit(WINDOW)))
+            before = F.substr(block, i - WINDOW, F.lit(WINDOW))
+            lost = F.when(i > WINDOW, F.get(gain, _count(before, char(block, i - WINDOW)))).otherwise(F.lit(0))
+            total = acc["s"] + F.get(gain, _count(window, char(block, i))) - lost
+            odd = (i >= WINDOW) & (total <= most) & window.rlike(needs) & ~window.rlike(PLACEHOLDER)
+            return let(total, lambda t: F.struct(t.alias("s"), F.when(acc["hit"], F.lit(True)).otherwise(odd).alias("hit")))
 
         return move
 
-    best = lambda c: F.aggregate(F.sequence(F.lit(0), F.size(c) - 1), zero, step(c), lambda acc: acc["best"])
-    return F.when(F.length(value) >= window, math.log2(window) - let(codes, best) / window)
+    zero = F.struct(F.lit(0).alias("s"), F.lit(False).alias("hit"))
+    found = lambda b: F.aggregate(F.sequence(F.lit(1), F.length(b)), zero, step(b), lambda acc: acc["hit"])
+    parts = lambda a: F.transform(a, lambda b, i: F.concat(b, F.coalesce(F.substr(F.get(a, i + 1), F.lit(1), F.lit(WINDOW - 1)), F.lit(""))))
+    return let(F.regexp_extract_all(value, F.lit(f".{{1,{_BLOCK}}}"), F.lit(0)), lambda a: F.exists(parts(a), found))
 
 
-def is_random(value: Column) -> Column:
-    """Whether a candidate has, in the first class that it fits, a window of enough entropy and no allow-list entry."""
-    allowed = F.lit(False)
-    for pattern in ALLOW:
-        allowed = allowed | value.rlike(pattern)
-    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    out = F.lit(False)
-    for _, pattern, alphabet, window, least in reversed(CLASSES):
-        out = F.when(value.rlike(pattern), window_entropy(value, alphabet, window) >= least).otherwise(out)
-    return F.when(~mixed | allowed, F.lit(False)).otherwise(out)
+def random_spans(text: Column, pattern: str, entropy: float, needs: str) -> Column:
+    """The runs of a class that hold a random window and are no UUID."""
+    mixed = lambda v: v.rlike("[0-9]") & v.rlike("[A-Za-z]") & ~v.rlike(UUID)
+    return F.filter(spans(text, pattern), lambda x: F.when(mixed(x["value"]), random_window(x["value"], entropy, needs)).otherwise(F.lit(False)))
 
 
 def _kind(found: Column, kind: int) -> Column:
@@ -80,19 +91,24 @@ def secret_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """One row per row of docs: doc_id, assign, access, hex, entropy (arrays of start, kind, end), base and all, sorted.
 
     Spans are in code points of the whole text, end exclusive; an assignment's span is the whole match. Null and empty
-    texts have none. A random string inside a span of the fixed kinds is not named again. Matches are leftmost and do
-    not overlap within a kind; those that fail their length are dropped without another try.
+    texts have none; an empty table gives no rows, rows that repeat are scanned each, other columns are ignored. Matches
+    are leftmost and do not overlap within a kind; those that fail their length are dropped without another try. A
+    random run inside a span of the fixed kinds, or inside a random run of a wider class, is not named again.
     """
     rows = id_text(docs, id_col, text_col).withColumn("text", text_or_empty(F.col("text")))
     text, none = F.col("text"), F.array().cast("array<struct<start:bigint,end:bigint,value:string>>")
     sized = F.filter(spans(text, ASSIGN), lambda x: F.length(F.regexp_extract(x["value"], ASSIGN, 1)) >= 12)
+    likely = text.rlike("[0-9]") & text.rlike(CLASSES[-1][1])
     rows = rows.select(
         "doc_id", "text", F.when(text.rlike(ASSIGN), sized).otherwise(none).alias("assign"), F.when(F.contains(text, F.lit("AKIA")), spans(text, ACCESS)).otherwise(none).alias("access"),
-        F.when(text.rlike(HEX), spans(text, HEX)).otherwise(none).alias("hex"), F.when(text.rlike("[0-9]") & text.rlike(CANDIDATE), F.filter(spans(text, CANDIDATE), lambda x: is_random(x["value"]))).otherwise(none).alias("random"),
+        F.when(text.rlike(HEX), spans(text, HEX)).otherwise(none).alias("hex"),
+        F.when(likely, F.concat(*[random_spans(text, pattern, entropy, needs) for _, pattern, entropy, needs in CLASSES])).otherwise(none).alias("random"),
     )
     base = F.array_sort(F.concat(_kind(F.col("assign"), 0), _kind(F.col("access"), 1), _kind(F.col("hex"), 2)))
     inside = lambda x, b: F.exists(b, lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]))
-    rows = rows.withColumn("base", base).withColumn("entropy", F.filter(_kind(F.col("random"), 3), lambda x: ~inside(x, F.col("base"))))
+    wider = lambda x, b: F.exists(b, lambda y: (y["start"] <= x["start"]) & (y["end"] >= x["end"]) & (y["end"] - y["start"] > x["end"] - x["start"]))
+    rows = rows.withColumn("base", base).withColumn("random", F.array_distinct(_kind(F.col("random"), 3)))
+    rows = rows.withColumn("entropy", F.array_sort(F.filter("random", lambda x: ~inside(x, F.col("base")) & ~wider(x, F.col("random")))))
     return rows.select("doc_id", "assign", "access", "hex", "entropy", "base", F.array_sort(F.concat("base", "entropy")).alias("all"))
 
 

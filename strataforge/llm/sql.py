@@ -69,25 +69,30 @@ def _listed(columns: str, order: str) -> str:
 # a quote in a SQL string is written twice
 _ASSIGN = "(?i:password|passwd|secret|token|api_?key)[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
 
+# entropy of a window of 20 characters: c log2 c of each count, in millionths, summed; the limits are those of the classes
 OP10 = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 {_spans("assign_", "d", "text", _ASSIGN)},
 {_spans("access_", "d", "text", "AKIA[A-Z0-9]{14,}")},
 {_spans("hex_", "d", "text", "[0-9a-f]{16,}")},
-{_spans("candidate", "d", "text", "[A-Za-z0-9+/_=-]{20,}")},
+{_spans("any_hex", "d", "text", "[0-9A-Fa-f]{20,}")},
+{_spans("any_36", "d", "text", "[0-9a-z]{20,}|[0-9A-Z]{20,}")},
+{_spans("any_64", "d", "text", "[A-Za-z0-9+/_=-]{20,}")},
 base AS (SELECT doc_id, 0 AS k, 'assign' AS kind, start, start + length(value) AS stop FROM assign_ WHERE length(regexp_extract(value, '{_ASSIGN}', 1)) >= 12
   UNION ALL SELECT doc_id, 1, 'access', start, start + length(value) FROM access_ UNION ALL SELECT doc_id, 2, 'hex', start, start + length(value) FROM hex_),
-mixed AS (SELECT *, regexp_matches(value, '^[0-9a-fA-F-]+$') AS is_hex FROM candidate WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
-  AND NOT regexp_matches(value, '^[0-9a-fA-F]{{8}}(-[0-9a-fA-F]{{4}}){{3}}-[0-9a-fA-F]{{12}}$') AND NOT regexp_matches(value, '(?i)example|sample|placeholder|dummy|xxxx|0000000')
-  AND NOT regexp_matches(value, '^(?:[A-Za-z]*[/_-]+|[0-9]{{1,4}}[/_-]+)*(?:[A-Za-z]*|[0-9]{{1,4}})$')),
-chars AS (SELECT doc_id, start, is_hex, pos, ch, count(*) AS c FROM (SELECT doc_id, start, is_hex, pos, unnest(string_split(substring(value, pos, 20), '')) AS ch FROM (SELECT *, unnest(range(1, length(value) - 18)) AS pos FROM mixed)) GROUP BY doc_id, start, is_hex, pos, ch),
-bits AS (SELECT doc_id, start, is_hex, pos, log2(20) - sum(c * log2(c)) / 20 AS h FROM chars GROUP BY doc_id, start, is_hex, pos),
-random_ AS (SELECT doc_id, start FROM bits GROUP BY doc_id, start, is_hex HAVING max(h) >= CASE WHEN is_hex THEN 3.0 ELSE 3.9 END),
-added AS (SELECT m.doc_id, 3 AS k, 'entropy' AS kind, m.start, m.start + length(m.value) AS stop FROM mixed m JOIN random_ r ON r.doc_id = m.doc_id AND r.start = m.start
-  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = m.doc_id AND b.start <= m.start AND b.stop >= m.start + length(m.value))),
+runs AS (SELECT * FROM (SELECT *, 3.0 AS least, '[0-9].*[A-Fa-f]|[A-Fa-f].*[0-9]' AS needs FROM any_hex UNION ALL SELECT *, 3.5, '[0-9].*[A-Za-z]|[A-Za-z].*[0-9]' FROM any_36
+    UNION ALL SELECT *, 3.9, '(?:[0-9][A-Za-z]|[A-Za-z][0-9]).*(?:[0-9][A-Za-z]|[A-Za-z][0-9])' FROM any_64)
+  WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND NOT regexp_matches(value, '^[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}$')),
+win AS (SELECT doc_id, start, value, least, needs, pos, substring(value, pos, 20) AS w FROM (SELECT *, unnest(range(1, length(value) - 18)) AS pos FROM runs)),
+chars AS (SELECT doc_id, start, least, needs, value, pos, w, ch, count(*) AS c FROM (SELECT *, unnest(string_split(w, '')) AS ch FROM win) GROUP BY ALL),
+random_ AS (SELECT DISTINCT doc_id, start, start + length(value) AS stop FROM (SELECT doc_id, start, least, needs, value, pos, w, sum(CAST(round(1000000 * c * log2(c)) AS BIGINT)) AS s FROM chars GROUP BY ALL)
+  WHERE s <= floor(20 * (log2(20) - least) * 1000000) AND regexp_matches(w, needs) AND NOT regexp_matches(w, '(?i)example|sample|placeholder|dummy|xxxx|0000000')),
+added AS (SELECT doc_id, 3 AS k, 'entropy' AS kind, start, stop FROM random_ r
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = r.doc_id AND b.start <= r.start AND b.stop >= r.stop)
+    AND NOT EXISTS (SELECT 1 FROM random_ o WHERE o.doc_id = r.doc_id AND o.start <= r.start AND o.stop >= r.stop AND o.stop - o.start > r.stop - r.start)),
 every AS (SELECT * FROM base UNION ALL SELECT * FROM added),
 out AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS a, count(*) FILTER (WHERE k = 1) AS b, count(*) FILTER (WHERE k = 2) AS c, count(*) FILTER (WHERE k = 3) AS e,
-  {_listed(" FILTER (WHERE k < 3)", "start, k")} AS base_list, {_listed("", "start, k")} AS list FROM every GROUP BY doc_id)
+  {_listed(" FILTER (WHERE k < 3)", "start, k")} AS base_list, {_listed("", "start, k, stop")} AS list FROM every GROUP BY doc_id)
 SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base_list, '')) AS base_sha256, coalesce(list, '') AS spans, coalesce(e, 0) AS n_entropy
 FROM d LEFT JOIN out ON out.doc_id = d.doc_id
 """

@@ -552,17 +552,33 @@ def test_secret_query(spark, data):
 
 
 def test_entropy(spark):
-    def brute(value, window=20):
-        parts = [Counter(value[i : i + window]) for i in range(len(value) - window + 1)]
-        return max(-sum(c / window * np.log2(c / window) for c in p.values()) for p in parts)
+    def brute(value, entropy, needs):
+        parts = [value[i : i + 20] for i in range(len(value) - 19)]
+        bits = lambda p: -sum(c / 20 * np.log2(c / 20) for c in Counter(p).values())
+        return any(bits(p) >= entropy - 1e-9 and re.search(needs, p) and not re.search(secret_scan.PLACEHOLDER, p) for p in parts)
 
     draw = random.Random(7)
-    values = ["".join(draw.choice("abcDEF0123+/=") for _ in range(n)) for n in (20, 21, 64, 300)] + ["a" * 30, "a" * 19 + "bcdefghijklmnop"]
-    _, _, alphabet, window, _ = secret_scan.CLASSES[1]
-    got = spark.createDataFrame([(v,) for v in values], "v string").select("v", secret_scan.window_entropy(F.col("v"), alphabet, window).alias("h")).collect()
-    assert all(r.h == pytest.approx(brute(r.v)) for r in got)
-    texts = [(1, "key kJ8s0dPq2LmZx7Vb4Nt9 end"), (2, "id 123e4567-e89b-12d3-a456-426614174000"), (3, "some-long-compound-words-joined/with/slashes"), (4, "AbCdExample0123456789xyz"), (5, "1111111111111111111111111a")]
-    assert {r.doc_id: len(r.entropy) for r in secret_scan.secret_spans(docs(spark, texts)).collect()} == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0}
+    values = ["".join(draw.choice(a) for _ in range(n)) for n in (20, 21, 64, 300, 513) for a in ("abcDEF0123+/=", "ab1", "0123456789ABCDEF", "abcdefghijklmnopqrstuvwxyz0123456789", "aB3xYz9Kq/example_-") for _ in range(4)] + ["a" * 30, "a" * 19 + "bcdefghijklmnop", "a1b2"]
+    values += ["a" * (255 - k) + "kJ8s0dPq2LmZx7Vb4Nt9" + "a" * 300 for k in range(0, 24, 3)]
+    for _, _, entropy, needs in secret_scan.CLASSES:
+        got = spark.createDataFrame([(v,) for v in values], "v string").select("v", secret_scan.random_window(F.col("v"), entropy, needs).alias("h")).collect()
+        assert {r.v: r.h for r in got} == {v: bool(brute(v, entropy, needs)) for v in values}
+    texts = [
+        (1, "key kJ8s0dPq2LmZx7Vb4Nt9 end"), (2, "id 123e4567-e89b-12d3-a456-426614174000"), (3, "some-long-compound-words-joined/with/slashes"), (4, "AbCdExample0123456789xyz"), (5, "1111111111111111111111111a"),
+        (6, "KEY_0A7F3C9E15B8D2640F9A"), (7, "api/example/kJ8s0dPq2LmZx7Vb4Nt9"), (8, "x q7w3e9r2t5y8u1i4o6p0a z"), (9, "api/v1/users/profile/settings/2024-01-02"),
+    ]
+    got = {r.doc_id: r.entropy for r in secret_scan.secret_spans(docs(spark, texts)).collect()}
+    assert {i: len(e) for i, e in got.items()} == {1: 1, 2: 0, 3: 0, 4: 0, 5: 0, 6: 1, 7: 1, 8: 1, 9: 0}
+    assert (got[6][0].start, got[6][0].end) == (0, 24) and (got[7][0].start, got[7][0].end) == (0, 32)
+
+
+def test_long_candidates(spark):
+    """Long paths, dashes and blobs: no recursion in the patterns, no quadratic time."""
+    draw = random.Random(9)
+    blob = "".join(draw.choice("ABCDEFabcdef0123456789+/") for _ in range(100_000))
+    texts = [(1, "a/" * 50_000 + "a12345b"), (2, "-" * 100_000), (3, blob), (4, "a-1_" * 30_000), (5, "token=" * 20_000), (6, "0" * 100_000 + "a")]
+    got = {r.doc_id: len(r.entropy) for r in secret_scan.secret_spans(docs(spark, texts)).collect()}
+    assert got[1] == got[2] == got[4] == got[6] == 0 and got[3] == 1
 
 
 # --- all ------------------------------------------------------------------------------------------------------------
