@@ -1,13 +1,13 @@
 """Personal data: fixed patterns, and terms that give a protected entity away, on built-in functions only.
 
-Entities are the values that the patterns find. A term beside an entity discloses it when the corpus says that seeing
-the term all but tells the entity: its pointwise mutual information with the entity comes close to the entity's own
-information content. PMI(t, e) = log2(N n(t,e) / (n(t) n(e))) and IC(e) = log2(N / n(e)) over distinct texts; a term is
-over the disclosure threshold when PMI >= share * IC, with at least `support` texts that hold both. Where PMI reaches
-IC (no text has the term without the entity) the term is removed, else it is generalised.
-
-Terms are taken from the whole of each text that holds the entity. With whole=False they are taken from beside the
-entity only (REACH); `op8_pii` does so, as its SQL twin says, `op8_pii_whole` and `sanitise` take whole texts.
+Entities are the values that the patterns find. A term discloses an entity when the corpus says that seeing the term
+all but tells the entity: its pointwise mutual information with the entity comes close to the entity's own information
+content. PMI(t, e) = log2(N n(t,e) / (n(t) n(e))) and IC(e) = log2(N / n(e)) over distinct texts; a term is over the
+disclosure threshold when PMI >= share * IC, with at least `support` texts that hold both. Where PMI reaches IC (no text
+has the term without the entity) the term is removed, else it is generalised.
+
+Terms are counted over whole texts, and marked wherever they stand, in texts without the entity too: there they tell
+what the text itself does not name.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, id_text, read_table
+from .common import checked, cut, id_text, read_table
 from .native import let, spans, text_or_empty
 
 # The patterns of the contract. Possessive repeats and the look-behind keep long runs linear in time;
@@ -26,10 +26,8 @@ CARD = "[0-9](?:[\\x20-]?[0-9])++"
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
 
-#: Characters before and after an entity that its terms are taken from, where not from the whole text.
-REACH = 60
-#: Terms: runs of letters of at least four.
-TERM = "\\p{L}{4,}"
+#: Terms: runs of letters.
+TERM = "\\p{L}+"
 SHARE = 0.9
 SUPPORT = 3
 #: Candidate terms that are sent to all tasks at most; more are joined by a shuffle.
@@ -66,43 +64,34 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def _beside(text: Column, found: Column) -> Column:
-    """array<array<struct<start, end, value>>>: for each span the whole terms within reach, before and after it."""
+def _apart(text: Column, found: Column) -> Column:
+    """The terms of the whole text, as spans, that neither overlap nor touch a span of found."""
+    return F.filter(spans(text, TERM), lambda t: ~F.exists(found, lambda x: (x["start"] <= t["end"]) & (x["end"] >= t["start"])))
 
-    def near(x: Column) -> Column:
-        first = F.greatest(x["start"] - REACH, F.lit(0))
-        before = F.substr(text, (first + 1).cast("int"), (x["start"] - first).cast("int"))
-        after = F.substr(text, (x["end"] + 1).cast("int"), F.lit(REACH))
-        moved = lambda part, by: F.transform(spans(part, TERM), lambda t: F.struct((t["start"] + by).alias("start"), (t["end"] + by).alias("end"), F.lower(t["value"]).alias("value")))
-        # a term that reaches the edge of the window, or touches the entity, may be a part of a longer word
-        left = F.filter(moved(before, first), lambda t: ((t["start"] > first) | (first == 0)) & (t["end"] < x["start"]))
-        right = F.filter(moved(after, x["end"]), lambda t: (t["start"] > x["end"]) & (t["end"] < x["end"] + REACH))
-        return F.concat(left, right)
 
-    return F.transform(found, near)
+def _found() -> Column:
+    """All base spans of the columns of `base_spans`: array<struct<kind, start, end, value>>."""
+    marked = lambda i: lambda x: F.struct(F.lit(i).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"))
+    return F.concat(*[F.transform(k, marked(i)) for i, k in enumerate(KINDS[:4])])
 
 
-def _apart(text: Column, found: Column) -> Column:
-    """array<struct<start, end, term>>: the terms of the whole text that neither overlap nor touch a span."""
-    terms = F.filter(spans(text, TERM), lambda t: ~F.exists(found, lambda x: (x["start"] <= t["end"]) & (x["end"] >= t["start"])))
-    return F.transform(terms, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lower(t["value"]).alias("term")))
+def _with_found(rows: DataFrame) -> DataFrame:
+    """rows with found: the base spans of their column text."""
+    kept = rows.columns
+    return rows.select(*kept, *[c.alias(k) for k, c in base_spans(F.col("text")).items()]).select(*kept, _found().alias("found"))
 
 
-def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", whole: bool = True) -> DataFrame:
-    """One row per row of docs: row, doc_id, h (hash of the text), found: its spans (kind, start, end, value), near: the
-    terms beside entities (entity, start, end, term), or, if whole, all terms of texts with entities (start, end, term)."""
-    rows = id_text(docs, id_col, text_col).withColumn("text", text_or_empty(F.col("text")))
-    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", *[c.alias(k) for k, c in base_spans(F.col("text")).items()])
-    marked = lambda i: lambda x: F.struct(F.lit(i).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"))
-    rows = rows.select("row", "doc_id", "text", F.concat(*[F.transform(k, marked(i)) for i, k in enumerate(KINDS[:4])]).alias("found"))
+def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, h (hash of the text), found: its spans (kind, start, end, value), entities, and
+    terms: the distinct terms apart from the spans, of texts with entities."""
+    rows = id_text(docs, id_col, text_col).select("doc_id", text_or_empty(F.col("text")).alias("text"))
+    rows = _with_found(rows)
     entity = lambda x: F.concat_ws(":", x["kind"].cast("string"), F.when(x["kind"] == 0, F.lower(x["value"])).when(x["kind"] == 1, x["value"]).otherwise(_digits(x["value"])))
-    named = lambda f: F.flatten(F.zip_with(f, _beside(F.col("text"), f), lambda x, near: let(entity(x), lambda e: F.transform(near, lambda t: F.struct(e.alias("entity"), t["start"].alias("start"), t["end"].alias("end"), t["value"].alias("term"))))))
-    nothing = F.array().cast("array<struct<entity:string,start:bigint,end:bigint,term:string>>")
-    near = F.when(F.size("found") > 0, named(F.col("found"))).otherwise(nothing)
-    if whole:
-        near = F.when(F.size("found") > 0, _apart(F.col("text"), F.col("found"))).otherwise(F.array().cast("array<struct<start:bigint,end:bigint,term:string>>"))
-    entities = F.array_distinct(F.transform("found", entity))
-    return rows.select("row", "doc_id", F.xxhash64("text").alias("h"), "found", near.alias("near"), entities.alias("entities"))
+    terms = F.array_distinct(F.transform(_apart(F.col("text"), F.col("found")), lambda t: F.lower(t["value"])))
+    return rows.select(
+        "doc_id", F.xxhash64("text").alias("h"), "found", F.array_distinct(F.transform("found", entity)).alias("entities"),
+        F.when(F.size("found") > 0, terms).otherwise(F.array().cast("array<string>")).alias("terms"),
+    )
 
 
 def _over(pairs: DataFrame, n: int, share: float) -> DataFrame:
@@ -111,57 +100,53 @@ def _over(pairs: DataFrame, n: int, share: float) -> DataFrame:
     return rows.where((F.col("ic") > 0) & (F.col("pmi") >= share * F.col("ic")))
 
 
-def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, support: int = SUPPORT, text_col: str = "text", whole: bool = True) -> DataFrame:
-    """(entity, term, pmi, ic, certain) of the terms over the threshold, from counts over all distinct texts."""
+def _words(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
+    """(h, term): the terms among `terms` (a column term) that each distinct text of docs holds."""
+    text = text_or_empty(docs[text_col])
+    words = docs.select(F.xxhash64(text).alias("h"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
+    return words.join(checked(terms, BROADCAST_TERMS), "term", "left_semi").distinct()
+
+
+def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, support: int = SUPPORT, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(entity, term, pmi, ic, certain) of the terms over the threshold, from counts over all distinct texts, and
+    (h, term) of the texts with candidate terms."""
     n = found.agg(F.countDistinct("h").alias("n")).first()["n"]
-    holds = found.select("h", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    if whole:
-        # a pair is in no more texts than its entity is
-        enough = holds.where(F.col("n_e") >= support).select("entity")
-        holders = found.select("h", F.explode("entities").alias("entity")).distinct().join(enough, "entity")
-        words = found.select("h", F.explode(F.array_distinct(F.transform("near", lambda t: t["term"]))).alias("term")).distinct()
-        beside = cut(holders.join(words, "h").select("h", "entity", "term"))
-    else:
-        beside = cut(found.select("h", F.explode("near").alias("x")).select("h", "x.entity", "x.term").distinct())
+    held = found.where(F.size("entities") > 0).select("h", "entities", "terms").dropDuplicates(["h"])
+    holders = held.select("h", F.explode("entities").alias("entity"))
+    counts = cut(holders.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")))
+    # a pair is in no more texts than its entity is
+    enough = checked(counts.where(F.col("n_e") >= support).select("entity"))
+    terms = held.select("h", F.explode("terms").alias("term"))
+    beside = cut(holders.join(enough, "entity").join(terms, "h").select("h", "entity", "term"))
     # a term is in at least as many texts as it is beside any entity: pairs that fail with this count fail with the true one
     least = beside.select("h", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     both = beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= support)
-    both = cut(_over(both.join(holds, "entity").join(least, "term"), n, share).select("entity", "term", "n_te", "n_e"))
-    terms = cut(both.select("term").distinct())
-    size = terms.count()
-    if size:
-        text = text_or_empty(docs[text_col])
-        words = docs.select(F.xxhash64(text).alias("h"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
-        words = words.join(F.broadcast(terms) if size <= BROADCAST_TERMS else terms, "term", "left_semi")
-        counts = words.distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    else:
-        counts = terms.select("term", F.lit(0).cast("long").alias("n_t"))
-    rows = _over(both.join(counts, "term"), n, share)
-    return rows.select("entity", "term", "pmi", "ic", (F.col("n_t") == F.col("n_te")).alias("certain"))
-
-
-def personal_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, support: int = SUPPORT, whole: bool = True) -> DataFrame:
-    """One row per row of docs: row, doc_id, found (spans of the fixed kinds: kind, start, end, value), terms (start, end, certain).
+    both = cut(_over(both.join(counts, "entity").join(least, "term"), n, share).select("entity", "term", "n_te", "n_e"))
+    words = cut(_words(docs, text_col, cut(both.select("term").distinct())))
+    rows = _over(both.join(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term"), n, share)
+    return rows.select("entity", "term", "pmi", "ic", (F.col("n_t") == F.col("n_te")).alias("certain")), words
+
+
+def personal_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, support: int = SUPPORT) -> DataFrame:
+    """One row per row of docs: doc_id, h, found (spans of the fixed kinds: kind, start, end, value), terms (start, end, certain).
 
     Spans are in code points of the whole text, end exclusive. Matches are leftmost and do not overlap within a kind;
-    those that fail a test are dropped without another try. Null and empty texts have no spans. Copies of a text count
-    once in the corpus counts, so that a text that is often repeated discloses nothing by that. Terms are marked only
-    in documents that hold the entity, wherever they stand; if not whole, only beside it. No other document has a
-    certain term.
+    those that fail a test are dropped without another try. Null and empty texts have no spans, an empty table has no
+    rows, other columns are ignored. Copies of a text count once in the corpus counts, so that a text that is often
+    repeated discloses nothing by that. Disclosing terms are marked wherever they stand, in all documents, but where
+    they overlap or touch a span of the fixed kinds.
     """
-    found = cut(detect(docs, id_col=id_col, text_col=text_col, whole=whole))
-    told = cut(disclosures(docs, found, share=share, support=support, text_col=text_col, whole=whole))
-    marks = found.select("row", F.explode("near").alias("x")).select("row", "x.*")
-    if whole:
-        # what each document is told by, before its words: few rows
-        here = found.select("row", F.explode("entities").alias("entity")).join(told, "entity").groupBy("row", "term").agg(F.max("certain").alias("certain"))
-        marks = marks.join(here, ["row", "term"])
-    else:
-        marks = marks.join(told.select("entity", "term", "certain"), ["entity", "term"])
-    marks = marks.groupBy("row", "start", "end").agg(F.max("certain").alias("certain"))
-    marks = marks.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end", "certain"))).alias("terms"))
+    found = cut(detect(docs, id_col=id_col, text_col=text_col))
+    told, words = disclosures(docs, found, share=share, support=support, text_col=text_col)
+    told = checked(cut(told.groupBy("term").agg(F.max("certain").alias("certain"))))
+    here = words.join(told, "term").groupBy("h").agg(F.collect_list(F.struct("term", "certain")).alias("told"))
+    texts = docs.select(text_or_empty(docs[text_col]).alias("text")).withColumn("h", F.xxhash64("text"))
+    texts = _with_found(texts.join(checked(cut(here)), "h").dropDuplicates(["h"]))
+    known = lambda t: F.filter("told", lambda x: x["term"] == F.lower(t["value"]))
+    terms = F.transform(_apart(F.col("text"), F.col("found")), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.get(known(t), 0)["certain"].alias("certain")))
+    marks = texts.select("h", F.filter(terms, lambda t: t["certain"].isNotNull()).alias("terms"))
     none = F.array().cast("array<struct<start:bigint,end:bigint,certain:boolean>>")
-    return found.select("row", "doc_id", "h", "found").join(marks, "row", "left").select("row", "doc_id", "h", "found", F.coalesce("terms", none).alias("terms"))
+    return found.select("doc_id", "h", "found").join(checked(cut(marks)), "h", "left").select("doc_id", "h", "found", F.coalesce("terms", none).alias("terms"))
 
 
 def sanitise(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -204,8 +189,4 @@ def _counted(out: DataFrame) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _counted(personal_spans(read_table(spark, sf_dir, "documents"), whole=False))
-
-
-def op8_pii_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counted(personal_spans(read_table(spark, sf_dir, "documents")))

@@ -57,9 +57,9 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least_of.b AS component_id FROM
 """
 
 def _spans(name: str, source: str, column: str, pattern: str, keys: str = "doc_id") -> str:
-    """Common table `name` (keys, start, value): matches of a pattern, placed by the lengths of what split leaves between them."""
-    return f"""{name} AS (SELECT {keys}, value, CAST(list_sum(list_transform(gaps[1 : i], lambda g: length(g))) + coalesce(list_sum(list_transform(hits[1 : i - 1], lambda h: length(h))), 0) AS BIGINT) AS start
-  FROM (SELECT {keys}, gaps, hits, i, hits[i] AS value FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT {keys}, string_split_regex({column}, '{pattern}') AS gaps, regexp_extract_all({column}, '{pattern}') AS hits FROM {source} WHERE regexp_matches({column}, '{pattern}')))))"""
+    """Common table `name` (keys, start, value): matches of a pattern, placed by running sums of the lengths of the matches and of what split leaves between them."""
+    return f"""{name} AS (SELECT {keys}, value, CAST(sum(length(gap)) OVER (PARTITION BY {keys} ORDER BY i) + sum(length(value)) OVER (PARTITION BY {keys} ORDER BY i) - length(value) AS BIGINT) AS start
+  FROM (SELECT {keys}, i, gaps[i] AS gap, hits[i] AS value FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (SELECT {keys}, string_split_regex({column}, '{pattern}') AS gaps, regexp_extract_all({column}, '{pattern}') AS hits FROM {source} WHERE regexp_matches({column}, '{pattern}')))))"""
 
 
 def _listed(columns: str, order: str) -> str:
@@ -110,19 +110,18 @@ found AS (SELECT doc_id, 0 AS k, 'email' AS kind, start, value, lower(value) AS
   UNION ALL SELECT doc_id, 1, 'ip', start, value, value FROM ip_ WHERE len(list_filter(string_split(value, '.'), lambda p: length(ltrim(p, '0')) > 3 OR coalesce(TRY_CAST(ltrim(p, '0') AS BIGINT), 0) > 255)) = 0
   UNION ALL SELECT doc_id, 2, 'card', start, value, n FROM (SELECT *, {_DIGITS.format("value")} AS n FROM card_) WHERE length(n) BETWEEN 13 AND 19 AND {_LUHN}
   UNION ALL SELECT doc_id, 3, 'phone', start, value, n FROM (SELECT *, {_DIGITS.format("value")} AS n FROM phone_) WHERE length(n) BETWEEN 9 AND 15),
-side AS (SELECT f.doc_id, h, k || ':' || entity AS entity, greatest(start - 60, 0) AS off, start AS edge, TRUE AS before, substring(text, greatest(start - 60, 0) + 1, start - greatest(start - 60, 0)) AS part FROM found f JOIN d ON d.doc_id = f.doc_id
-  UNION ALL SELECT f.doc_id, h, k || ':' || entity, start + length(value), start + length(value), FALSE, substring(text, start + length(value) + 1, 60) FROM found f JOIN d ON d.doc_id = f.doc_id),
-{_spans("piece", "side", "part", "\\p{L}{4,}", "doc_id, h, entity, off, edge, before")},
-near AS (SELECT doc_id, h, entity, off + start AS start, off + start + length(value) AS stop, lower(value) AS term FROM piece
-  WHERE CASE WHEN before THEN (off + start > off OR off = 0) AND off + start + length(value) < edge ELSE start > 0 AND start + length(value) < 60 END),
+entity AS (SELECT DISTINCT h, k || ':' || entity AS entity FROM found f JOIN d ON d.doc_id = f.doc_id),
+{_spans("word", "d", "text", "\\p{L}+")},
+apart AS (SELECT word.doc_id, h, lower(value) AS term, start, start + length(value) AS stop FROM word JOIN d ON d.doc_id = word.doc_id
+  WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.doc_id = word.doc_id AND f.start <= word.start + length(word.value) AND f.start + length(f.value) >= word.start)),
 n AS (SELECT count(DISTINCT h) AS n FROM d),
-holds AS (SELECT entity, count(DISTINCT h) AS n_e FROM (SELECT h, k || ':' || entity AS entity FROM found f JOIN d ON d.doc_id = f.doc_id) GROUP BY entity),
-pair AS (SELECT entity, term, count(DISTINCT h) AS n_te FROM near GROUP BY entity, term HAVING count(DISTINCT h) >= 3),
-words AS (SELECT term, count(DISTINCT h) AS n_t FROM (SELECT h, unnest(list_distinct(regexp_extract_all(lower(text), '\\p{{L}}{{4,}}'))) AS term FROM d) WHERE term IN (SELECT term FROM pair) GROUP BY term),
-told AS (SELECT pair.entity, pair.term FROM pair JOIN words ON words.term = pair.term JOIN holds ON holds.entity = pair.entity CROSS JOIN n
+holds AS (SELECT entity, count(*) AS n_e FROM entity GROUP BY entity),
+pair AS (SELECT entity, term, count(*) AS n_te FROM (SELECT DISTINCT h, term FROM apart) JOIN entity USING (h) GROUP BY entity, term HAVING count(*) >= 3),
+words AS (SELECT term, count(DISTINCT h) AS n_t FROM (SELECT h, unnest(list_distinct(regexp_extract_all(lower(text), '\\p{{L}}+'))) AS term FROM d) WHERE term IN (SELECT term FROM pair) GROUP BY term),
+told AS (SELECT DISTINCT pair.term FROM pair JOIN words ON words.term = pair.term JOIN holds ON holds.entity = pair.entity CROSS JOIN n
   WHERE n.n > n_e AND log2(n_te * CAST(n.n AS DOUBLE) / (n_t * n_e)) >= 0.9 * log2(CAST(n.n AS DOUBLE) / n_e)),
 every AS (SELECT doc_id, k, kind, start, start + length(value) AS stop FROM found
-  UNION ALL SELECT DISTINCT near.doc_id, 4, 'term', near.start, near.stop FROM near JOIN told ON told.entity = near.entity AND told.term = near.term),
+  UNION ALL SELECT doc_id, 4, 'term', start, stop FROM apart WHERE term IN (SELECT term FROM told)),
 out AS (SELECT doc_id, count(*) FILTER (WHERE k = 0) AS e, count(*) FILTER (WHERE k = 1) AS i, count(*) FILTER (WHERE k = 2) AS c, count(*) FILTER (WHERE k = 3) AS p, count(*) FILTER (WHERE k = 4) AS t,
   {_listed(" FILTER (WHERE k < 4)", "k, start")} AS base_list, {_listed("", "k, start")} AS list FROM every GROUP BY doc_id)
 SELECT d.doc_id, coalesce(e, 0) AS n_email, coalesce(i, 0) AS n_ip, coalesce(c, 0) AS n_card, coalesce(p, 0) AS n_phone, sha256(coalesce(base_list, '')) AS base_sha256, coalesce(list, '') AS spans, coalesce(t, 0) AS n_term

@@ -426,19 +426,19 @@ def test_personal_query(spark, data):
 
 
 def test_disclosing_terms(spark):
-    rows = [(i, f"note {i} mail zorblax to kim@example.org please") for i in range(4)] + [(10 + i, f"please note plain text {i} mail") for i in range(40)] + [(90, "please zorblax"), (91, None)]
+    rows = [(i, f"note {i} mail zorblax to kim@example.org please") for i in range(4)] + [(10 + i, f"please note plain text {i} to mail") for i in range(40)] + [(90, "please zorblax"), (91, None)]
     certain = rows[:-2]
     got = {r.doc_id: r for r in pii.personal_spans(docs(spark, certain)).collect()}
     assert [(x.start, x.end, x.certain) for x in got[0].terms] == [(12, 19, True)] and not got[10].terms
     clean = {r.doc_id: r.text for r in pii.sanitise(docs(spark, certain)).collect()}
     assert clean[0] == "note 0 mail  to [email] please" and clean[10] == rows[4][1]
     loose = {r.doc_id: r.text for r in pii.sanitise(docs(spark, rows), share=0.8).collect()}
-    assert loose[0] == "note 0 mail [term] to [email] please" and loose[90] == "please zorblax" and loose[91] == ""
+    assert loose[0] == "note 0 mail [term] to [email] please" and loose[90] == "please [term]" and loose[91] == ""
 
 
 def test_terms_anywhere_in_the_text(spark):
     far = "so it is " * 20
-    rows = [(i, f"zorblax {i} {far} kim@example.org {far} Zorblax") for i in range(4)] + [(10 + i, f"plain text {i}") for i in range(40)]
+    rows = [(i, f"zorblax {i} {far} kim@example.org {far} Zorblax") for i in range(4)] + [(10 + i, f"plain text {i} {far}") for i in range(40)] + [(None, None), (80, "")]
     got = {r.doc_id: r for r in pii.personal_spans(docs(spark, rows)).collect()}
     for i in range(4):
         assert [(rows[i][1][x.start : x.end], x.certain) for x in got[i].terms] == [("zorblax", True), ("Zorblax", True)]
@@ -447,6 +447,14 @@ def test_terms_anywhere_in_the_text(spark):
     assert clean[0] == f" 0 {far} [email] {far} "
 
 
+def test_terms_without_their_entity(spark):
+    """A term that tells an entity is generalised where the entity is not named; extra columns and repeats change nothing."""
+    rows = [(i, f"ask zorblax at kim@example.org for {i}") for i in range(8)] + [(50, "ask zorblax for it")] + [(100 + i, f"ask at desk for {i}") for i in range(60)]
+    got = {r.doc_id: r.text for r in pii.sanitise(docs(spark, rows + rows[:3])).collect()}
+    assert got[50] == "ask [term] for it" and got[0] == "ask [term] at [email] for 0" and got[100] == "ask at desk for 0"
+    assert pii.personal_spans(docs(spark, [])).count() == 0
+
+
 # --- 9 --------------------------------------------------------------------------------------------------------------
 
 
