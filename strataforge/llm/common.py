@@ -54,6 +54,22 @@ def binary_texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+#: Keys that `salted_join` may send to all tasks, of about 20 bytes each: those that hold more than one row in HOT_KEYS.
+HOT_KEYS = 50_000
+
+
+def salted_join(rows: DataFrame, counted: DataFrame, on: list[str], spread: list[str]) -> DataFrame:
+    """Inner join of rows with counted, which has one row per key and k, the number of rows of the key.
+
+    A key with more than one in HOT_KEYS of all rows (there are fewer than HOT_KEYS of those, whatever the input) is
+    dealt over several tasks by a hash of the columns in spread, and its row of counted goes to each of them.
+    """
+    counted = cut(counted)
+    most = max(100, (counted.agg(F.sum("k")).first()[0] or 0) // HOT_KEYS)
+    hot = counted.where(F.col("k") > most).select(*on, F.expr(f"cast(k div {most} + 1 as int)").alias("_parts"))
+    dealt = rows.join(F.broadcast(hot), on, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    parts = F.when(F.col("k") > most, F.expr(f"sequence(0, cast(k div {most} as int))")).otherwise(F.array(F.lit(0)))
+    return dealt.join(counted.withColumn("_part", F.explode(parts)).drop("k"), [*on, "_part"]).drop("_part")
 
 
 #: Keys of rows (id and text hash, about 16 bytes) that are sent to all tasks at most; more are joined by a shuffle.

@@ -19,9 +19,10 @@ FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id =
 # two lines of 24 characters or more that are one edit apart share their first or their last 12 characters
 OP3 = r"""
 WITH l AS (SELECT doc_id, i, raw, trim(raw, E' \t\r\x0b\x0c') AS line FROM (SELECT doc_id, unnest(string_split(text, E'\n')) AS raw, unnest(range(len(string_split(text, E'\n')))) AS i FROM documents WHERE text IS NOT NULL)),
-first AS (SELECT line, min(ROW(doc_id, i)) AS pos FROM l WHERE length(line) >= 24 GROUP BY line),
-pairs AS (SELECT a.line, b.pos FROM first a JOIN first b ON left(a.line, 12) = left(b.line, 12) WHERE b.pos < a.pos AND abs(length(a.line) - length(b.line)) < 2 AND levenshtein(a.line, b.line) < 2
-  UNION ALL SELECT a.line, b.pos FROM first a JOIN first b ON right(a.line, 12) = right(b.line, 12) WHERE b.pos < a.pos AND abs(length(a.line) - length(b.line)) < 2 AND levenshtein(a.line, b.line) < 2),
+first AS (SELECT line, min(ROW(doc_id, i)) AS pos FROM l WHERE length(line) > 0 GROUP BY line),
+long_ AS (SELECT * FROM first WHERE length(line) >= 24),
+pairs AS (SELECT a.line, b.pos FROM long_ a JOIN long_ b ON left(a.line, 12) = left(b.line, 12) WHERE b.pos < a.pos AND abs(length(a.line) - length(b.line)) < 2 AND levenshtein(a.line, b.line) < 2
+  UNION ALL SELECT a.line, b.pos FROM long_ a JOIN long_ b ON right(a.line, 12) = right(b.line, 12) WHERE b.pos < a.pos AND abs(length(a.line) - length(b.line)) < 2 AND levenshtein(a.line, b.line) < 2),
 least_at AS (SELECT line, min(pos) AS pos FROM (SELECT line, pos FROM first UNION ALL SELECT line, pos FROM pairs) GROUP BY line),
 kept AS (SELECT l.doc_id, i, raw, least_at.pos IS NULL OR ROW(l.doc_id, l.i) <= least_at.pos AS keep FROM l LEFT JOIN least_at ON least_at.line = l.line),
 out AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT keep) AS n_dropped, coalesce(string_agg(raw, E'\n' ORDER BY i) FILTER (WHERE keep), '') AS t FROM kept GROUP BY doc_id)
