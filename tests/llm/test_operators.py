@@ -128,6 +128,38 @@ def test_ranking_learns_preferences():
     assert 0 < quality_rank._scores(quality_rank.fit(x, good | True), x).min() and len(quality_rank._scores(quality_rank.fit(x[:0], good[:0]), x)) == 400
 
 
+def test_ranking_equals_plain_descent():
+    """Bradley-Terry weights against a plain descent over every pair, written apart."""
+    draw = np.random.default_rng(3)
+    x = draw.normal(size=(60, len(quality_rank.FEATURES)))
+    x[:, 6:] = 0
+    good = x[:, 0] + 0.5 * x[:, 1] + draw.normal(size=60) > 0
+    z = (x - x.mean(0)) / (x.std(0) + 1e-6)
+    pairs, w = [z[i] - z[j] for i in range(60) for j in range(60) if good[i] and not good[j]], np.zeros(z.shape[1])
+    d = np.array(pairs)
+    for _ in range(20_000):
+        w -= 0.5 * (-(d / (1 + np.exp(d @ w))[:, None]).mean(0) + 1e-3 * w)
+    model = quality_rank.fit(x, good)
+    assert np.allclose(model["w"], w, atol=1e-3)
+    s = z @ w
+    assert model["t"] == pytest.approx(np.quantile(s, 1 - good.mean()), abs=1e-2)
+    scores = quality_rank._scores(model, x)
+    assert ((scores >= quality_rank.CUT) == (s >= np.quantile(s, 1 - good.mean()))).all() and (np.argsort(scores) == np.argsort(s)).all()
+
+
+def test_training_on_a_share(spark):
+    """More labelled rows than training takes: an even share of them; copies of a row count once; filters keep columns."""
+    rows = [(i, "fine words of a plain text, one more sentence here. " * 3 if i % 2 else "BUY !!! $$$ ### NOW " * 9) for i in range(600)] + [(1, "fine words")] * 300
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    d = docs(spark, rows)
+    for n in (50, 10_000):
+        got = {r.doc_id: r.predicted for r in quality_rank.quality_scores(d, labels, train_rows=n).collect() if r.doc_id != 1}
+        assert all(p == i % 2 for i, p in got.items())
+    kept = quality_rank.keep_good(d.unionByName(docs(spark, [(None, None), (7000, "")])), labels)
+    assert kept.columns == d.columns and {r.doc_id % 2 for r in kept.where("doc_id < 600").collect()} == {1}
+    assert quality_rank.keep_good(docs(spark, []), labels).count() == 0
+
+
 # --- 3 --------------------------------------------------------------------------------------------------------------
 
 
