@@ -1,12 +1,13 @@
 """Benchmark decontamination over a positional inverted index.
 
 The corpus is indexed once: for the terms that matter to the test windows, each document keeps its postings (term,
-position) and the ids of the test terms within one window length on either side. Windows are looked up from their
+position), and those of a window's rarest term with the ids of the test terms around. Windows are looked up from their
 rarest terms: the posting lists of those terms are shifted by the terms' offsets in the window and intersected on
-(document, start); what survives is compared term by term, which gives exact phrase matches.
+(document, start); with what stands around compared term by term, that gives exact phrase matches. Proximity matches
+start from the rarest term too: terms are sought around it, the next rarest first, until one is missing.
 
 The test set is handled in blocks of at most `block_windows` distinct windows, so what the driver and the executors
-hold of it is bounded; every block looks at all documents.
+hold of it is bounded, for either kind of match; every block looks at all documents.
 """
 
 from __future__ import annotations
@@ -21,14 +22,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from .common import ALNUM_TABLE, binary_texts, cut, id_text, read_table, without
+from .common import ALNUM_TABLE, binary_texts, checked, cut, id_text, read_table, without
 
 WINDOW = 10
 #: Lists that are intersected for each window: those of its rarest terms.
 RAREST = 2
 BLOCK_WINDOWS = 100_000
+#: Words that a proximity match may have beside those of the window.
+SLOP = 5
+#: Pairs of a posting and a window that a task looks at together.
+_PAIRS = 100_000
 
-_INDEX_SCHEMA = "row long, doc_id {id}, h long, n_words long, postings array<struct<term:int,pos:int,near:binary>>"
+_INDEX_SCHEMA = "row long, doc_id {id}, h long, n_words long, postings array<struct<term:int,pos:int,near:binary>>, close array<struct<win:int,pos:int,around:binary>>"
 
 
 def split_words(text: bytes) -> list[bytes]:
@@ -70,165 +75,226 @@ def _counter(vocabulary):
     return count
 
 
-def _indexer(vocabulary, wanted, n: int):
+class _Windows:
+    """The windows of a block as term ids, for the tasks: by rarest term, with their distinct terms, rarest first."""
+
+    def __init__(self, windows: list[list[int]], frequency: np.ndarray, n: int, rarest: int, slop: int) -> None:
+        self.n, self.slop, self.reach = n, slop, n + slop
+        self.wanted, self.lead = np.zeros(len(frequency), bool), np.zeros(len(frequency), bool)
+        self.size = np.array(list(map(len, windows)), np.int32)
+        self.terms, self.need = np.full((len(windows), n), -1, np.int32), np.zeros((len(windows), n), np.int32)
+        self.lists: list[tuple[int, int, int, bool, int]] = []  # term, offset, window, whether the rarest, number of lists
+        for w, seq in enumerate(windows):
+            order = sorted(range(len(seq)), key=lambda i: (frequency[seq[i]], i))
+            own = list(dict.fromkeys(seq[i] for i in order))
+            self.terms[w, : len(own)] = own
+            self.need[w, : len(own)] = [seq.count(t) for t in own]
+            self.lead[own[0]] = True
+            for i, offset in enumerate(order[:rarest]):
+                self.wanted[seq[offset]] = True
+                self.lists.append((seq[offset], offset, w, i == 0, min(rarest, len(seq))))
+        first = self.terms[:, 0] if len(windows) else np.zeros(0, np.int32)
+        self.by_lead = np.argsort(first, kind="stable").astype(np.int32)
+        self.start = np.searchsorted(first[self.by_lead], np.arange(len(frequency) + 1))
+
+    def close(self, seq: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, window) where all terms of a window, as often as it has them, stand within its size and slop around
+        the places `at` of rarest terms. seq is padded by reach - 1 on either side."""
+        times = self.start[seq[at] + 1] - self.start[seq[at]]
+        place = np.repeat(at, times)
+        inside = np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times)
+        window = self.by_lead[np.repeat(self.start[seq[at]], times) + inside]
+        found = [self._check(seq, place[i : i + _PAIRS], window[i : i + _PAIRS]) for i in range(0, len(place), _PAIRS)]
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (place, window)
+
+    def _check(self, seq: np.ndarray, place: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        around = np.arange(1 - self.reach, self.reach)
+        for j in range(1, self.n):
+            term = self.terms[window, j]
+            keep = (term < 0) | (seq[place[:, None] + around] == term[:, None]).any(1)
+            place, window = place[keep], window[keep]
+        if not len(place):
+            return place, window
+        context, reach = seq[place[:, None] + around], self.size[window] + self.slop
+        # starts of stretches of the window's own reach that hold the place, counted from the left end of the context
+        first = np.arange(self.reach)[None, :]
+        ok = first >= (self.reach - reach)[:, None]
+        for j in range(self.n):
+            sums = np.concatenate([np.zeros((len(place), 1), np.int32), np.cumsum(context == self.terms[window, j][:, None], axis=1, dtype=np.int32)], axis=1)
+            ends = np.minimum(first + reach[:, None], context.shape[1])
+            ok &= (np.take_along_axis(sums, ends, 1) - sums[:, : self.reach] >= self.need[window, j][:, None]) | (self.terms[window, j] < 0)[:, None]
+        ok = ok.any(1)
+        return place[ok], window[ok]
+
+
+def _indexer(vocabulary, windows, context: bool):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, keep, around = vocabulary.value, wanted.value, np.arange(2 * n - 1)
+        ids, w = vocabulary.value, windows.value
+        n, pad = w.n, w.reach - 1
+        around, wide = np.arange(1 - n, n), np.arange(1 - w.reach, w.reach)
         for b in batches:
-            counts, found, terms, places, nears = [], [0], [], [], []
+            counts, parts = [], [np.full(pad, -1, "<i4")]
             for text in binary_texts(b.column("text")):
                 words = split_words(text)
-                seq = np.full(len(words) + 2 * n - 2, -1, "<i4")
-                seq[n - 1 : n - 1 + len(words)] = np.fromiter(map(ids.get, words, repeat(-1)), np.int32, len(words))
-                at = np.flatnonzero(keep[seq[n - 1 : n - 1 + len(words)]])
                 counts.append(len(words))
-                found.append(found[-1] + len(at))
-                terms.append(seq[at + n - 1])
-                places.append(at.astype(np.int32))
-                nears += [x.tobytes() for x in seq[at[:, None] + around]]
-            postings = pa.StructArray.from_arrays(
-                [pa.array(np.concatenate(terms)), pa.array(np.concatenate(places)), pa.array(nears, pa.binary())], names=["term", "pos", "near"]
-            )
+                parts += [np.fromiter(map(ids.get, words, repeat(-1)), "<i4", len(words)), np.full(pad, -1, "<i4")]
+            seq, counts = np.concatenate(parts), np.array(counts, np.int64)
+            begin = pad + np.cumsum(counts + pad) - (counts + pad)  # of each document in seq
+            at = np.flatnonzero(w.wanted[seq])
+            of = np.searchsorted(begin, at, "right") - 1
+            lead = w.lead[seq[at]]
+            nears = [x.tobytes() if y else None for x, y in zip(seq[at[:, None] + around], lead.tolist(), strict=True)]
+            postings = pa.StructArray.from_arrays([pa.array(seq[at]), pa.array((at - begin[of]).astype(np.int32)), pa.array(nears, pa.binary())], names=["term", "pos", "near"])
+            place, window = w.close(seq, at[lead])
+            if not context and len(place):  # one place tells that a document has the window
+                _, one = np.unique(np.stack([np.searchsorted(begin, place, "right"), window]), axis=1, return_index=True)
+                place, window = place[one], window[one]
+            order = np.argsort(place, kind="stable")
+            place, window = place[order], window[order]
+            on = np.searchsorted(begin, place, "right") - 1
+            texts = [x.tobytes() for x in seq[place[:, None] + wide]] if context else [None] * len(place)
+            close = pa.StructArray.from_arrays([pa.array(window.astype(np.int32)), pa.array((place - begin[on]).astype(np.int32)), pa.array(texts, pa.binary())], names=["win", "pos", "around"])
+            ends = lambda x: pa.array(np.searchsorted(x, np.arange(len(counts) + 1)).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), b.column("doc_id"), b.column("h"), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(found, pa.int32()), postings)],
-                names=["row", "doc_id", "h", "n_words", "postings"],
+                [b.column("row"), b.column("doc_id"), b.column("h"), pa.array(counts), pa.ListArray.from_arrays(ends(of), postings), pa.ListArray.from_arrays(ends(on), close)],
+                names=["row", "doc_id", "h", "n_words", "postings", "close"],
             )
 
     return index
 
 
-def _block_matches(spark: SparkSession, rows: DataFrame, windows: list[list[str]], n: int, rarest: int) -> tuple[DataFrame, DataFrame]:
-    """Index of the documents for these windows, and the exact matches (row, start, size, phrase)."""
-    terms = sorted({w for words in windows for w in words})
-    ids = {w.encode(): i for i, w in enumerate(terms)}
-    by_word = {w: i for i, w in enumerate(terms)}
-    vocabulary = spark.sparkContext.broadcast(ids)
+def _block_index(rows: DataFrame, windows: list[list[str]], n: int, rarest: int, slop: int, context: bool = False) -> tuple[DataFrame, _Windows]:
+    """The index of the documents for these windows."""
+    spark = rows.sparkSession
+    terms = {t: i for i, t in enumerate(sorted({t for words in windows for t in words}))}
+    vocabulary = spark.sparkContext.broadcast({t.encode(): i for t, i in terms.items()})
     counted = rows.select("text").mapInArrow(_counter(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     frequency = np.zeros(len(terms) + 1, np.int64)
     for term, k in counted.toLocalIterator():
         frequency[term] = k
-    wanted, lists = np.zeros(len(terms) + 1, bool), []
-    for words in windows:
-        seq = [by_word[w] for w in words]
-        lead = sorted(range(len(seq)), key=lambda i: (frequency[seq[i]], i))[:rarest]
-        phrase = np.array(seq, "<i4").tobytes()
-        for i, offset in enumerate(lead):
-            wanted[seq[offset]] = True
-            lists.append((seq[offset], offset, i == 0, len(lead), len(seq), bytearray(phrase)))
+    own = _Windows([[terms[t] for t in words] for words in windows], frequency, n, rarest, slop)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    index = cut(rows.mapInArrow(_indexer(vocabulary, spark.sparkContext.broadcast(wanted), n), _INDEX_SCHEMA.format(id=kind)))
-    lookup = spark.createDataFrame(lists, "term int, offset int, lead boolean, n_lists int, size int, phrase binary")
-    postings = index.select("row", F.explode("postings").alias("p")).select("row", "p.term", "p.pos", "p.near")
-    shifted = postings.join(F.broadcast(lookup), "term").select(
-        "row", (F.col("pos") - F.col("offset")).alias("start"), "phrase", "size", "n_lists",
-        F.when(F.col("lead"), F.substring("near", 4 * (n - 1 - F.col("offset")) + 1, 4 * F.col("size"))).alias("seen"),
-    )
-    both = shifted.groupBy("row", "start", "phrase", "size", "n_lists").agg(F.count(F.lit(1)).alias("n"), F.max("seen").alias("seen"))
-    return index, both.where((F.col("n") == F.col("n_lists")) & (F.col("seen") == F.col("phrase"))).select("row", "start", "size", "phrase")
+    return rows.mapInArrow(_indexer(vocabulary, spark.sparkContext.broadcast(own), context), _INDEX_SCHEMA.format(id=kind)), own
 
 
-def phrase_matches(
-    docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, rarest: int = RAREST, block_windows: int = BLOCK_WINDOWS
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of the documents (row, doc_id, h: a hash of the text, n_words), and exact matches (row, start, size, item_id).
+def _exact(index: DataFrame, windows: list[list[str]], own: _Windows) -> DataFrame:
+    """(row, start, size, win) of exact matches: shifted lists of the rarest terms, intersected on document and start."""
+    spark, n = index.sparkSession, own.n
+    terms = {t: i for i, t in enumerate(sorted({t for words in windows for t in words}))}
+    lists = [(t, o, w, first, k, len(windows[w]), bytearray(np.array([terms[x] for x in windows[w]], "<i4").tobytes()) if first else None) for t, o, w, first, k in own.lists]
+    lookup = spark.createDataFrame(lists, "term int, offset int, win int, lead boolean, n_lists int, size int, phrase binary")
+    postings = index.select("row", F.explode("postings").alias("p")).select("row", "p.term", "p.pos", "p.near")
+    shifted = lambda which: postings.join(F.broadcast(lookup.where(which)), "term").withColumn("start", F.col("pos") - F.col("offset"))
+    seen = F.substring("near", 4 * (n - 1 - F.col("offset")) + 1, 4 * F.col("size"))
+    lead = cut(shifted("lead").where(seen == F.col("phrase")).select("row", "start", "win", "size", "n_lists"))
+    key = ["row", "start", "win"]
+    others = shifted("not lead").select(*key).join(checked(lead.select(*key)), key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    return lead.join(others, key, "left").where(F.coalesce("n", F.lit(0)) + 1 == F.col("n_lists")).select("row", "start", "size", "win")
 
-    docs needs id_col and text_col, items item_id and text; other columns are ignored. A null or empty text has no
-    words and no match. Rows that repeat an id are separate rows. Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`
-    after lower-casing A-Z. Ties between equally rare terms go to the earlier offset, which changes no result.
-    """
-    spark = docs.sparkSession
+
+def _blocks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, n: int, block_windows: int) -> tuple[DataFrame, DataFrame, list[list[list[str]]] | Iterator]:
+    """Rows of docs (row, doc_id, h, text), windows of items (item_id, phrase), and the blocks of windows in turn."""
     rows = id_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("h"), "text")
     windows = cut(test_windows(items.select("item_id", F.col("text").cast("string").alias("text")), n).withColumn("phrase", F.array_join("words", " ")))
     phrases = windows.select("words", "phrase").distinct()
     n_blocks = max(1, -(-phrases.count() // block_windows))
     if n_blocks > 1:
         rows = cut(rows)  # the same row numbers for each block
-    base, found = None, None
-    for block in range(n_blocks):
-        part = [w.words for w in phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(n_blocks)) == block).orderBy("phrase").select("words").toLocalIterator()]
-        index, hits = _block_matches(spark, rows, part, n, rarest)
-        named = {tuple(w): np.array(s, "<i4").tobytes() for w, s in _as_ids(part)}
-        keys = spark.createDataFrame([(bytearray(v), " ".join(k)) for k, v in named.items()], "phrase binary, words string")
-        hits = hits.join(F.broadcast(keys), "phrase").select("row", "start", "size", F.col("words").alias("phrase"))
-        base = index.select("row", "doc_id", "h", "n_words") if base is None else base
-        found = hits if found is None else found.unionByName(hits)
-    return base, found.join(windows.select("item_id", "phrase"), "phrase").select("row", "start", "size", "item_id")
+    part = lambda k: [w.words for w in phrases.where(F.pmod(F.xxhash64("phrase"), F.lit(n_blocks)) == k).orderBy("phrase").select("words").toLocalIterator()]
+    return rows, windows.select("item_id", "phrase"), map(part, range(n_blocks))
 
 
-def _as_ids(windows: list[list[str]]):
-    terms = {w: i for i, w in enumerate(sorted({w for words in windows for w in words}))}
-    for words in windows:
-        yield words, [terms[w] for w in words]
+def _named(hits: DataFrame, part: list[list[str]]) -> DataFrame:
+    """hits with the phrase of their window (win) in place of its number."""
+    keys = hits.sparkSession.createDataFrame([(i, " ".join(words)) for i, words in enumerate(part)], "win int, phrase string")
+    return hits.join(F.broadcast(keys), "win").drop("win")
 
 
-def proximity_matches(docs: DataFrame, items: DataFrame, *, slop: int = 5, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW) -> DataFrame:
-    """(doc_id, item_id, start, span) where all terms of a window stand within n + slop words, in any order.
+def matches(
+    docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, rarest: int = RAREST, slop: int = SLOP, block_windows: int = BLOCK_WINDOWS
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of the documents (row, doc_id, h: a hash of the text, n_words), exact matches (row, start, size, item_id), and
+    (row, item_id) of proximity matches: all words of a window, in any order, within its size and slop.
 
-    Starts from the rarest term of each window as the exact search does; the context kept with its postings is as
-    wide as the widest match. A term that the window has twice must be there twice.
+    docs needs id_col and text_col, items item_id and text; other columns are ignored. A null or empty text has no
+    words and no match. Rows that repeat an id are separate rows. Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`
+    after lower-casing A-Z. Ties between equally rare terms go to the earlier offset, which changes no result. Empty
+    tables give no matches.
     """
-    spark = docs.sparkSession
-    rows = id_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("h"), "text")
-    windows = test_windows(items.select("item_id", F.col("text").cast("string").alias("text")), n)
-    lists = [(r.item_id, r.words) for r in windows.toLocalIterator()]
-    reach = n + slop
-    if not lists:
-        return spark.createDataFrame([], T.StructType([rows.schema["doc_id"], items.schema["item_id"], T.StructField("start", T.IntegerType()), T.StructField("span", T.IntegerType())]))
-    terms = {w: i for i, w in enumerate(sorted({w for _, words in lists for w in words}))}
-    vocabulary = spark.sparkContext.broadcast({w.encode(): i for w, i in terms.items()})
-    counted = rows.select("text").mapInArrow(_counter(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    frequency = {r.term: r.n for r in counted.toLocalIterator()}
-    lead = [(min(words, key=lambda w: (frequency.get(terms[w], 0), w)), item, words) for item, words in lists]
-    wanted = np.zeros(len(terms) + 1, bool)
-    wanted[[terms[w] for w, _, _ in lead]] = True
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    index = rows.mapInArrow(_indexer(vocabulary, spark.sparkContext.broadcast(wanted), reach), _INDEX_SCHEMA.format(id=kind))
-    lookup = spark.createDataFrame(
-        [(terms[w], item, sorted(terms[x] for x in words)) for w, item, words in lead],
-        T.StructType([T.StructField("term", T.IntegerType()), items.schema["item_id"], T.StructField("terms", T.ArrayType(T.IntegerType()))]),
-    )
-    hits = index.select("doc_id", F.explode("postings").alias("p")).select("doc_id", "p.*").join(F.broadcast(lookup), "term")
+    rows, windows, blocks = _blocks(docs, items, id_col, text_col, n, block_windows)
+    base, found, close = None, None, None
+    for part in blocks:
+        index, own = _block_index(rows, part, n, rarest, slop)
+        index = cut(index)
+        hits = _named(_exact(index, part, own), part)
+        near = _named(index.select("row", F.explode("close.win").alias("win")), part)
+        base = index.select("row", "doc_id", "h", "n_words") if base is None else base
+        found = hits if found is None else found.unionByName(hits)
+        close = near if close is None else close.unionByName(near)
+    by_item = lambda x: x.join(windows, "phrase").drop("phrase")
+    return base, by_item(found).select("row", "start", "size", "item_id"), by_item(close).select("row", "item_id").distinct()
 
-    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for doc, pos, near, item, need in zip(*(b.column(c).to_pylist() for c in ("doc_id", "pos", "near", "item_id", "terms")), strict=True):
-                seq = np.frombuffer(near, "<i4")
-                for left in range(reach):
-                    window = seq[left : left + reach]
-                    if window[0] in need and all((window == t).sum() >= need.count(t) for t in set(need)):
-                        size = next(k for k in range(len(need), reach + 1) if all((window[:k] == t).sum() >= need.count(t) for t in set(need)))
-                        out.append((doc, item, pos - (reach - 1) + left, size))
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((b.column("doc_id").type, b.column("item_id").type, pa.int32(), pa.int32()))], names=["doc_id", "item_id", "start", "span"])
 
-    schema = T.StructType([rows.schema["doc_id"], items.schema["item_id"], T.StructField("start", T.IntegerType()), T.StructField("span", T.IntegerType())])
-    return hits.select("doc_id", "pos", "near", "item_id", "terms").mapInArrow(spans, schema).distinct()
+def proximity_matches(docs: DataFrame, items: DataFrame, *, slop: int = SLOP, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """(doc_id, item_id, start, span) where all terms of a window stand within its size and slop, in any order.
+
+    start is the first word of a stretch, one of the window's; span is the least number of words from there that holds
+    all. A term that the window has twice must be there twice. Null, empty and repeated rows are as in `matches`; equal
+    matches are given once.
+    """
+    rows, windows, blocks = _blocks(docs, items, id_col, text_col, n, block_windows)
+    kind, out = rows.schema["doc_id"].dataType.simpleString(), None
+    for part in blocks:
+        index, own = _block_index(rows, part, n, 1, slop, context=True)
+        own = docs.sparkSession.sparkContext.broadcast(own)
+
+        def stretches(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                w, out = own.value, []
+                for doc, win, pos, around in zip(*(b.column(c).to_pylist() for c in ("doc_id", "win", "pos", "around")), strict=True):
+                    seq, size, need = np.frombuffer(around, "<i4"), int(w.size[win]), {t: k for t, k in zip(w.terms[win].tolist(), w.need[win].tolist(), strict=True) if t >= 0}
+                    for left in range(w.reach - size - w.slop, w.reach):
+                        stretch = seq[left : left + size + w.slop]
+                        if int(stretch[0]) in need and all((stretch == t).sum() >= k for t, k in need.items()):
+                            span = next(m for m in range(size, len(stretch) + 1) if all((stretch[:m] == t).sum() >= k for t, k in need.items()))
+                            out.append((doc, win, pos - (w.reach - 1) + left, span))
+                types = (b.column("doc_id").type, pa.int32(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["doc_id", "win", "start", "span"])
+
+        hits = index.select("doc_id", F.explode("close").alias("c")).select("doc_id", "c.*").mapInArrow(stretches, f"doc_id {kind}, win int, start int, span int")
+        hits = _named(hits, part)
+        out = hits if out is None else out.unionByName(hits)
+    return out.join(windows, "phrase").select("doc_id", "item_id", "start", "span").distinct()
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """One row per row of docs: doc_id, h (a hash of the text), n_words, n_hit, n_items, items (their ids as sorted strings), contaminated.
+    """One row per row of docs: doc_id, h (a hash of the text), n_words, n_hit, n_items, items (their ids as sorted
+    strings), contaminated, near_items (ids as sorted strings of the items with proximity matches, exact ones included).
 
-    n_hit counts the document words inside any occurrence of a window, each once. Without a match n_hit and n_items are
-    0 and items is empty; so it is for every document when items is empty. An item without an id has matches that count
-    as hit words, but is in no list.
+    n_hit counts the document words inside any exact occurrence of a window, each once. Without a match n_hit and n_items
+    are 0 and items is empty; so it is for every document when items is empty. An item without an id has matches that
+    count as hit words, but is in no list.
     """
-    base, found = phrase_matches(docs, items, **options)
+    base, found, close = matches(docs, items, **options)
     found = cut(found)
     spans = found.groupBy("row", "start").agg(F.max("size").alias("size"))
     order = W.Window.partitionBy("row").orderBy("start")
     before = F.max(F.col("start") + F.col("size")).over(order.rowsBetween(W.Window.unboundedPreceding, -1))
     new = F.col("start") + F.col("size") - F.greatest(F.col("start"), F.coalesce(before, F.col("start")))
     hit = spans.select("row", F.greatest(new, F.lit(0)).alias("new")).groupBy("row").agg(F.sum("new").alias("n_hit"))
-    listed = found.where("item_id is not null").select("row", F.col("item_id").cast("string").alias("item")).distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    out = base.join(hit, "row", "left").join(listed, "row", "left")
+    listed = lambda x, name: x.where("item_id is not null").select("row", F.col("item_id").cast("string").alias("item")).distinct().groupBy("row").agg(F.array_sort(F.collect_list("item")).alias(name))
+    out = base.join(hit, "row", "left").join(listed(found, "items"), "row", "left").join(listed(close, "near_items"), "row", "left")
+    none = F.array().cast("array<string>")
     return out.select(
         "doc_id", "h", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        F.coalesce("items", none).alias("items"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), F.coalesce("near_items", none).alias("near_items"),
     )
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """docs, with all its columns, without the rows in which a window of the test items occurs."""
+    """docs, with all its columns, without the rows in which a window of the test items occurs exactly. Null and empty
+    texts stay, rows that repeat go or stay together; with an empty table on either side docs comes back as it is."""
     bad = decontaminate(docs, items, **options).where("contaminated").select("doc_id", "h")
     return without(docs, bad)
 
@@ -236,6 +302,6 @@ def keep_clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return out.select(
-        "doc_id", "n_words", "n_hit", F.when(F.size("items") > 0, F.col("n_items")).otherwise(F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",
+        F.size("near_items").cast("long").alias("n_near_items"), F.sha2(F.array_join("near_items", ",").cast("binary"), 256).alias("near_items_sha256"),
     )

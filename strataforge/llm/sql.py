@@ -4,16 +4,24 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _ALNUM_WORDS = f"regexp_extract_all({_LOWER.format('coalesce(text, $$$$)')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 _PLAIN_WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
 
+# near: from the places of each window's rarest word, all its words within 15 (or its size and 5) words, as often as it has them
 OP1 = f"""
 WITH d AS (SELECT doc_id, {_ALNUM_WORDS} AS w FROM documents),
 b AS (SELECT item_id, {_ALNUM_WORDS} AS w FROM benchmark),
-win AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i : i + 9], ' ') AS phrase FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i : i + 9], ' ') AS phrase, w[i : i + 9] AS words FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
 places AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
 found AS (SELECT doc_id, i, s.size, item_id FROM places CROSS JOIN (SELECT DISTINCT size FROM win) s JOIN win ON win.size = s.size AND win.phrase = array_to_string(w[i : i + s.size - 1], ' ') WHERE i + s.size - 1 <= len(w)),
 hit AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM found)) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
-FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id),
+common AS (SELECT w[i] AS word, count(*) AS n FROM places GROUP BY w[i]),
+lead AS (SELECT phrase, words, size, arg_min(word, coalesce(n, 0)) AS word FROM (SELECT DISTINCT phrase, words, size, unnest(words) AS word FROM win) LEFT JOIN common USING (word) GROUP BY phrase, words, size),
+around AS (SELECT doc_id, phrase, words, size, w, i FROM places JOIN lead ON lead.word = w[i] WHERE list_has_all(w[greatest(i - size - 4, 1) : i + size + 4], words)),
+near AS (SELECT DISTINCT doc_id, phrase FROM (SELECT doc_id, phrase, words, w[greatest(s, 1) : s + size + 4] AS part FROM (SELECT *, unnest(range(i - size - 4, i + 1)) AS s FROM around))
+  WHERE len(list_filter(words, lambda x: len(list_filter(part, lambda y: y = x)) < len(list_filter(words, lambda y: y = x)))) = 0),
+near_items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM near JOIN win USING (phrase)) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items, sha256(coalesce(items.listed, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated,
+  coalesce(near_items.n, 0) AS n_near_items, sha256(coalesce(near_items.listed, '')) AS near_items_sha256
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id LEFT JOIN near_items ON near_items.doc_id = d.doc_id
 """
 
 # two lines of 24 characters or more that are one edit apart share their first or their last 12 characters

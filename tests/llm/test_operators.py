@@ -95,11 +95,40 @@ def test_keep_clean_keeps_columns(spark):
     assert kept.columns == d.columns and sorted(r.text or "" for r in kept.collect()) == ["", "a c b"]
 
 
+def brute_near(text, windows, slop):
+    """Items whose windows have all words, as often, in some stretch of their size and slop."""
+    w, items = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER)), set()
+    for key, of in windows.items():
+        if any(not Counter(key) - Counter(w[max(0, i) : i + len(key) + slop]) for i in range(-len(key) - slop, len(w))):
+            items |= of
+    return sorted(map(str, items - {None}))
+
+
 def test_proximity(spark):
     items = spark.createDataFrame([(1, "red green blue")], "item_id long, text string")
     d = docs(spark, [(1, "blue x red y green"), (2, "red a b c d e f g h i j k l m n green blue"), (3, "red green")])
-    got = decontaminate.proximity_matches(d, items, slop=0).collect()
+    assert decontaminate.proximity_matches(d, items, slop=0).count() == 0
+    got = decontaminate.proximity_matches(d, items, slop=2).collect()
     assert [(r.doc_id, r.start, r.span) for r in got] == [(1, 0, 5)]
+    assert decontaminate.proximity_matches(d, items.limit(0)).count() == decontaminate.proximity_matches(docs(spark, []), items).count() == 0
+
+
+def test_proximity_against_brute_force(spark):
+    draw = random.Random(12)
+    word = lambda: draw.choice("abcdefghijklmnop")
+    items = [(i, " ".join(word() for _ in range(draw.choice((2, 5, 10, 13))))) for i in range(30)] + [(90, None), (91, ""), (None, "a b c")]
+    rows = [(i, " ".join(word() for _ in range(draw.randrange(40)))) for i in range(60)] + [(70, None), (71, ""), (72, " ".join("abcdefghijklmnop") * 200), (70, "a b c")]
+    for i in range(60, 70):  # a word inserted, removed or moved
+        w = items[i % 30][1].split()
+        w.insert(draw.randrange(len(w)), "zz")
+        draw.shuffle(w)
+        rows.append((200 + i, " ".join(w)))
+    bench, windows = spark.createDataFrame(items, "item_id long, text string"), windows_of(items)
+    for slop, block in ((5, 100_000), (2, 20)):
+        got = Counter((r.doc_id, tuple(r.near_items)) for r in decontaminate.decontaminate(docs(spark, rows), bench, slop=slop, block_windows=block).collect())
+        assert got == Counter((i, tuple(brute_near(t, windows, slop))) for i, t in rows)
+        found = {(r.doc_id, r.item_id) for r in decontaminate.proximity_matches(docs(spark, rows), bench, slop=slop, block_windows=block).collect()}
+        assert {x for x in found if x[1] is not None} == {(i, int(k)) for (i, near), _ in got.items() for k in near}
 
 
 # --- 2 --------------------------------------------------------------------------------------------------------------
