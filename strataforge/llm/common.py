@@ -72,17 +72,30 @@ def salted_join(rows: DataFrame, counted: DataFrame, on: list[str], spread: list
     return dealt.join(counted.withColumn("_part", F.explode(parts)).drop("k"), [*on, "_part"]).drop("_part")
 
 
-#: Keys of rows (id and text hash, about 16 bytes) that are sent to all tasks at most; more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
+#: Bytes that are sent to all tasks at most, as `checked` counts them; more is joined by a shuffle.
+BROADCAST_BYTES = 16_000_000
 
 
-def checked(small: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
-    """small, marked for broadcast if it has at most `bound` rows."""
-    return F.broadcast(small) if small.count() <= bound else small
+def checked(small: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """small, marked for broadcast if its values take at most `most` bytes: 8 a number, texts and arrays by their length,
+    16 a row besides. Rows are read to know that, so small is best a cut or cheap."""
+    wide = {"string": lambda c: F.octet_length(c), "binary": lambda c: F.octet_length(c), "array": lambda c: 16 * F.size(c)}
+    sizes = [wide.get(f.dataType.typeName(), lambda c: F.lit(8))(F.col(f"`{f.name}`")) for f in small.schema.fields]
+    total = small.agg(F.sum(sum((F.coalesce(x, F.lit(0)) for x in sizes), F.lit(16)).cast("long"))).first()[0] or 0
+    return F.broadcast(small) if total <= most else small
 
 
-def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id (null equals null) and hash of text are among keys (doc_id, h)."""
+def _among(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     keys = checked(cut(keys.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).distinct()))
     match = docs["doc_id"].eqNullSafe(keys["_id"]) & (F.xxhash64(docs["text"].cast("string")) == keys["_h"])
-    return docs.join(keys, match, "left_anti")
+    return docs.join(keys, match, how)
+
+
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """docs without the rows whose doc_id (null equals null) and hash of text are among keys (doc_id, h)."""
+    return _among(docs, keys, "left_anti")
+
+
+def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id (null equals null) and hash of text are among keys (doc_id, h)."""
+    return _among(docs, keys, "left_semi")

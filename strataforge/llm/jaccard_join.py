@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_texts, checked, cut, id_text, read_table, without
+from .common import binary_texts, checked, cut, id_text, only, read_table, without
 from .components import components
 from .shingles import Hasher, mix
 
@@ -231,8 +231,8 @@ def _possible(percent: int):
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int, levels) -> DataFrame:
     """The pairs (a, b) of classes that pass every filter and whose sets are similar enough.
 
-    First the histograms decide, then prefixes must meet under every other order, then the sets
-    are intersected. Only the sets that a remaining pair needs are made: their texts are found by hash.
+    First the histograms decide, then prefixes must meet under every other order, then, for the pairs that are left, the
+    sets are intersected. Only the sets that a remaining pair needs are made: their texts are found by hash.
     """
     side = lambda x: classes.select(F.col("cls").alias(x), F.col("n").alias(f"{x}_n"), F.col("hist").alias(f"{x}_hist"))
     sized = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
@@ -240,10 +240,12 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, words: int
     picked = _texts_of(texts, classes, pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
     fields = ", ".join(f"p{k} array<long>" for k in range(1, ORDERS))
     sets = cut(picked.mapInArrow(_sets(words, percent, levels), f"cls long, tokens array<long>, {fields}").dropDuplicates(["cls"]))
-    named = lambda side: sets.select(F.col("cls").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in sets.columns[1:]])
-    both = pairs.join(named("a"), "a").join(named("b"), "b")
-    for k in range(1, ORDERS):
-        both = both.where(F.arrays_overlap(f"a_p{k}", f"b_p{k}"))
+    named = lambda side, names: sets.select(F.col("cls").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in names])
+    short = [f"p{k}" for k in range(1, ORDERS)]
+    both = pairs.join(named("a", short), "a").join(named("b", short), "b")
+    for p in short:
+        both = both.where(F.arrays_overlap(f"a_{p}", f"b_{p}"))
+    both = both.select("a", "b").join(named("a", ["tokens"]), "a").join(named("b", ["tokens"]), "b")
     common = F.size(F.array_intersect("a_tokens", "b_tokens"))
     return both.where(100 * common >= percent * (F.size("a_tokens") + F.size("b_tokens") - common)).select("a", "b")
 
@@ -317,13 +319,18 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """docs, with all its columns, with one row of each component: the smallest id (no id comes last), then the smallest
-    hash of the text. Rows without words all stay. Of rows that repeat both id and text one stays."""
+    hash of the text; of rows with words that repeat both, one (any, if other columns differ). Rows without words or
+    text all stay, repeated ones too. An empty table gives no rows."""
     found = cut(jaccard_classes(docs, **options).where("component is not null").select("doc_id", "h", "component"))
     rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("h").alias("h"))
-    best = found.groupBy("component").agg(F.min(rank).alias("best"))
-    out = without(docs, found.join(best, "component").where(~(rank.eqNullSafe(F.col("best")))))
-    repeated = found.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").join(best, F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("h").alias("h")).eqNullSafe(F.col("best")))
-    return out.dropDuplicates(["doc_id", "text"]) if repeated.limit(1).count() else out
+    best = cut(found.groupBy("component").agg(F.min(rank).alias("best")))
+    out = without(docs, found.join(best, "component").where(~rank.eqNullSafe(F.col("best"))))
+    rows = found.groupBy("component", "doc_id", "h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    twice = cut(rows.join(best, "component").where(rank.eqNullSafe(F.col("best"))).select("doc_id", "h"))
+    if not twice.limit(1).count():
+        return out
+    one = only(out, twice).dropDuplicates(["doc_id", "text"])
+    return without(out, twice).unionByName(one)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,9 +30,6 @@ KINDS = ("email", "ip", "card", "phone", "term")
 TERM = "\\p{L}+"
 SHARE = 0.9
 SUPPORT = 3
-#: Candidate terms that are sent to all tasks at most; more are joined by a shuffle.
-BROADCAST_TERMS = 200_000
-
 _SPANS = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
@@ -104,7 +101,7 @@ def _words(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     """(h, term): the terms among `terms` (a column term) that each distinct text of docs holds."""
     text = text_or_empty(docs[text_col])
     words = docs.select(F.xxhash64(text).alias("h"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
-    return words.join(checked(terms, BROADCAST_TERMS), "term", "left_semi").distinct()
+    return words.join(checked(terms), "term", "left_semi").distinct()
 
 
 def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, support: int = SUPPORT, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
