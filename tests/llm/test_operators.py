@@ -296,6 +296,8 @@ def test_cascade_order(spark):
     rules = [quality_rules.Rule("never", F.lit(False)), quality_rules.Rule("often", F.col("n_symbols") > 3)]
     ordered = quality_rules.rule_order(rows, rules)
     assert [r.name for r, _, _ in ordered] == ["often", "never"] and ordered[0][1] == 0.8
+    slow = quality_rules.Rule("slow", F.aggregate(F.sequence(F.lit(1), F.lit(30_000) + F.col("n_symbols").cast("int")), F.lit(0), lambda a, x: (a + x) % 7) >= 0)
+    assert [r.name for r, _, _ in quality_rules.rule_order(rows, [slow, rules[1]])] == ["often", "slow"]  # rejects less, costs far less
     both = [quality_rules.cascade([r for r, _, _ in o]).alias("v") for o in (ordered, ordered[::-1])]
     assert rows.select(both[0]).collect() == rows.select(both[1]).collect()
 
