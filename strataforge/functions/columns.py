@@ -54,6 +54,12 @@ def parse_timestamp(text: Column) -> Column:
     return F.when(number.isNotNull(), epoch).otherwise(text.try_cast("timestamp_ntz"))
 
 
+def stamp_in_name(file_name: Column) -> Column:
+    """The day that a file name carries as `_yyyyMMdd.`, strictly; null where there is none or it is no date."""
+    digits = F.regexp_extract(file_name, "_([0-9]{8})\\.", 1)
+    return F.try_to_timestamp(digits, F.lit("yyyyMMdd")).cast("timestamp_ntz")
+
+
 def fast_hash(text: Column) -> Column:
     """20-byte digest of the trimmed upper-case text."""
     return F.unhex(F.sha1(F.upper(F.trim(text))))

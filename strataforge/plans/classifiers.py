@@ -11,24 +11,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+#: Parts that the rows of a label are dealt to.
+PARTS = 16
+
+
 def profile(df: DataFrame) -> DataFrame:
     """(name, dtype, null_share, distinct_share, min, max) of every column."""
     n = F.count(F.lit(1))
-    parts = []
-    for name, kind in df.dtypes:
+
+    def of(name: str, kind: str):
         c = F.col(name)
-        parts.append(df.agg(F.lit(name).alias("name"), F.lit(kind).alias("dtype"), F.avg(c.isNull().cast("double")).alias("null_share"), (F.count_distinct(c) / n).alias("distinct_share"), F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        return F.struct(F.lit(name).alias("name"), F.lit(kind).alias("dtype"), F.avg(c.isNull().cast("double")).alias("null_share"), (F.count_distinct(c) / n).alias("distinct_share"), F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max"))
+
+    return df.agg(F.array(*[of(*x) for x in df.dtypes]).alias("columns")).select(F.explode("columns").alias("c")).select("c.*")
 
 
 def with_fold(df: DataFrame, label: str, folds: int, seed: int) -> DataFrame:
-    """Rows dealt to folds in turn within each label, in an order by hash: every label is spread evenly."""
+    """Rows dealt to folds in turn within each label and hash part, in an order by hash: every label is spread evenly, and
+    a frequent label is not one task's."""
     order = F.xxhash64(F.lit(seed), *df.columns)
-    rank = F.row_number().over(Window.partitionBy(label).orderBy(order, *df.columns))
-    return df.withColumn("fold", (rank % folds).cast("int"))
+    part = F.pmod(F.xxhash64(F.lit(seed + 1), *df.columns), F.lit(PARTS))
+    rank = F.row_number().over(Window.partitionBy(label, "_part").orderBy(order, *df.columns))
+    return df.withColumn("_part", part).withColumn("fold", F.pmod(rank + F.xxhash64("_part"), F.lit(folds)).cast("int")).drop("_part")
 
 
 def split(df: DataFrame, label: str, test_share: float = 0.3, seed: int = 42) -> tuple[DataFrame, DataFrame]:

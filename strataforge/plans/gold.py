@@ -151,6 +151,37 @@ MODELS = {
 
 #: What columns mean that do not say it themselves; kept as comments of the columns.
 DESCRIPTIONS = {
+    "match_id": "Match, in upper case",
+    "game_duration": "Length of the match in seconds, up to three hours",
+    "game_date": "When the match was played",
+    "game_version": "Version of the game as the source has it",
+    "winning_team": "Side that won",
+    "average_rank": "Mean rank of the players, in title case",
+    "team": "Side of the player",
+    "win": "Whether the player's side won",
+    "champion_id": "Number of the champion in the reference",
+    "champion_name": "Champion, in upper case",
+    "champion_role": "Where the champion was played",
+    "minute": "Minute of the snapshot, to the nearest five",
+    "level": "Level at the snapshot",
+    "kills": "Kills so far",
+    "deaths": "Deaths so far",
+    "assists": "Assists so far",
+    "cs": "Minions and monsters so far, jungle included",
+    "total_gold": "Gold earned so far",
+    "gold_diff": "Gold ahead of the opponent",
+    "xp_diff": "Experience ahead of the opponent",
+    "avg_level": "Mean level at the minute",
+    **{f"avg_cumu_{c}": f"Mean {c.replace('_', ' ')} so far at the minute" for c in ("kills", "deaths", "assists", "cs", "total_gold")},
+    "most_picked_lane": "Role in which the champion is played most",
+    "global_games_played": "Games with the champion",
+    "global_pick_rate": "Games with the champion per match",
+    **{f"{team}_{m}": f"{m.replace('_', ' ').capitalize()} of the {team} side at its last snapshot" for m in TEAM_MEASURES for team in ("blue", "red")},
+    "item_name": "Item, in title case",
+    "item_category": "Category of the item in the reference",
+    "win_rate": "Share of wins among the builds with the item",
+    "avg_kda": "Mean of kills and assists per death and one",
+    **{f"top_item_{i}": f"Number {i} of the items most often in one build with it, of its tier or above" for i in (1, 2, 3)},
     "participant_pos_id": "Place at queue time: 1 to 5 blue, 6 to 10 red",
     "unlogged_duration": "Seconds between the last snapshot and the end of the match",
     "item_build": "Sorted names of the last items, copies included",

@@ -80,8 +80,9 @@ def side_by_side(sample: DataFrame, full: DataFrame, keys: list[str], columns: l
     return sample.select(*keys, *columns).join(other, keys, "left")
 
 
-def random_rows(df: DataFrame, n: int, seed: int) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(n)
+def random_rows(df: DataFrame, n: int, seed: int, keys: list[str]) -> DataFrame:
+    """n rows by the order of a digest of seed and keys: the same ones whenever and wherever it runs."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(seed).cast("string"), *[F.col(k).cast("string") for k in keys])), *keys).limit(n)
 
 
 def refresh_model(spark: SparkSession, name: str, tables: dict[str, DataFrame], folder: str, history: str, clock=dt.datetime.now) -> DataFrame:

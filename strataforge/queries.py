@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .functions import columns as C
+from . import season_queries
 from .operators import rows as R
-from .operators.versions import VersionedTable
-from .plans import gold, monitors, proportions, quality
+from .operators.keyed import KeyedTable
+from .plans import gold, monitors, proportions
+from .season import scratch
 from .sources import landing
 from .streaming.pipes import Lake, refresh
 from .streaming.replay import export
@@ -36,12 +37,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder that all executors share: under spark.checkpoint.dir, or beside the warehouse where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{root}/{uuid.uuid4().hex}"
-
-
 def _ntz(column: str):
     return F.col(column).cast("timestamp_ntz")
 
@@ -125,8 +120,8 @@ def order_status_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _OVERVIEW = """
-WITH played AS (SELECT c_nationkey AS k, nullif(o_orderpriority, '5-LOW') AS role, o_orderkey, o_totalprice >= 50000 AS eligible, CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS win
-    FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_nationkey % 6 <> 0),
+WITH played AS (SELECT nullif(c_nationkey, 6) AS k, nullif(o_orderpriority, '5-LOW') AS role, o_orderkey, o_totalprice >= 50000 AS eligible, CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS win
+    FROM orders JOIN customer ON o_custkey = c_custkey),
 by_role AS (SELECT k, role, count(*) AS n FROM played GROUP BY k, role),
 lane AS (SELECT k, role, n, a FROM (SELECT *, sum(n) OVER (PARTITION BY k) AS a, row_number() OVER (PARTITION BY k ORDER BY n DESC NULLS FIRST, role ASC NULLS LAST) AS r FROM by_role) WHERE r = 1),
 picks AS (SELECT k, count(*) AS n FROM played GROUP BY k),
@@ -144,7 +139,7 @@ WHERE n_nationkey <> 0
 def nation_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     win = F.when(F.col("o_orderstatus") == "F", True).when(F.col("o_orderstatus") == "O", False)
-    played = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).where("c_nationkey % 6 != 0").select(F.col("c_nationkey").alias("k"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("role"), (F.col("o_totalprice") >= 50000).alias("eligible"), win.alias("win"))
+    played = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(F.nullif("c_nationkey", F.lit(6)).alias("k"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("role"), (F.col("o_totalprice") >= 50000).alias("eligible"), win.alias("win"))
     by_role = played.groupBy("k", "role").agg(F.count(F.lit(1)).alias("n"))
     lane = gold.mode_of(by_role.withColumn("a", F.sum("n").over(Window.partitionBy("k"))), ["k"], "role").select("k", F.col("role").alias("main_priority"), F.col("n").alias("main_n"), F.col("a").alias("all_n"))
     picks = by_role.groupBy("k").agg(F.sum("n").alias("games"))
@@ -285,10 +280,10 @@ def latest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").orderBy(F.desc("ts"), "event_id").limit(20).select("event_id", "event_type")
 
 
-@query()
+@query("SELECT * FROM orders ORDER BY md5('7|' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 30")
 def random_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sample of 30 rows: the limit is what it is for."""
-    return monitors.random_rows(table(spark, sf_dir, "orders"), 30, 7)
+    return monitors.random_rows(table(spark, sf_dir, "orders"), 30, 7, ["o_orderkey"])
 
 
 @query("""
@@ -302,13 +297,13 @@ def counts_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- keyed writes ---------------------------------------------------------------------------------------------------
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'NEW' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")
+@query("SELECT o_orderkey, if(o_orderstatus = 'F' AND o_totalprice <= 100000, 'F', 'NEW') AS o_orderstatus, o_totalprice FROM orders")
 def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Even keys are there; keys divisible by three arrive twice, and the later of the two counts."""
+    """Final orders are there; all others come, with the dear ones of those, twice: the later row counts."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    batch = orders.where("o_orderkey % 3 = 0")
+    batch = orders.where("o_orderstatus != 'F' or o_totalprice > 100000")
     late = batch.withColumn("o_orderstatus", F.lit("NEW")).withColumn("at", F.lit(2))
-    return R.upsert(orders.where("o_orderkey % 2 = 0"), batch.withColumn("o_orderstatus", F.lit("OLD")).withColumn("at", F.lit(1)).unionByName(late), ["o_orderkey"], ["at"])
+    return R.upsert(orders.where("o_orderstatus = 'F'"), batch.withColumn("o_orderstatus", F.lit("OLD")).withColumn("at", F.lit(1)).unionByName(late), ["o_orderkey"], ["at"])
 
 
 @query("""
@@ -333,11 +328,11 @@ def hash_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus FROM orders
 """)
 def versioned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batches into a versioned table; the second batch is sent twice and counts once."""
+    """Two batches into a keyed table; the second batch is sent twice and counts once."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    store = VersionedTable(spark, scratch(spark), orders.schema)
-    for batch_id, part in enumerate(["o_orderkey % 2 = 0", "o_orderkey % 2 != 0", "o_orderkey % 2 != 0"]):
-        store.replace(lambda now, p=part: R.upsert(now, orders.where(p), ["o_orderkey"], ["o_custkey"]), min(batch_id, 1))
+    store = KeyedTable(spark, scratch(spark), orders.schema, ["o_orderkey"], buckets=8)
+    for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 != 0", "o_orderkey % 2 != 0"):
+        store.upsert(orders.where(part), ["o_custkey"])
     return store.read()
 
 
@@ -402,38 +397,11 @@ def exploded_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- checks, monitors, statistics -----------------------------------------------------------------------------------
 
-_CHECKS = ((1, "Existence", "FAIL", "orders"), (2, "Record uniqueness", "FAIL", "lineitem"), (3, "Missing records from parents (orphaned rows)", "FAIL", "orders"), (5, "Logical values", "FAIL", "customer"), (7, "Global win balance", "REVIEW", "orders"))
-
-
 @query("""
-WITH f AS (
-  SELECT 2 AS id, 'LINES' AS model, CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS k FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
-  UNION ALL SELECT 3, 'ORDERS', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
-  UNION ALL SELECT 5, 'CUSTOMERS', CAST(c_custkey AS VARCHAR) FROM customer WHERE c_acctbal < -990
-  UNION ALL SELECT 7, 'ORDERS', 'GLOBAL' FROM (SELECT avg(CASE o_orderstatus WHEN 'F' THEN 1.0 WHEN 'O' THEN 0.0 END) AS w FROM orders) WHERE w NOT BETWEEN 0.4999 AND 0.5001),
-defs AS (SELECT * FROM (VALUES (1, 'Existence', 'FAIL', 'orders'), (2, 'Record uniqueness', 'FAIL', 'lineitem'), (3, 'Missing records from parents (orphaned rows)', 'FAIL', 'orders'), (5, 'Logical values', 'FAIL', 'customer'), (7, 'Global win balance', 'REVIEW', 'orders')) AS t(id, name, trip, scope)),
-n AS (SELECT id, count(*) AS n FROM f GROUP BY id),
-s AS (SELECT id, string_agg(model || ':' || k, '  |  ' ORDER BY model, k) AS sample FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY model, k) AS r FROM f) WHERE r <= 5 GROUP BY id),
-grid AS (SELECT defs.id, name, scope, CASE WHEN coalesce(n, 0) = 0 THEN 'PASS' ELSE trip END AS status, coalesce(n, 0) AS n, sample FROM defs LEFT JOIN n ON n.id = defs.id LEFT JOIN s ON s.id = defs.id)
-SELECT id AS check_id, name AS check_name, scope, status, n AS n_failures, sample AS sample_offenders FROM grid
-UNION ALL SELECT 99, CASE WHEN count(*) FILTER (WHERE status = 'FAIL') = 0 THEN 'OVERALL: PASS' ELSE 'OVERALL: FAIL' END, '', CASE WHEN count(*) FILTER (WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END,
-  count(*) FILTER (WHERE status = 'FAIL'), 'FAILS=' || CAST(count(*) FILTER (WHERE status = 'FAIL') AS VARCHAR) || '  REVIEWS=' || CAST(count(*) FILTER (WHERE status = 'REVIEW') AS VARCHAR) FROM grid
-""")
-def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, lines, customers = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "customer"))
-    keyed = lines.select(F.col("l_orderkey").alias("o_orderkey"))
-    lost = R.orphans(orders, keyed, ["o_orderkey"])
-    mean = orders.agg(F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).when(F.col("o_orderstatus") == "O", 0.0)).alias("w")).where("w not between 0.4999 and 0.5001")
-    failed = quality.too_few(orders, "orders").unionByName(quality.repeated(lines, "lines", ["l_orderkey", "l_linenumber"]))
-    failed = failed.unionByName(quality.failures(lost, 3, "orders", F.col("o_orderkey"), F.lit("no lines"))).unionByName(quality.failures(customers.where("c_acctbal < -990"), 5, "customers", F.col("c_custkey"), quality.told("balance=", F.col("c_acctbal"))))
-    return quality.report(spark, failed.unionByName(quality.failures(mean, 7, "orders", F.lit("GLOBAL"), quality.told("mean=", F.col("w")))), _CHECKS)
-
-
-@query("""
-SELECT 'LINES' AS check_name, (SELECT count(*) FROM lineitem) AS gold_rows, (SELECT count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem) AS expected_rows,
-  (SELECT count(*) FROM lineitem) - (SELECT count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem) AS row_diff, 'MORE ROWS THAN EXPECTED' AS status
-UNION ALL SELECT 'ORDERS', (SELECT count(DISTINCT l_orderkey) FROM lineitem), (SELECT count(*) FROM orders), (SELECT count(DISTINCT l_orderkey) FROM lineitem) - (SELECT count(*) FROM orders), 'ROWS DROPPED'
-UNION ALL SELECT 'NATIONS', (SELECT count(DISTINCT c_nationkey) FROM customer), (SELECT count(*) FROM nation), (SELECT count(DISTINCT c_nationkey) FROM customer) - (SELECT count(*) FROM nation), 'PASS'
+WITH line AS (SELECT count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber)) AS keys, count(DISTINCT l_orderkey) AS orders FROM lineitem),
+pair AS (SELECT unnest([{'name': 'LINES', 'a': n, 'b': keys}, {'name': 'ORDERS', 'a': orders, 'b': (SELECT count(*) FROM orders)},
+  {'name': 'NATIONS', 'a': (SELECT count(DISTINCT c_nationkey) FROM customer), 'b': (SELECT count(*) FROM nation)}]) AS x FROM line)
+SELECT x.name AS check_name, x.a AS gold_rows, x.b AS expected_rows, x.a - x.b AS row_diff, if(x.a = x.b, 'PASS', if(x.a < x.b, 'ROWS DROPPED', 'MORE ROWS THAN EXPECTED')) AS status FROM pair
 """)
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
@@ -473,43 +441,71 @@ def success_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proportions.counts(rows, "o_orderpriority", "done")
 
 
-@query()
+# the critical values of the normal distribution for 5 %, two-sided and one-sided, stand in for its tail, which SQL lacks
+@query("""
+WITH g AS (SELECT o_orderpriority = '1-URGENT' AS urgent, count(*) AS n, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS p FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY ALL),
+d AS (SELECT a.n + b.n AS n, a.p - b.p AS d, sqrt(a.p * (1 - a.p) / a.n + b.p * (1 - b.p) / b.n) AS se FROM g a, g b WHERE a.urgent AND NOT b.urgent)
+SELECT mode, n, round(d, 12) AS difference, round(se, 12) AS se, CASE mode WHEN 'twotail' THEN abs(d / se) >= 1.959963984540054 WHEN 'ge' THEN d / se >= 1.6448536269514722 ELSE d / se <= -1.6448536269514722 END AS reject
+FROM d, (VALUES ('twotail'), ('ge'), ('le')) AS t(mode)
+""")
 def two_proportions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test of two shares: counts in Spark, scalars on the driver. The tail probability is not in SQL."""
+    """Test of two shares: counts in Spark, scalars on the driver."""
     rows = table(spark, sf_dir, "orders").withColumn("done", (F.col("o_orderstatus") == "F").cast("int")).withColumn("urgent", F.col("o_orderpriority") == "1-URGENT")
     found = {r.urgent: r for r in proportions.counts(rows, "urgent", "done").collect()}
     a, b = (proportions.proportion(found[k].n, found[k].successes) if k in found else proportions.proportion(0, 0) for k in (True, False))
-    out = [(m, d.n, d.p, d.se, d.p_value, d.reject) for m in ("twotail", "ge", "le") for d in [proportions.difference(a, b, m)]]
-    return spark.createDataFrame(out, "mode string, n long, difference double, se double, p_value double, reject boolean")
+    out = [(m, d.n, round(d.p, 12), round(d.se, 12), d.reject) for m in ("twotail", "ge", "le") for d in [proportions.difference(a, b, m)]]
+    return spark.createDataFrame(out, "mode string, n long, difference double, se double, reject boolean")
 
 
-@query("""
-SELECT 'o_orderkey' AS name, 'bigint' AS dtype, 0.0 AS null_share, CAST(count(DISTINCT o_orderkey) AS DOUBLE) / count(*) AS distinct_share, CAST(min(o_orderkey) AS VARCHAR) AS min, CAST(max(o_orderkey) AS VARCHAR) AS max FROM orders
-UNION ALL SELECT 'o_orderstatus', 'string', 0.0, CAST(count(DISTINCT o_orderstatus) AS DOUBLE) / count(*), min(o_orderstatus), max(o_orderstatus) FROM orders
-""")
+_PROFILE = "SELECT '{0}' AS name, '{1}' AS dtype, avg(CASE WHEN {0} IS NULL THEN 1.0 ELSE 0.0 END) AS null_share, CAST(count(DISTINCT {0}) AS DOUBLE) / count(*) AS distinct_share, CAST(min({0}) AS VARCHAR) AS min, CAST(max({0}) AS VARCHAR) AS max FROM orders"
+
+
+@query(" UNION ALL ".join(_PROFILE.format(c, kind) for c, kind in (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_orderpriority", "string"))))
 def column_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All columns but the price and the date, which the two engines write differently."""
     from .plans.classifiers import profile
 
-    return profile(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"))
+    return profile(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN date_trunc('day', o_orderdate) END AS stamp FROM orders
+""")
+def file_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days read back from file names; names of every seventh order carry no date that exists."""
+    day = F.when(F.col("o_orderkey") % 7 == 0, "20240231").otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", C.stamp_in_name(F.concat(F.lit("landing/matches_"), day, F.lit(".csv"))).alias("stamp"))
 
 
 # --- files and streams ----------------------------------------------------------------------------------------------
 
 
-@query("SELECT CAST(n_nationkey AS VARCHAR) AS champion_id, n_name AS champion_name, CAST(row_number() OVER (ORDER BY n_nationkey) AS BIGINT) AS file_row_number, 'League Static Data' AS rsrc FROM nation")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS champion_id, c_name AS champion_name, CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS file_row_number, 'League Static Data' AS rsrc FROM customer")
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A CSV export read back as raw rows with load columns."""
     folder = scratch(spark)
-    landing.unload_csv(table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("champion_id"), F.col("n_name").alias("champion_name")).orderBy("n_nationkey"), folder)
+    landing.unload_csv(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("champion_id"), F.col("c_name").alias("champion_name")).orderBy("c_custkey"), folder)
     rows, _ = landing.read_csv(spark, folder, "champions_ref", pattern="part-*")
     return rows.select("champion_id", "champion_name", "file_row_number", "rsrc")
 
 
-@query("SELECT CAST(n_nationkey AS BIGINT) AS champion_id, upper(n_name) AS champion_name FROM nation")
+@query("SELECT CAST(o_orderkey AS BIGINT) AS champion_id, if(o_orderstatus = 'O', 'LATE ', '') || upper(o_orderpriority) AS champion_name FROM orders")
 def stream_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV files through both streams: landing to raw parquet to a keyed table."""
+    """CSV files through both streams: landing to raw parquet to a keyed table. Two files, one of bad rows that is left
+    out, then a second batch that has open orders again and counts for them."""
     lake = Lake(spark, scratch(spark))
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("champion_id"), F.col("n_name").alias("champion_name"))
-    export(lake, nation, "champions_ref")
+    orders = table(spark, sf_dir, "orders")
+    name = lambda df, text: df.select(F.col("o_orderkey").cast("string").alias("champion_id"), F.concat(F.lit(text), F.col("o_orderpriority")).alias("champion_name"))
+    export(lake, name(orders.where("o_orderkey % 2 = 0"), ""), "champions_ref_1")
+    export(lake, name(orders.where("o_orderkey % 2 != 0"), ""), "champions_ref_2")
+    bad = name(orders, "bad ").withColumns({"one": F.lit("x"), "more": F.lit("y")})
+    export(lake, bad, "champions_ref_3")
+    refresh(lake, ("champions_ref",))
+    export(lake, name(orders.where("o_orderstatus = 'O'"), "late "), "champions_ref_4")
     refresh(lake, ("champions_ref",))
     return lake.silver("champions_ref").read()
+
+
+# the models, cleaning and checks over a season made of these tables
+QUERIES.update(season_queries.QUERIES)
+SQL.update(season_queries.SQL)

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.rows import upsert
-from ..operators.versions import VersionedTable
+from ..operators.keyed import KeyedTable
 from ..plans.schemas import KEYS, LOAD_COLUMNS, LOAD_ORDER, RAW, SILVER
 from ..plans.silver import cleaned
 from ..sources.landing import accepted_rows, csv_options, csv_schema, file_report, numbered, with_load_columns
@@ -31,8 +30,8 @@ class Lake:
     def bronze(self, table: str) -> DataFrame:
         return self.spark.read.schema(self.bronze_schema(table)).parquet(self.path("bronze", table))
 
-    def silver(self, table: str) -> VersionedTable:
-        return VersionedTable(self.spark, self.path("silver", table), SILVER[table])
+    def silver(self, table: str) -> KeyedTable:
+        return KeyedTable(self.spark, self.path("silver", table), SILVER[table], KEYS[table])
 
     def silver_tables(self) -> dict[str, DataFrame]:
         return {t: self.silver(t).read() for t in SILVER}
@@ -63,7 +62,7 @@ def refine(lake: Lake, table: str, every: str | None = None) -> StreamingQuery:
     """New bronze rows, cleaned, upserted into silver. A batch that is run again changes nothing."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        lake.silver(table).replace(lambda now: upsert(now, cleaned(table, batch), KEYS[table], LOAD_ORDER), batch_id)
+        lake.silver(table).upsert(cleaned(table, batch), LOAD_ORDER)
 
     stream = lake.spark.readStream.schema(lake.bronze_schema(table)).option("recursiveFileLookup", "true").parquet(lake.path("bronze", table))
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", lake.path("checkpoints", "refine", table))

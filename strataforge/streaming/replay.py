@@ -1,20 +1,20 @@
-"""Replay of a seed, one match day at a time, newest first: a small state machine over a one-row table."""
+"""Replay of a seed, one match day at a time, newest first. Its state is a table that grows by a row a step."""
 
 from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import parse_timestamp
-from ..operators.versions import VersionedTable
 from ..plans.schemas import RAW
 from ..sources.landing import listing, unload_csv
 from .pipes import Lake, refresh
 
-STATE = T.StructType([T.StructField(c, T.DateType()) for c in ("current_day", "first_day", "last_day")])
+STATE = T.StructType([T.StructField("step", T.LongType()), *[T.StructField(c, T.DateType()) for c in ("current_day", "first_day", "last_day")]])
 FACTS = ("matches", "players", "intervals")
 
 
@@ -66,20 +66,28 @@ class Replay:
     def __init__(self, lake: Lake, seed: dict[str, DataFrame]) -> None:
         self.lake, self.seed = lake, seed
         self.days = match_days(seed["matches"])
-        self.state = VersionedTable(lake.spark, lake.path("state"), STATE)
+
+    def state(self) -> DataFrame:
+        """The last row of the state; none before the start."""
+        try:
+            rows = self.lake.spark.read.schema(STATE).parquet(self.lake.path("state"))
+        except AnalysisException:
+            rows = self.lake.spark.createDataFrame([], STATE)
+        return rows.orderBy(F.desc("step")).limit(1)
 
     def _save(self, *row: dt.date | None) -> None:
-        self.state.replace(lambda _: self.lake.spark.createDataFrame([row], STATE))
+        last = self.state().first()
+        self.lake.spark.createDataFrame([(last.step + 1 if last else 0, *row)], STATE).write.mode("append").parquet(self.lake.path("state"))
 
     def initialise(self) -> None:
         """Start at the newest day, if nothing has started yet."""
-        if self.state.read().first() is None:
+        if self.state().first() is None:
             ends = self.days.agg(F.max("day").alias("last"), F.min("day").alias("first")).first()
             self._save(ends["last"], ends["first"], ends["last"])
 
     def current(self) -> dt.date | None:
         """The day to load next; None before the start, without days, and when all are loaded."""
-        row = self.state.read().first()
+        row = self.state().first()
         return None if row is None or row.current_day is None or row.current_day < row.first_day else row.current_day
 
     def stage(self, table: str, day: dt.date) -> str:
@@ -90,7 +98,7 @@ class Replay:
 
     def advance(self) -> None:
         """To the next older day that has matches; past the oldest, to the day before it, which means exhausted."""
-        row = self.state.read().first()
+        row = self.state().first()
         older = self.days.where(F.col("day") < F.lit(row.current_day)).agg(F.max("day").alias("day")).first()["day"]
         self._save(older or row.first_day - dt.timedelta(days=1), row.first_day, row.last_day)
 
@@ -112,5 +120,4 @@ class Replay:
 
     def progress(self) -> DataFrame:
         """days_ingested and days_remaining; the latter is -1 when exhausted."""
-        state = self.state.read()
-        return state.select("*", F.date_diff("last_day", "current_day").alias("days_ingested"), F.date_diff("current_day", "first_day").alias("days_remaining"))
+        return self.state().drop("step").select("*", F.date_diff("last_day", "current_day").alias("days_ingested"), F.date_diff("current_day", "first_day").alias("days_remaining"))
