@@ -45,13 +45,14 @@ rep AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, p FROM (SELEC
 lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, E'\\n')) AS line FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY doc_id),
 same AS (SELECT doc_id, count(*) FILTER (WHERE w[i] = w[i + 1]) AS n FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d) GROUP BY doc_id),
 c AS (SELECT d.doc_id, text, CAST(len(w) AS BIGINT) AS n, CAST(length(array_to_string(w, '')) AS BIGINT) AS chars, CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS symbols,
-    coalesce(lines.n, 0) AS dup, coalesce(rep.n, 0) AS rep, len(string_split(text, E'\\n')) AS all_lines, len(list_distinct(w)) AS different, coalesce(same.n, 0) AS same,
+    coalesce(lines.n, 0) AS dup, coalesce(rep.n, 0) AS rep, len(string_split(text, E'\\n')) AS all_lines, 100 * CASE WHEN len(w) <= 5000 THEN len(list_distinct(w)) ELSE list_sum(list_transform(range(0, (len(w) - 1) // 5000 + 1), lambda i: len(list_distinct(w[least(i * 5000, len(w) - 5000) + 1 : least(i * 5000, len(w) - 5000) + 5000])))) END
+      < 20 * CASE WHEN len(w) <= 5000 THEN len(w) ELSE 5000 * ((len(w) - 1) // 5000 + 1) END AS few, coalesce(same.n, 0) AS same,
     length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÄÇÈÉÊËÌÍÎÏÑÒÓÔÖÙÚÛÜ', '')) AS upper, length(text) - length(translate(text, '!?', '')) AS marks, length(text) - length(translate(text, '0123456789', '')) AS digits
   FROM d LEFT JOIN rep ON rep.doc_id = d.doc_id LEFT JOIN lines ON lines.doc_id = d.doc_id LEFT JOIN same ON same.doc_id = d.doc_id),
 f AS (SELECT *, n < 20 OR 100 * rep > 30 * n AS failed FROM c)
 SELECT doc_id, n AS n_words, chars AS word_chars, symbols AS n_symbols, dup AS n_dup_lines, rep AS n_repeat_words, failed AS base_failed,
   NOT (failed OR 100 * symbols > 10 * n OR 2 * dup > all_lines OR chars > 14 * n OR chars < 2 * n OR 100 * upper > 30 * chars OR 100 * marks > 10 * n OR 100 * digits > 25 * chars
-    OR (n BETWEEN 50 AND 5000 AND 100 * different < 20 * n) OR (n >= 20 AND 100 * same > 15 * n)) AS kept FROM f
+    OR (n >= 50 AND few) OR (n >= 20 AND 100 * same > 15 * n)) AS kept FROM f
 """
 
 OP9 = f"""
