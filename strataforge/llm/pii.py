@@ -61,9 +61,9 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
-def _apart(text: Column, found: Column) -> Column:
-    """The terms of the whole text, as spans, that neither overlap nor touch a span of found."""
-    return F.filter(spans(text, TERM), lambda t: ~F.exists(found, lambda x: (x["start"] <= t["end"]) & (x["end"] >= t["start"])))
+def _terms(text: Column) -> Column:
+    """The distinct terms of a whole text, in lower case."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
 def _found() -> Column:
@@ -80,11 +80,11 @@ def _with_found(rows: DataFrame) -> DataFrame:
 
 def detect(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, h (hash of the text), found: its spans (kind, start, end, value), entities, and
-    terms: the distinct terms apart from the spans, of texts with entities."""
+    terms: the distinct terms of texts with entities."""
     rows = id_text(docs, id_col, text_col).select("doc_id", text_or_empty(F.col("text")).alias("text"))
     rows = _with_found(rows)
     entity = lambda x: F.concat_ws(":", x["kind"].cast("string"), F.when(x["kind"] == 0, F.lower(x["value"])).when(x["kind"] == 1, x["value"]).otherwise(_digits(x["value"])))
-    terms = F.array_distinct(F.transform(_apart(F.col("text"), F.col("found")), lambda t: F.lower(t["value"])))
+    terms = _terms(F.col("text"))
     return rows.select(
         "doc_id", F.xxhash64("text").alias("h"), "found", F.array_distinct(F.transform("found", entity)).alias("entities"),
         F.when(F.size("found") > 0, terms).otherwise(F.array().cast("array<string>")).alias("terms"),
@@ -100,7 +100,7 @@ def _over(pairs: DataFrame, n: int, share: float) -> DataFrame:
 def _words(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
     """(h, term): the terms among `terms` (a column term) that each distinct text of docs holds."""
     text = text_or_empty(docs[text_col])
-    words = docs.select(F.xxhash64(text).alias("h"), F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("term"))
+    words = docs.select(F.xxhash64(text).alias("h"), F.explode(_terms(text)).alias("term"))
     return words.join(checked(terms), "term", "left_semi").distinct()
 
 
@@ -136,12 +136,15 @@ def personal_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     found = cut(detect(docs, id_col=id_col, text_col=text_col))
     told, words = disclosures(docs, found, share=share, support=support, text_col=text_col)
     told = checked(cut(told.groupBy("term").agg(F.max("certain").alias("certain"))))
-    here = words.join(told, "term").groupBy("h").agg(F.collect_list(F.struct("term", "certain")).alias("told"))
     texts = docs.select(text_or_empty(docs[text_col]).alias("text")).withColumn("h", F.xxhash64("text"))
-    texts = _with_found(texts.join(checked(cut(here)), "h").dropDuplicates(["h"]))
-    known = lambda t: F.filter("told", lambda x: x["term"] == F.lower(t["value"]))
-    terms = F.transform(_apart(F.col("text"), F.col("found")), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.get(known(t), 0)["certain"].alias("certain")))
-    marks = texts.select("h", F.filter(terms, lambda t: t["certain"].isNotNull()).alias("terms"))
+    texts = texts.join(checked(cut(words.join(told, "term").select("h").distinct())), "h", "left_semi").dropDuplicates(["h"])
+    # every word of these texts meets the terms that tell; only then the spans are looked at
+    hits = texts.select("h", F.explode(spans(F.col("text"), TERM)).alias("t")).withColumn("term", F.lower("t.value")).join(told, "term")
+    base = found.where(F.size("found") > 0).select("h", "found").dropDuplicates(["h"])
+    hits = cut(hits.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("t.start", "t.end", "certain"))).alias("terms"))).join(base, "h", "left")
+    beside = lambda t, x: (x["start"] <= t["end"]) & (x["end"] >= t["start"])
+    clear = lambda t: ~F.exists("found", lambda x: beside(t, x))
+    marks = hits.select("h", F.when(F.col("found").isNull(), F.col("terms")).otherwise(F.filter("terms", clear)).alias("terms"))
     none = F.array().cast("array<struct<start:bigint,end:bigint,certain:boolean>>")
     return found.select("doc_id", "h", "found").join(checked(cut(marks)), "h", "left").select("doc_id", "h", "found", F.coalesce("terms", none).alias("terms"))
 

@@ -126,8 +126,9 @@ apart AS (SELECT word.doc_id, h, lower(value) AS term, start, start + length(val
   WHERE NOT EXISTS (SELECT 1 FROM found f WHERE f.doc_id = word.doc_id AND f.start <= word.start + length(word.value) AND f.start + length(f.value) >= word.start)),
 n AS (SELECT count(DISTINCT h) AS n FROM d),
 holds AS (SELECT entity, count(*) AS n_e FROM entity GROUP BY entity),
-pair AS (SELECT entity, term, count(*) AS n_te FROM (SELECT DISTINCT h, term FROM apart) JOIN entity USING (h) GROUP BY entity, term HAVING count(*) >= 3),
-words AS (SELECT term, count(DISTINCT h) AS n_t FROM (SELECT h, unnest(list_distinct(regexp_extract_all(lower(text), '\\p{{L}}+'))) AS term FROM d) WHERE term IN (SELECT term FROM pair) GROUP BY term),
+held AS (SELECT h, unnest(list_distinct(regexp_extract_all(lower(text), '\\p{{L}}+'))) AS term FROM (SELECT DISTINCT h, text FROM d)),
+pair AS (SELECT entity, term, count(*) AS n_te FROM held JOIN entity USING (h) GROUP BY entity, term HAVING count(*) >= 3),
+words AS (SELECT term, count(*) AS n_t FROM held WHERE term IN (SELECT term FROM pair) GROUP BY term),
 told AS (SELECT DISTINCT pair.term FROM pair JOIN words ON words.term = pair.term JOIN holds ON holds.entity = pair.entity CROSS JOIN n
   WHERE n.n > n_e AND log2(n_te * CAST(n.n AS DOUBLE) / (n_t * n_e)) >= 0.9 * log2(CAST(n.n AS DOUBLE) / n_e)),
 every AS (SELECT doc_id, k, kind, start, start + length(value) AS stop FROM found
