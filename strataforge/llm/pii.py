@@ -98,15 +98,25 @@ def _over(pairs: DataFrame, n: int, share: float) -> DataFrame:
 
 
 def _words(docs: DataFrame, text_col: str, terms: DataFrame) -> DataFrame:
-    """(h, term): the terms among `terms` (a column term) that each distinct text of docs holds."""
+    """(h, term), a row for each row of docs and each of its terms that is among `terms` (a column term)."""
     text = text_or_empty(docs[text_col])
-    words = docs.select(F.xxhash64(text).alias("h"), F.explode(_terms(text)).alias("term"))
-    return words.join(checked(terms), "term", "left_semi").distinct()
+    return docs.select(F.xxhash64(text).alias("h"), F.explode(_terms(text)).alias("term")).join(checked(terms), "term", "left_semi")
 
 
-def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, support: int = SUPPORT, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(entity, term, pmi, ic, certain) of the terms over the threshold, from counts over all distinct texts, and
-    (h, term) of the texts with candidate terms."""
+def _texts_with(docs: DataFrame, text_col: str, found: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n_t): in how many distinct texts each of `terms` is.
+
+    Texts without a copy are counted row by row, before anything moves; only texts that docs has twice or more move
+    with their hash, to count once.
+    """
+    copied = found.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h", F.col("h").alias("copied"))
+    words = _words(docs, text_col, terms).join(checked(cut(copied)), "h", "left")
+    counts = words.groupBy("term", "copied").agg(F.count(F.lit(1)).alias("k"))
+    return counts.groupBy("term").agg(F.sum(F.when(F.col("copied").isNull(), F.col("k")).otherwise(1)).alias("n_t"))
+
+
+def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, support: int = SUPPORT, text_col: str = "text") -> DataFrame:
+    """(entity, term, pmi, ic, certain) of the terms over the threshold, from counts over all distinct texts."""
     n = found.agg(F.countDistinct("h").alias("n")).first()["n"]
     held = found.where(F.size("entities") > 0).select("h", "entities", "terms").dropDuplicates(["h"])
     holders = held.select("h", F.explode("entities").alias("entity"))
@@ -119,9 +129,8 @@ def disclosures(docs: DataFrame, found: DataFrame, *, share: float = SHARE, supp
     least = beside.select("h", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     both = beside.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_te")).where(F.col("n_te") >= support)
     both = cut(_over(both.join(counts, "entity").join(least, "term"), n, share).select("entity", "term", "n_te", "n_e"))
-    words = cut(_words(docs, text_col, cut(both.select("term").distinct())))
-    rows = _over(both.join(words.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "term"), n, share)
-    return rows.select("entity", "term", "pmi", "ic", (F.col("n_t") == F.col("n_te")).alias("certain")), words
+    rows = _over(both.join(_texts_with(docs, text_col, found, cut(both.select("term").distinct())), "term"), n, share)
+    return rows.select("entity", "term", "pmi", "ic", (F.col("n_t") == F.col("n_te")).alias("certain"))
 
 
 def personal_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, support: int = SUPPORT) -> DataFrame:
@@ -134,14 +143,16 @@ def personal_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     they overlap or touch a span of the fixed kinds.
     """
     found = cut(detect(docs, id_col=id_col, text_col=text_col))
-    told, words = disclosures(docs, found, share=share, support=support, text_col=text_col)
-    told = checked(cut(told.groupBy("term").agg(F.max("certain").alias("certain"))))
+    told = disclosures(docs, found, share=share, support=support, text_col=text_col)
+    told = cut(told.groupBy("term").agg(F.max("certain").alias("certain")))
+    here = _words(docs, text_col, told.select("term")).distinct().join(checked(told), "term")
+    here = here.groupBy("h").agg(F.collect_list("term").alias("all"), F.collect_list(F.when(F.col("certain"), F.col("term"))).alias("sure"))
     texts = docs.select(text_or_empty(docs[text_col]).alias("text")).withColumn("h", F.xxhash64("text"))
-    texts = texts.join(checked(cut(words.join(told, "term").select("h").distinct())), "h", "left_semi").dropDuplicates(["h"])
-    # every word of these texts meets the terms that tell; only then the spans are looked at
-    hits = texts.select("h", F.explode(spans(F.col("text"), TERM)).alias("t")).withColumn("term", F.lower("t.value")).join(told, "term")
+    texts = texts.join(checked(cut(here)), "h").dropDuplicates(["h"])
+    telling = F.filter(spans(F.col("text"), TERM), lambda t: F.array_contains("all", F.lower(t["value"])))
+    hits = texts.select("h", F.transform(telling, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.array_contains("sure", F.lower(t["value"])).alias("certain"))).alias("terms"))
     base = found.where(F.size("found") > 0).select("h", "found").dropDuplicates(["h"])
-    hits = cut(hits.groupBy("h").agg(F.array_sort(F.collect_list(F.struct("t.start", "t.end", "certain"))).alias("terms"))).join(base, "h", "left")
+    hits = hits.join(base, "h", "left")
     beside = lambda t, x: (x["start"] <= t["end"]) & (x["end"] >= t["start"])
     clear = lambda t: ~F.exists("found", lambda x: beside(t, x))
     marks = hits.select("h", F.when(F.col("found").isNull(), F.col("terms")).otherwise(F.filter("terms", clear)).alias("terms"))
