@@ -48,6 +48,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files that led to what has been cut since: its cleaner does so once the driver's JVM has
+    collected what referred to them, which a driver with little to do may put off until disks are full."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def binary_texts(column: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each text of an Arrow column; null is empty."""
     for value in column.cast(pa.binary() if not pa.types.is_large_string(column.type) else pa.large_binary()):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import binary_texts, checked, cut, id_text, only, read_table, without
+from .common import binary_texts, checked, cut, id_text, only, read_table, release, without
 from .components import components
 from .shingles import Hasher, mix
 
@@ -298,8 +298,10 @@ def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCE
     order = F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("cls").bitwiseAND(0xFFFFFFFF))
     heads = prefixes.groupBy("token").agg(F.min_by("cls", order).alias("head"), F.min("cls").alias("x"), F.max("cls").alias("y")).where("x < y").select("token", "head")
     shared = cut(prefixes.join(heads, "token").select("token", "cls", "n", "place", "head"))
+    release(docs.sparkSession)
     stars = cut(shared.where("cls != head").select(F.least("head", "cls").alias("a"), F.greatest("head", "cls").alias("b")).distinct())
     first = cut(components(_verified(texts, classes, stars, words, percent, levels)))
+    release(docs.sparkSession)
 
     labels = first.withColumnRenamed("node", "cls").withColumnRenamed("component", "label")
     member = cut(_mixed(shared.select("token", "cls", "n", "place"), labels))
