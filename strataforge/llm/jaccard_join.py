@@ -257,23 +257,34 @@ def _texts_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFr
 
 
 def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Distinct rows (token, cls, n, place) with the label of the class, of tokens that different labels share."""
+    """Distinct rows (token, cls, n, place) with the label of the class, of tokens that different labels share; usual says
+    whether it is the token's most frequent label."""
     rows = rows.distinct().join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    open_ = rows.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("token")
-    return rows.join(open_, "token")
+    counts = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("k"))
+    open_ = counts.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max_by("label", F.struct("k", "label")).alias("top")).where("x < y").select("token", "top")
+    return rows.join(open_, "token").withColumn("usual", F.col("label") == F.col("top")).drop("top")
 
 
 def _pairs(rows: DataFrame, percent: int) -> DataFrame:
     """(a, b, a_label, b_label) of classes with different labels that share a token and may be similar enough by their
-    sizes and the token's places. Sizes are dealt in bands, so that only neighbours in size meet."""
+    sizes and the token's places; the labels are in no order.
+
+    Sizes are dealt in bands, so that only neighbours in size meet. The smaller set of a pair takes part only with the
+    tokens before which it has room for a set of its own size. Of two different labels one is not the token's usual
+    label: rows with the usual one meet the others, never each other, so a large group that is one component already
+    costs a row each for every stranger, not the square of its size.
+    """
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent))
     side = lambda x: [F.col(c).alias(f"{x}{t}") for c, t in (("cls", ""), ("n", "_n"), ("place", "_place"), ("label", "_label"))]
-    left = rows.select("token", *side("a"), band.alias("band"))
-    right = rows.select("token", *side("b"), F.explode(F.array(band - 1, band, band + 1)).alias("band"))
-    near = (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+    strangers = F.when(F.col("usual"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    large = rows.select("token", *side("x"), band.alias("band"), F.explode(strangers).alias("usual"))
+    small = rows.where((100 + percent) * (F.col("n") - F.col("place")) >= 2 * percent * F.col("n"))
+    small = small.select("token", *side("y"), "usual", F.explode(F.array(band, band + 1)).alias("band"))
+    near = (F.struct("x_n", "x") > F.struct("y_n", "y")) & (F.col("x_label") != F.col("y_label")) & (100 * F.col("y_n") >= percent * F.col("x_n"))
     # the first token that two sets share leaves room for enough others behind it in both
-    room = (100 + percent) * F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place")) >= percent * (F.col("a_n") + F.col("b_n"))
-    return left.join(right, ["token", "band"]).where(near & room).select("a", "b", "a_label", "b_label").distinct()
+    room = (100 + percent) * F.least(F.col("x_n") - F.col("x_place"), F.col("y_n") - F.col("y_place")) >= percent * (F.col("x_n") + F.col("y_n"))
+    found = large.join(small, ["token", "band", "usual"]).where(near & room)
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.col("x_label").alias("a_label"), F.col("y_label").alias("b_label")).distinct()
 
 
 def jaccard_classes(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

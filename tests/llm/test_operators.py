@@ -615,6 +615,32 @@ def test_jaccard_query_and_keep_one(spark, data):
         assert sorted((r.doc_id, r.text or "") for r in kept.collect()) == [(1, "A b c d e f g"), (5, ""), (5, ""), (6, ""), (6, "")]
 
 
+def test_pairs_against_brute_force(spark):
+    draw = random.Random(12)
+    n, label = [draw.randrange(1, 60) for _ in range(90)], [draw.choice((1, 1, 1, 2, 3, 4)) for _ in range(90)]
+    rows = [(token, c, n[c], draw.randrange(jaccard_join.prefix_size(n[c], 80))) for token in range(6) for c in range(90) if draw.random() < 0.5]
+    rows += [(9, c, n[c], 0) for c in range(90) if label[c] == 1]  # a token of one label alone
+    member = jaccard_join._mixed(spark.createDataFrame(rows * 2, "token long, cls long, n int, place int"), spark.createDataFrame(list(enumerate(label)), "cls long, label long"))
+    assert member.where("token = 9").count() == 0 and member.count() == len(rows) - label.count(1)
+    assert {r.label for r in member.where("usual").collect()} == {1}
+    want = set()
+    for t, a, x, p in rows:
+        for u, b, y, q in rows:
+            if t == u and a < b and label[a] != label[b] and 100 * min(x, y) >= 80 * max(x, y) and 180 * min(x - p, y - q) >= 80 * (x + y):
+                want.add((a, b, *sorted((label[a], label[b]))))
+    got = [(r.a, r.b, *sorted((r.a_label, r.b_label))) for r in jaccard_join._pairs(member, 80).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_group_with_a_stranger(spark):
+    """A large group of near copies and a few texts beside it: their links are found, as brute force does."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*words, f"own{i}"])) for i in range(1, 150)]
+    rows += [(200 + k, " ".join([*words[: 60 - 2 * k], *(f"x{k}_{j}" for j in range(2 * k))])) for k in range(12)]
+    got = jaccard_join.jaccard_classes(docs(spark, rows), words=4, percent=85)
+    assert {(r.doc_id, r.n_shingles, r.component_id) for r in got.collect()} == set(brute_components(rows, 4, 85))
+
+
 @pytest.mark.parametrize("per_task", [50_000, 10])
 def test_connected_components(spark, monkeypatch, per_task):
     monkeypatch.setattr("strataforge.llm.components.TASK_LINKS", per_task)
