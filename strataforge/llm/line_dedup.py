@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import checked, cut, id_text, read_table, salted_join
 from .shingles import Hasher, mix
@@ -171,19 +172,20 @@ def dedup_lines(docs: DataFrame, *, near_chars: int = NEAR_CHARS, id_col: str =
     """One row per row of docs: _row (a struct of the columns in carry, the id at least), _text without the dropped lines, n_lines, n_dropped.
 
     A null text stays null and has no lines; an empty text has one empty line. Lines are what `\\n` separates, and the
-    lines that stay are joined by it.
+    lines that stay are joined by it. Rows that repeat id and text lose the same lines; an empty table gives no rows.
     """
     gone = cut(duplicate_lines(docs, near_chars=near_chars, id_col=id_col, text_col=text_col))
-    packed = docs.select(F.struct(*[docs[c] for c in carry or [id_col]]).alias("_row"), docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
+    packed = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in carry or [id_col]]).alias("_row"), docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     keys = (F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "text", "doc_id").alias("b"))
     rows = packed.select("_row", F.col("text").alias("_text"), *keys).join(checked(gone), _KEY, "left").select("_row", "_text", "dropped")
-    kind = rows.schema["_row"].dataType.simpleString()
-    return rows.mapInArrow(_without, f"_row {kind}, _text string, n_lines long, n_dropped long")
+    kept = T.StructType([T.StructField("_row", rows.schema["_row"].dataType), T.StructField("_text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    return rows.mapInArrow(_without, kept)
 
 
 def drop_lines(docs: DataFrame, **options) -> DataFrame:
     """docs, with its columns, without redundant lines (n_chars follows the text), and without the documents of which
-    no word is left; documents that had none before stay."""
+    no word is left; documents that had none before stay, null and empty texts among them. Columns of any name stay as
+    they are; an empty table gives no rows."""
     out = dedup_lines(docs, carry=docs.columns, **options)
     has_word = lambda c: F.coalesce(c.rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
     out = out.where(has_word(F.col("_text")) | ~has_word(F.col("_row.text")))
