@@ -139,4 +139,22 @@ SELECT d.doc_id, coalesce(e, 0) AS n_email, coalesce(i, 0) AS n_ip, coalesce(c,
 FROM d LEFT JOIN out ON out.doc_id = d.doc_id
 """
 
-SQL = {"op1_decontaminate": OP1, "op3_line_dedup": OP3, "op4_quality_rules": OP4, "op8_pii": OP8, "op9_jaccard_join": OP9, "op10_secret_scan": OP10}
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+first AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
+w AS (SELECT d.doc_id, part, d.text, first, regexp_extract_all(d.text, '[^\x20\x09-\x0D]+') AS w FROM d JOIN first ON first.text = d.text),
+m AS (SELECT doc_id, part, CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN first < doc_id THEN 16 ELSE 0 END AS mask FROM w),
+cell AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE quality = 1) AS good, count(*) FILTER (WHERE toxic = 1) AS toxic FROM m LEFT JOIN labels ON labels.doc_id = m.doc_id GROUP BY part, mask),
+f AS (SELECT unnest([0, 1, 2, 3, 4]) AS k),
+orders AS (SELECT [a.k, b.k, c.k, d.k, e.k] AS ks FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.k, b.k, c.k, d.k, e.k])) = 5),
+steps AS (SELECT array_to_string(list_transform(ks, lambda k: chr(65 + k)), '') AS filter_order, step, 1 << ks[step] AS bit, list_sum(list_transform(ks[: step - 1], lambda k: 1 << k))::BIGINT AS seen FROM (SELECT ks, unnest([1, 2, 3, 4, 5]) AS step FROM orders)),
+out AS (SELECT part, filter_order, step, bit, coalesce(sum(n) FILTER (WHERE mask & (bit | coalesce(seen, 0)) = 0), 0) AS kept, coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & coalesce(seen, 0) = 0), 0) AS removed,
+  coalesce(sum(n) FILTER (WHERE mask & bit > 0 AND mask & coalesce(seen, 0) > 0), 0) AS redundant, coalesce(sum(n) FILTER (WHERE mask = bit), 0) AS unique_fails,
+  coalesce(sum(good) FILTER (WHERE mask & bit > 0 AND mask & coalesce(seen, 0) = 0), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE mask & bit > 0 AND mask & coalesce(seen, 0) = 0), 0) AS toxic_lost
+  FROM cell, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+  CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM out
+"""
+
+SQL = {"op1_decontaminate": OP1, "op3_line_dedup": OP3, "op4_quality_rules": OP4, "op8_pii": OP8, "op9_jaccard_join": OP9, "op10_secret_scan": OP10, "op13_filter_audit": OP13}
