@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,6 +49,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder in spark.checkpoint.dir; beside the warehouse where that is unset, as `cut` does."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """df as a Parquet table in a new shared folder, and that folder: smaller than a cut, and read by columns."""
+    folder = shared_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Delete what `stored` has written, once nothing reads it any more."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files that led to what has been cut since: its cleaner does so once the driver's JVM has
     collected what referred to them, which a driver with little to do may put off until disks are full."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .collocations import op11_collocations
 from .decontaminate import op1_decontaminate
 from .filter_audit import op13_filter_audit
 from .jaccard_join import op9_jaccard_join
@@ -15,4 +16,4 @@ from .sentence_pieces import op6_sentence_pieces
 from .sql import SQL as SQL
 from .token_counts import op5_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rank, op3_line_dedup, op4_quality_rules, op5_token_counts, op6_sentence_pieces, op7_lm_score, op8_pii, op9_jaccard_join, op10_secret_scan, op13_filter_audit)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_quality_rank, op3_line_dedup, op4_quality_rules, op5_token_counts, op6_sentence_pieces, op7_lm_score, op8_pii, op9_jaccard_join, op10_secret_scan, op11_collocations, op13_filter_audit)}

@@ -139,6 +139,23 @@ SELECT d.doc_id, coalesce(e, 0) AS n_email, coalesce(i, 0) AS n_ip, coalesce(c,
 FROM d LEFT JOIN out ON out.doc_id = d.doc_id
 """
 
+OP11 = rf"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+gram AS (SELECT lang, s, unnest(list_transform(range(1, len(w) - s + 2), lambda i: array_to_string(w[i : i + s - 1], ' '))) AS phrase FROM w, (SELECT unnest([1, 2, 3]) AS s)),
+f AS (SELECT lang, s, phrase, count(*) AS f, string_split(phrase, ' ') AS p FROM gram GROUP BY lang, s, phrase),
+size AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE s = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE s > 1 AND f >= 10),
+inner_ AS (SELECT lang, unnest([array_to_string(p[1:2], ' '), array_to_string(p[2:3], ' ')]) AS phrase, f FROM cand WHERE s = 3),
+most AS (SELECT lang, phrase, max(f) AS f FROM inner_ GROUP BY lang, phrase),
+kept AS (SELECT cand.* FROM cand LEFT JOIN most ON most.lang = cand.lang AND most.phrase = cand.phrase WHERE most.f IS NULL OR 100 * most.f < 50 * cand.f),
+cuts AS (SELECT lang, s, phrase, f, k, array_to_string(p[1:k], ' ') AS a, array_to_string(p[k + 1:], ' ') AS b FROM kept, (SELECT unnest([1, 2]) AS k) WHERE k < s),
+scored AS (SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, k, (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.a AND x.s = k JOIN f y ON y.lang = c.lang AND y.phrase = c.b AND y.s = c.s - k),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM best JOIN size ON size.lang = best.lang QUALIFY row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
 OP13 = r"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
 first AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
@@ -157,4 +174,4 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
   CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM out
 """
 
-SQL = {"op1_decontaminate": OP1, "op3_line_dedup": OP3, "op4_quality_rules": OP4, "op8_pii": OP8, "op9_jaccard_join": OP9, "op10_secret_scan": OP10, "op13_filter_audit": OP13}
+SQL = {"op1_decontaminate": OP1, "op3_line_dedup": OP3, "op4_quality_rules": OP4, "op8_pii": OP8, "op9_jaccard_join": OP9, "op10_secret_scan": OP10, "op11_collocations": OP11, "op13_filter_audit": OP13}
