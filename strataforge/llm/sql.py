@@ -156,6 +156,18 @@ SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC,
 FROM best JOIN size ON size.lang = best.lang QUALIFY row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, phrase) <= 2000
 """
 
+OP12 = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, i, md5(hex(b[i + 1 : i + 100])) AS w FROM (SELECT doc_id, b, unnest(range(octet_length(b) - 99)) AS i FROM d)),
+gone AS (SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1),
+run AS (SELECT doc_id, i, i > 100 + lag(i, 1, -1000) OVER (PARTITION BY doc_id ORDER BY i) AS new FROM gone),
+cut AS (SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM (SELECT doc_id, i, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS r FROM run) GROUP BY doc_id, r),
+edge AS (SELECT doc_id, list(lo ORDER BY lo) AS los, list(hi ORDER BY lo) AS his, sum(hi - lo) AS removed FROM cut GROUP BY doc_id),
+kept AS (SELECT d.doc_id, b, removed, len(los) AS n_spans, CASE WHEN los IS NULL THEN hex(b) ELSE array_to_string(list_transform(range(1, len(los) + 2),
+  lambda k: hex(b[CASE WHEN k = 1 THEN 1 ELSE his[k - 1] + 1 END : CASE WHEN k > len(los) THEN octet_length(b) ELSE los[k] END])), '') END AS left_ FROM d LEFT JOIN edge ON edge.doc_id = d.doc_id)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(left_)) AS kept_sha256 FROM kept
+"""
+
 OP13 = r"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
 first AS (SELECT text, min(doc_id) AS first FROM d GROUP BY text),
@@ -174,4 +186,4 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
   CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley FROM out
 """
 
-SQL = {"op1_decontaminate": OP1, "op3_line_dedup": OP3, "op4_quality_rules": OP4, "op8_pii": OP8, "op9_jaccard_join": OP9, "op10_secret_scan": OP10, "op11_collocations": OP11, "op13_filter_audit": OP13}
+SQL = {"op1_decontaminate": OP1, "op3_line_dedup": OP3, "op4_quality_rules": OP4, "op8_pii": OP8, "op9_jaccard_join": OP9, "op10_secret_scan": OP10, "op11_collocations": OP11, "op12_suffix_dedup": OP12, "op13_filter_audit": OP13}
