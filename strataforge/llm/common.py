@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,13 @@ def discard(spark: SparkSession, *folders: str) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def to_tasks(spark: SparkSession, value: object) -> Callable[[], object]:
+    """value for all tasks, of a size the caller has bounded. A broadcast names own classes by their module, which executors
+    may not have; so it goes as bytes that hold the classes too (see strataforge/__init__.py)."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(packed.value)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files that led to what has been cut since: its cleaner does so once the driver's JVM has
     collected what referred to them, which a driver with little to do may put off until disks are full."""

@@ -1,10 +1,10 @@
 """Benchmark decontamination over a positional inverted index.
 
-The corpus is indexed once: for the terms that matter to the test windows, each document keeps its postings (term,
-position), and those of a window's rarest term with the ids of the test terms around. Windows are looked up from their
-rarest terms: the posting lists of those terms are shifted by the terms' offsets in the window and intersected on
-(document, start); with what stands around compared term by term, that gives exact phrase matches. Proximity matches
-start from the rarest term too: terms are sought around it, the next rarest first, until one is missing.
+The corpus is indexed by document: a row holds the posting lists (term, places) of the test terms in it, and the index is
+a stored table. Matches are read off the lists alone. An exact match of a window comes from its rarest term: the lists of
+all its terms, shifted by their offsets in the window, are intersected one after the other, the next rarest first, each
+asked only for the starts that are left. A proximity match starts from the rarest term as well: the lists of the others
+are asked for a place near by, until one has none, then for the least stretch that holds them all.
 
 The test set is handled in blocks of at most `block_windows` distinct windows, so what the driver and the executors
 hold of it is bounded, for either kind of match; every block looks at all documents.
@@ -12,7 +12,7 @@ hold of it is bounded, for either kind of match; every block looks at all docume
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -22,18 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
 
-from .common import ALNUM_TABLE, binary_texts, checked, cut, id_text, read_table, without
+from .common import ALNUM_TABLE, binary_texts, cut, id_text, read_table, stored, to_tasks, without
 
 WINDOW = 10
-#: Lists that are intersected for each window: those of its rarest terms.
-RAREST = 2
 BLOCK_WINDOWS = 100_000
 #: Words that a proximity match may have beside those of the window.
 SLOP = 5
-#: Pairs of a posting and a window that a task looks at together.
-_PAIRS = 100_000
+#: Pairs of a posting and a window that a task looks at together, about.
+_PAIRS = 200_000
 
-_INDEX_SCHEMA = "row long, doc_id {id}, h long, n_words long, postings array<struct<term:int,pos:int,near:binary>>, close array<struct<win:int,pos:int,around:binary>>"
+_INDEX_SCHEMA = "row long, doc_id {id}, h long, n_words long, postings array<struct<term:int,places:array<int>>>"
 
 
 def split_words(text: bytes) -> list[bytes]:
@@ -62,7 +60,7 @@ def test_windows(items: DataFrame, n: int = WINDOW) -> DataFrame:
 
 def _counter(vocabulary):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = vocabulary.value
+        ids = vocabulary()
         total = np.zeros(len(ids) + 1, np.int64)
         for b in batches:
             for text in binary_texts(b.column("text")):
@@ -75,124 +73,158 @@ def _counter(vocabulary):
     return count
 
 
-class _Windows:
-    """The windows of a block as term ids, for the tasks: by rarest term, with their distinct terms, rarest first."""
+class Block:
+    """The windows of a block as term numbers: terms of each by place, rarest first, and distinct terms with their counts."""
 
-    def __init__(self, windows: list[list[int]], frequency: np.ndarray, n: int, rarest: int, slop: int) -> None:
-        self.n, self.slop, self.reach = n, slop, n + slop
-        self.wanted, self.lead = np.zeros(len(frequency), bool), np.zeros(len(frequency), bool)
-        self.size = np.array(list(map(len, windows)), np.int32)
-        self.terms, self.need = np.full((len(windows), n), -1, np.int32), np.zeros((len(windows), n), np.int32)
-        self.lists: list[tuple[int, int, int, bool, int]] = []  # term, offset, window, whether the rarest, number of lists
+    def __init__(self, windows: list[list[int]], frequency: np.ndarray, n: int, slop: int, lists: int) -> None:
+        self.n, self.slop, self.lists = n, slop, min(lists, n)
+        shape = (len(windows), n)
+        self.size = np.array(list(map(len, windows)), np.int64)
+        self.term, self.offset = np.full(shape, -1, np.int64), np.zeros(shape, np.int64)
+        self.distinct, self.need = np.full(shape, -1, np.int64), np.zeros(shape, np.int64)
         for w, seq in enumerate(windows):
             order = sorted(range(len(seq)), key=lambda i: (frequency[seq[i]], i))
             own = list(dict.fromkeys(seq[i] for i in order))
-            self.terms[w, : len(own)] = own
-            self.need[w, : len(own)] = [seq.count(t) for t in own]
-            self.lead[own[0]] = True
-            for i, offset in enumerate(order[:rarest]):
-                self.wanted[seq[offset]] = True
-                self.lists.append((seq[offset], offset, w, i == 0, min(rarest, len(seq))))
-        first = self.terms[:, 0] if len(windows) else np.zeros(0, np.int32)
-        self.by_lead = np.argsort(first, kind="stable").astype(np.int32)
-        self.start = np.searchsorted(first[self.by_lead], np.arange(len(frequency) + 1))
-
-    def close(self, seq: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, window) where all terms of a window, as often as it has them, stand within its size and slop around
-        the places `at` of rarest terms. seq is padded by reach - 1 on either side."""
-        times = self.start[seq[at] + 1] - self.start[seq[at]]
-        place = np.repeat(at, times)
-        inside = np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times)
-        window = self.by_lead[np.repeat(self.start[seq[at]], times) + inside]
-        found = [self._check(seq, place[i : i + _PAIRS], window[i : i + _PAIRS]) for i in range(0, len(place), _PAIRS)]
-        return tuple(np.concatenate(x) for x in zip(*found, strict=True)) if found else (place, window)
-
-    def _check(self, seq: np.ndarray, place: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        around = np.arange(1 - self.reach, self.reach)
-        for j in range(1, self.n):
-            term = self.terms[window, j]
-            keep = (term < 0) | (seq[place[:, None] + around] == term[:, None]).any(1)
-            place, window = place[keep], window[keep]
-        if not len(place):
-            return place, window
-        context, reach = seq[place[:, None] + around], self.size[window] + self.slop
-        # starts of stretches of the window's own reach that hold the place, counted from the left end of the context
-        first = np.arange(self.reach)[None, :]
-        ok = first >= (self.reach - reach)[:, None]
-        for j in range(self.n):
-            sums = np.concatenate([np.zeros((len(place), 1), np.int32), np.cumsum(context == self.terms[window, j][:, None], axis=1, dtype=np.int32)], axis=1)
-            ends = np.minimum(first + reach[:, None], context.shape[1])
-            ok &= (np.take_along_axis(sums, ends, 1) - sums[:, : self.reach] >= self.need[window, j][:, None]) | (self.terms[window, j] < 0)[:, None]
-        ok = ok.any(1)
-        return place[ok], window[ok]
-
-
-def _indexer(vocabulary, windows, context: bool):
+            self.term[w, : len(seq)], self.offset[w, : len(seq)] = [seq[i] for i in order], order
+            self.distinct[w, : len(own)], self.need[w, : len(own)] = own, [seq.count(t) for t in own]
+        self.lead = np.zeros(len(frequency), bool)
+        if len(windows):
+            self.lead[self.term[:, 0]] = True
+
+
+class Postings:
+    """Posting lists of some documents, in one run of places with room between documents: sorted keys of term and place."""
+
+    def __init__(self, term: np.ndarray, place: np.ndarray, length: int) -> None:
+        self.length = length
+        self.keys = np.sort(term * length + place)
+
+    def at(self, term: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """How many postings there are before that place of the list of term, and all those of lesser terms."""
+        return np.searchsorted(self.keys, term * self.length + place)
+
+    def has(self, term: np.ndarray, place: np.ndarray) -> np.ndarray:
+        found = self.at(term, place)
+        return (found < len(self.keys)) & (self.keys[np.minimum(found, len(self.keys) - 1)] == term * self.length + place)
+
+    def leads(self, block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, place) of all postings of the rarest term of each window, some at a time."""
+        first = self.at(block.term[:, 0], np.int64(0))
+        times = self.at(block.term[:, 0] + 1, np.int64(0)) - first
+        some = np.flatnonzero(times)
+        for part in np.split(some, np.flatnonzero(np.diff(np.cumsum(times[some]) // _PAIRS)) + 1):
+            k = times[part]
+            posting = np.arange(int(k.sum())) + np.repeat(first[part] - (np.cumsum(k) - k), k)
+            window = np.repeat(part, k)
+            yield window, self.keys[posting] - block.term[window, 0] * self.length
+
+    def phrases(self, block: Block, window: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(window, start) of exact matches: the lists of the window's terms, shifted by their offsets, are intersected
+        from the rarest on; each next list is asked for the starts that are left."""
+        start = place - block.offset[window, 0]
+        for j in range(1, block.lists):
+            term = block.term[window, j]
+            keep = (term < 0) | self.has(term, start + block.offset[window, j])
+            window, start = window[keep], start[keep]
+        return window, start
+
+    def spans(self, block: Block, window: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, start, span) of stretches around places of rarest terms that hold all terms of the window as often as
+        it has them, within its size and slop. Lists are asked from the rarest on, for what is left; span is the least."""
+        reach = block.size + block.slop
+        for j in range(1, block.n):
+            term, r = block.distinct[window, j], reach[window]
+            keep = (term < 0) | (self.at(term, place + r) > self.at(term, np.maximum(place - r + 1, 0)))
+            window, place = window[keep], place[keep]
+        out = []
+        for back in range(block.n + block.slop):
+            start, fits = place - back, back < reach[window]
+            span = block.size[window]
+            for j in range(block.n):
+                term = block.distinct[window, j]
+                last = self.at(term, start) + block.need[window, j] - 1
+                key = self.keys[np.minimum(last, len(self.keys) - 1)]
+                there = (last < len(self.keys)) & (key < (term + 1) * self.length) & (last >= 0)
+                span = np.where(term < 0, span, np.maximum(span, np.where(there, key - term * self.length - start + 1, 1 << 40)))
+            fits &= (span <= reach[window]) & (start >= 0)
+            out.append((window[fits], start[fits], span[fits]))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def _indexer(vocabulary, block):
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, w = vocabulary.value, windows.value
-        n, pad = w.n, w.reach - 1
-        around, wide = np.arange(1 - n, n), np.arange(1 - w.reach, w.reach)
+        ids, lead = vocabulary(), block().lead
         for b in batches:
-            counts, parts = [], [np.full(pad, -1, "<i4")]
+            n_words, size, terms, counts, places = [], [], [], [], []
             for text in binary_texts(b.column("text")):
                 words = split_words(text)
-                counts.append(len(words))
-                parts += [np.fromiter(map(ids.get, words, repeat(-1)), "<i4", len(words)), np.full(pad, -1, "<i4")]
-            seq, counts = np.concatenate(parts), np.array(counts, np.int64)
-            begin = pad + np.cumsum(counts + pad) - (counts + pad)  # of each document in seq
-            at = np.flatnonzero(w.wanted[seq])
-            of = np.searchsorted(begin, at, "right") - 1
-            lead = w.lead[seq[at]]
-            nears = [x.tobytes() if y else None for x, y in zip(seq[at[:, None] + around], lead.tolist(), strict=True)]
-            postings = pa.StructArray.from_arrays([pa.array(seq[at]), pa.array((at - begin[of]).astype(np.int32)), pa.array(nears, pa.binary())], names=["term", "pos", "near"])
-            place, window = w.close(seq, at[lead])
-            if not context and len(place):  # one place tells that a document has the window
-                _, one = np.unique(np.stack([np.searchsorted(begin, place, "right"), window]), axis=1, return_index=True)
-                place, window = place[one], window[one]
-            order = np.argsort(place, kind="stable")
-            place, window = place[order], window[order]
-            on = np.searchsorted(begin, place, "right") - 1
-            texts = [x.tobytes() for x in seq[place[:, None] + wide]] if context else [None] * len(place)
-            close = pa.StructArray.from_arrays([pa.array(window.astype(np.int32)), pa.array((place - begin[on]).astype(np.int32)), pa.array(texts, pa.binary())], names=["win", "pos", "around"])
-            ends = lambda x: pa.array(np.searchsorted(x, np.arange(len(counts) + 1)).astype(np.int32))
+                seq = np.fromiter(map(ids.get, words, repeat(-1)), np.int32, len(words))
+                n_words.append(len(words))
+                place = np.flatnonzero(seq >= 0)
+                if not lead[seq[place]].any():
+                    size.append(0)
+                    continue
+                place = place[np.argsort(seq[place], kind="stable")]
+                term, times = np.unique(seq[place], return_counts=True)
+                size.append(len(term))
+                terms.append(term)
+                counts.append(times)
+                places.append(place)
+            ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            joined = lambda x: np.concatenate([np.zeros(0, np.int32), *x]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(joined(counts))]).astype(np.int32)), pa.array(joined(places)))
+            postings = pa.StructArray.from_arrays([pa.array(joined(terms)), lists], names=["term", "places"])
             yield pa.RecordBatch.from_arrays(
-                [b.column("row"), b.column("doc_id"), b.column("h"), pa.array(counts), pa.ListArray.from_arrays(ends(of), postings), pa.ListArray.from_arrays(ends(on), close)],
-                names=["row", "doc_id", "h", "n_words", "postings", "close"],
+                [b.column("row"), b.column("doc_id"), b.column("h"), pa.array(n_words, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), postings)],
+                names=["row", "doc_id", "h", "n_words", "postings"],
             )
 
     return index
 
 
-def _block_index(rows: DataFrame, windows: list[list[str]], n: int, rarest: int, slop: int, context: bool = False) -> tuple[DataFrame, _Windows]:
-    """The index of the documents for these windows."""
+def _matcher(block):
+    """(row, win, start, span, exact) of all matches, from the postings of the documents alone."""
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        b = block()
+        room = b.n + b.slop
+        for batch in batches:
+            postings = batch.column("postings")
+            of = np.repeat(np.arange(len(postings)), np.diff(postings.offsets.to_numpy()))
+            flat = postings.flatten()
+            if not len(flat):
+                continue
+            lists = flat.field("places")
+            times = np.diff(lists.offsets.to_numpy())
+            begin = room + np.cumsum(batch.column("n_words").to_numpy() + room) - (batch.column("n_words").to_numpy() + room)
+            term, place = np.repeat(flat.field("term").to_numpy().astype(np.int64), times), lists.flatten().to_numpy() + np.repeat(begin[of], times)
+            held = Postings(term, place, int(begin[-1] + batch.column("n_words")[-1].as_py() + 2 * room))
+            for window, at in held.leads(b):
+                for exact, (win, start, *span) in ((True, held.phrases(b, window, at)), (False, held.spans(b, window, at))):
+                    row = np.searchsorted(begin, start + (0 if exact else span[0] - 1), "right") - 1
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("row").take(pa.array(row)), pa.array(win.astype(np.int32)), pa.array(start - begin[row]), pa.array(b.size[win] if exact else span[0]), pa.array(np.full(len(win), exact))],
+                        names=["row", "win", "start", "span", "exact"],
+                    )
+
+    return match
+
+
+def _block_index(rows: DataFrame, windows: list[list[str]], n: int, slop: int, lists: int) -> tuple[DataFrame, Callable[[], Block]]:
+    """The index of the documents for these windows, stored: for each document its words and its posting lists of test terms."""
     spark = rows.sparkSession
     terms = {t: i for i, t in enumerate(sorted({t for words in windows for t in words}))}
-    vocabulary = spark.sparkContext.broadcast({t.encode(): i for t, i in terms.items()})
+    vocabulary = to_tasks(spark, {t.encode(): i for t, i in terms.items()})
     counted = rows.select("text").mapInArrow(_counter(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     frequency = np.zeros(len(terms) + 1, np.int64)
     for term, k in counted.toLocalIterator():
         frequency[term] = k
-    own = _Windows([[terms[t] for t in words] for words in windows], frequency, n, rarest, slop)
+    block = to_tasks(spark, Block([[terms[t] for t in words] for words in windows], frequency, n, slop, lists))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_indexer(vocabulary, spark.sparkContext.broadcast(own), context), _INDEX_SCHEMA.format(id=kind)), own
+    return stored(rows.mapInArrow(_indexer(vocabulary, block), _INDEX_SCHEMA.format(id=kind)))[0], block
 
 
-def _exact(index: DataFrame, windows: list[list[str]], own: _Windows) -> DataFrame:
-    """(row, start, size, win) of exact matches: shifted lists of the rarest terms, intersected on document and start."""
-    spark, n = index.sparkSession, own.n
-    terms = {t: i for i, t in enumerate(sorted({t for words in windows for t in words}))}
-    lists = [(t, o, w, first, k, len(windows[w]), bytearray(np.array([terms[x] for x in windows[w]], "<i4").tobytes()) if first else None) for t, o, w, first, k in own.lists]
-    lookup = spark.createDataFrame(lists, "term int, offset int, win int, lead boolean, n_lists int, size int, phrase binary")
-    postings = index.select("row", F.explode("postings").alias("p")).select("row", "p.term", "p.pos", "p.near")
-    shifted = lambda which: postings.join(F.broadcast(lookup.where(which)), "term").withColumn("start", F.col("pos") - F.col("offset"))
-    seen = F.substring("near", 4 * (n - 1 - F.col("offset")) + 1, 4 * F.col("size"))
-    lead = cut(shifted("lead").where(seen == F.col("phrase")).select("row", "start", "win", "size", "n_lists"))
-    key = ["row", "start", "win"]
-    others = shifted("not lead").select(*key).join(checked(lead.select(*key)), key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    return lead.join(others, key, "left").where(F.coalesce("n", F.lit(0)) + 1 == F.col("n_lists")).select("row", "start", "size", "win")
-
-
-def _blocks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, n: int, block_windows: int) -> tuple[DataFrame, DataFrame, list[list[list[str]]] | Iterator]:
+def _blocks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, n: int, block_windows: int) -> tuple[DataFrame, DataFrame, Iterator[list[list[str]]]]:
     """Rows of docs (row, doc_id, h, text), windows of items (item_id, phrase), and the blocks of windows in turn."""
     rows = id_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("h"), "text")
     windows = cut(test_windows(items.select("item_id", F.col("text").cast("string").alias("text")), n).withColumn("phrase", F.array_join("words", " ")))
@@ -204,14 +236,22 @@ def _blocks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, n: in
     return rows, windows.select("item_id", "phrase"), map(part, range(n_blocks))
 
 
-def _named(hits: DataFrame, part: list[list[str]]) -> DataFrame:
-    """hits with the phrase of their window (win) in place of its number."""
-    keys = hits.sparkSession.createDataFrame([(i, " ".join(words)) for i, words in enumerate(part)], "win int, phrase string")
-    return hits.join(F.broadcast(keys), "win").drop("win")
+def _all_matches(docs: DataFrame, items: DataFrame, id_col: str, text_col: str, n: int, slop: int, lists: int, block_windows: int) -> tuple[DataFrame, DataFrame]:
+    """(row, doc_id, h, n_words) of the documents and (row, start, span, exact, item_id) of matches, block by block."""
+    rows, windows, blocks = _blocks(docs, items, id_col, text_col, n, block_windows)
+    base, found = None, None
+    for part in blocks:
+        index, block = _block_index(rows, part, n, slop, lists)
+        keys = docs.sparkSession.createDataFrame([(i, " ".join(words)) for i, words in enumerate(part)], "win int, phrase string")
+        hits = index.select("row", "n_words", "postings").mapInArrow(_matcher(block), "row long, win int, start long, span long, exact boolean")
+        hits = cut(hits.distinct()).join(F.broadcast(keys), "win").drop("win")
+        base = index.select("row", "doc_id", "h", "n_words") if base is None else base
+        found = hits if found is None else found.unionByName(hits)
+    return base, found.join(windows, "phrase").drop("phrase")
 
 
 def matches(
-    docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, rarest: int = RAREST, slop: int = SLOP, block_windows: int = BLOCK_WINDOWS
+    docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, lists: int = WINDOW, slop: int = SLOP, block_windows: int = BLOCK_WINDOWS
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows of the documents (row, doc_id, h: a hash of the text, n_words), exact matches (row, start, size, item_id), and
     (row, item_id) of proximity matches: all words of a window, in any order, within its size and slop.
@@ -219,20 +259,10 @@ def matches(
     docs needs id_col and text_col, items item_id and text; other columns are ignored. A null or empty text has no
     words and no match. Rows that repeat an id are separate rows. Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`
     after lower-casing A-Z. Ties between equally rare terms go to the earlier offset, which changes no result. Empty
-    tables give no matches.
+    tables give no matches. With fewer lists than a window has words, those of its rarest words alone are intersected.
     """
-    rows, windows, blocks = _blocks(docs, items, id_col, text_col, n, block_windows)
-    base, found, close = None, None, None
-    for part in blocks:
-        index, own = _block_index(rows, part, n, rarest, slop)
-        index = cut(index)
-        hits = _named(_exact(index, part, own), part)
-        near = _named(index.select("row", F.explode("close.win").alias("win")), part)
-        base = index.select("row", "doc_id", "h", "n_words") if base is None else base
-        found = hits if found is None else found.unionByName(hits)
-        close = near if close is None else close.unionByName(near)
-    by_item = lambda x: x.join(windows, "phrase").drop("phrase")
-    return base, by_item(found).select("row", "start", "size", "item_id"), by_item(close).select("row", "item_id").distinct()
+    base, found = _all_matches(docs, items, id_col, text_col, n, slop, lists, block_windows)
+    return base, found.where("exact").select("row", "start", F.col("span").alias("size"), "item_id"), found.where("not exact").select("row", "item_id").distinct()
 
 
 def proximity_matches(docs: DataFrame, items: DataFrame, *, slop: int = SLOP, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
@@ -242,29 +272,8 @@ def proximity_matches(docs: DataFrame, items: DataFrame, *, slop: int = SLOP, id
     all. A term that the window has twice must be there twice. Null, empty and repeated rows are as in `matches`; equal
     matches are given once.
     """
-    rows, windows, blocks = _blocks(docs, items, id_col, text_col, n, block_windows)
-    kind, out = rows.schema["doc_id"].dataType.simpleString(), None
-    for part in blocks:
-        index, own = _block_index(rows, part, n, 1, slop, context=True)
-        own = docs.sparkSession.sparkContext.broadcast(own)
-
-        def stretches(batches: Iterator[pa.RecordBatch], own=own) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                w, out = own.value, []
-                for doc, win, pos, around in zip(*(b.column(c).to_pylist() for c in ("doc_id", "win", "pos", "around")), strict=True):
-                    seq, size, need = np.frombuffer(around, "<i4"), int(w.size[win]), {t: k for t, k in zip(w.terms[win].tolist(), w.need[win].tolist(), strict=True) if t >= 0}
-                    for left in range(w.reach - size - w.slop, w.reach):
-                        stretch = seq[left : left + size + w.slop]
-                        if int(stretch[0]) in need and all((stretch == t).sum() >= k for t, k in need.items()):
-                            span = next(m for m in range(size, len(stretch) + 1) if all((stretch[:m] == t).sum() >= k for t, k in need.items()))
-                            out.append((doc, win, pos - (w.reach - 1) + left, span))
-                types = (b.column("doc_id").type, pa.int32(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["doc_id", "win", "start", "span"])
-
-        hits = index.select("doc_id", F.explode("close").alias("c")).select("doc_id", "c.*").mapInArrow(stretches, f"doc_id {kind}, win int, start int, span int")
-        hits = _named(hits, part)
-        out = hits if out is None else out.unionByName(hits)
-    return out.join(windows, "phrase").select("doc_id", "item_id", "start", "span").distinct()
+    base, found = _all_matches(docs, items, id_col, text_col, n, slop, n, block_windows)
+    return base.select("row", "doc_id").join(found.where("not exact"), "row").select("doc_id", "item_id", "start", "span").distinct()
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
