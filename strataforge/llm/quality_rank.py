@@ -43,6 +43,11 @@ def _shares(counts: np.ndarray) -> tuple[float, float]:
     return counts[65:91].sum() / max(1, letters), counts[_SYMBOLS].sum() / max(1, counts.sum())
 
 
+def _starts(n: int, size: int) -> list[int]:
+    """Starts of stretches that cover 0 to n, all of the same size but where n is less."""
+    return sorted({max(0, min(i, n - size)) for i in range(0, n, size)})
+
+
 def features(text: bytes) -> list[float]:
     """Statistics of one whole text; all 0 but `empty` where it has no word."""
     words = text.split()
@@ -52,10 +57,10 @@ def features(text: bytes) -> list[float]:
     c, n, k = np.bincount(raw, minlength=256), len(raw), len(words)
     lines = [x for x in text.split(b"\n") if x.strip()]
     upper, symbol = _shares(c)
-    # the worst stretch of about a thousand bytes, so that junk inside a long clean text shows
-    edges = range(0, n, 1024) if n > 2048 else (0,)
-    parts = [_shares(np.bincount(raw[i : i + 1024], minlength=256)) for i in edges if n - i >= 256 or i == 0]
-    chunks = [words[i : i + 100] for i in range(0, k, 100) if k - i >= 30 or i == 0]
+    # the worst stretch of a thousand bytes or a hundred words, so that junk inside a long clean text shows; the last one
+    # ends with the text, a shorter text is one stretch
+    parts = [_shares(np.bincount(raw[i : i + 1024], minlength=256)) for i in _starts(n, 1024)]
+    chunks = [words[i : i + 100] for i in _starts(k, 100)]
     same = sum(map(bytes.__eq__, words, words[1:]))
     doubled = sum(text.count(x) for x in (b"!!", b"**", b"##", b"$$", b"%%", b"&&", b" | "))
     return [
