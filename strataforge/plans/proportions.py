@@ -1,4 +1,8 @@
-"""Who reaches two of three milestones first, and whether that goes with winning: counts in Spark, a test on the driver."""
+"""Who reaches two of three milestones first, and whether that goes with winning: shares, intervals and tests.
+
+For any number of groups all of it is columns (`share_columns`, `difference_columns`, `feat_tests`); `proportion` and
+`difference` say the same of single numbers.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +10,11 @@ import math
 from dataclasses import dataclass
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.normal import upper_quantile, upper_tail
+
 MILESTONES = (("team_kills", 3), ("team_towers", 1), ("epic_monsters", 3))
 
 
@@ -103,3 +109,42 @@ def feat_test(rows: DataFrame, mode: str = "twotail", alpha: float = 0.05, offse
     found = {r.has_feat: r for r in counts(teams if team is None else teams.where(F.col("team") == team), "has_feat", "is_winner").collect()}
     shares = [proportion(found[k].n, found[k].successes, alpha) if k in found else proportion(0, 0) for k in (True, False)]
     return shares[0], shares[1], difference(*shares, mode, alpha, offset)
+
+
+def share_columns(n: Column, successes: Column, alpha: float = 0.05) -> dict[str, Column]:
+    """p, se, low, high of a share in every row, as `proportion`; null for no trials."""
+    p = successes / F.nullif(n, F.lit(0))
+    se = F.sqrt(p * (1 - p) / n)
+    z = upper_quantile(F.lit(alpha / 2))
+    return {"p": p, "se": se, "low": p - z * se, "high": p + z * se}
+
+
+def difference_columns(d: Column, se: Column, mode: str = "twotail", alpha: float = 0.05, offset: float = 0.0) -> dict[str, Column]:
+    """z, p_value, low, high and reject of a difference in every row, as `difference`; null without an error."""
+    z = (d - offset) / F.nullif(se, F.lit(0.0))
+    two, one = upper_quantile(F.lit(alpha / 2)) * se, upper_quantile(F.lit(alpha)) * se
+    far = F.lit(math.inf)
+    tails = {"twotail": (2 * upper_tail(F.abs(z)), d - two, d + two), "ge": (upper_tail(z), d - one, far), "le": (upper_tail(-z), -far, d + one)}
+    if mode not in tails:
+        raise ValueError(f"mode is one of {', '.join(tails)}, not {mode}")
+    p, low, high = tails[mode]
+    return {"z": z, "p_value": p, "low": low, "high": high, "reject": p <= alpha}
+
+
+def feat_tests(rows: DataFrame, by: list[str], mode: str = "twotail", alpha: float = 0.05, offset: float = 0.0) -> DataFrame:
+    """One row per group: shares of wins with and without the feat and the test of their difference, no group on the driver.
+
+    by names columns of rows that are the same for all rows of a match, or team. Groups without a resolved match are not
+    there; one that has only teams with the feat, or only such without, has null tests.
+    """
+    fixed = [c for c in by if c != "team"]
+    level = team_level(rows)
+    if fixed:
+        level = level.join(rows.groupBy("match_id").agg(*[F.first(c, ignorenulls=True).alias(c) for c in fixed]), "match_id")
+    of = lambda has, value: F.sum(F.when(F.col("has_feat") == has, value).otherwise(0))
+    sums = {f"{k}_{side}": of(has, v) for side, has in (("with", True), ("without", False)) for k, v in (("n", F.lit(1)), ("wins", F.col("is_winner")))}
+    out = level.groupBy(*by).agg(*[v.cast("bigint").alias(k) for k, v in sums.items()])
+    for side in ("with", "without"):
+        out = out.withColumns({f"{k}_{side}": v for k, v in share_columns(F.col(f"n_{side}"), F.col(f"wins_{side}"), alpha).items()})
+    out = out.withColumns({"difference": F.col("p_with") - F.col("p_without"), "se": F.sqrt(F.col("se_with") * F.col("se_with") + F.col("se_without") * F.col("se_without"))})
+    return out.withColumns(difference_columns(F.col("difference"), F.col("se"), mode, alpha, offset))

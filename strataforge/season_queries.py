@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans import gold, monitors, quality, vault
+from .plans import gold, monitors, proportions, quality, vault
 from .season import gold_tables, raw_tables, silver_tables, stored
 
 QUERIES, SQL = {}, {}
@@ -167,3 +167,39 @@ def vault_combat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["vault_combat"] = vault_combat
+
+_FEAT = """ep AS (SELECT match_id, team, min(minute) FILTER (team_kills >= 3) AS a, min(minute) FILTER (team_towers >= 1) AS b, min(minute) FILTER (team_dragons + team_barons + team_void_grubs + team_heralds >= 3) AS c FROM iv WHERE match_id IN (SELECT match_id FROM m) GROUP BY match_id, team),
+second_ AS (SELECT match_id, team, list_sort(list_filter([a, b, c], lambda x: x IS NOT NULL))[2] AS at_ FROM ep),
+side AS (SELECT match_id, max(at_) FILTER (team = 'BLUE') AS blue, max(at_) FILTER (team = 'RED') AS red FROM second_ GROUP BY match_id),
+feat AS (SELECT match_id, CAST(substr(game_version, 1, 2) AS INTEGER) AS season, winning_team, CASE WHEN blue < coalesce(red, blue + 1) THEN 'BLUE' WHEN red < coalesce(blue, red + 1) THEN 'RED' END AS ahead, blue IS NULL AND red IS NULL AS nobody FROM side JOIN m USING (match_id))"""
+SQL["feat_outcomes"] = f"{_with(_FEAT)} SELECT season, CASE WHEN ahead IS NOT NULL THEN 'RESOLVED' WHEN nobody THEN 'NO_QUALIFIER' ELSE 'TIE' END AS outcome, count(*) AS n FROM feat GROUP BY ALL"
+_TAIL = """CASE WHEN abs(z) < 2.5 THEN 0.5 - exp(-z * z / 2) / sqrt(2 * pi()) * abs(z) * list_reduce(list_prepend(1.0::DOUBLE, ks), lambda acc, k: 1 + z * z / (2 * k + 1) * acc)
+  ELSE exp(-z * z / 2) / sqrt(2 * pi()) / list_reduce(list_prepend(abs(z), ks), lambda acc, k: abs(z) + k / acc) END"""
+SQL["feat_tests"] = f"""{_with(_FEAT)},
+level AS (SELECT season, team, team = ahead AS has, CASE WHEN team = winning_team THEN 1 ELSE 0 END AS won FROM feat, (VALUES ('BLUE'), ('RED')) AS t(team) WHERE ahead IS NOT NULL),
+sums AS (SELECT season, team, count(*) FILTER (has) AS n_with, count(*) FILTER (NOT has) AS n_without, sum(won) FILTER (has) / nullif(n_with, 0) AS p_with, sum(won) FILTER (NOT has) / nullif(n_without, 0) AS p_without FROM level GROUP BY season, team),
+d AS (SELECT *, p_with - p_without AS d, sqrt(p_with * (1 - p_with) / n_with + p_without * (1 - p_without) / n_without) AS se FROM sums),
+z AS (SELECT *, d / nullif(se, 0) AS z, list_reverse(range(1, 121))::DOUBLE[] AS ks FROM d)
+SELECT season, team, n_with, n_without, round(p_with, 10) AS p_with, round(p_without, 10) AS p_without, round(d, 10) AS difference, round(se, 10) AS se, round(d - 1.959963984540054 * se, 9) AS low, round(d + 1.959963984540054 * se, 9) AS high,
+  round(log10(2 * ({_TAIL})), 7) AS log10_p, 2 * ({_TAIL}) <= 0.05 AS reject FROM z"""
+
+
+def _milestone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = silver_tables(spark, sf_dir)
+    return proportions.with_season(silver["intervals"], silver["matches"])
+
+
+def feat_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _milestone_rows(spark, sf_dir)
+    season = rows.groupBy("match_id").agg(F.first("season").alias("season"))
+    return proportions.first_team(rows).join(season, "match_id").groupBy("season", "outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def feat_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the first to two milestones wins more often: a test for every season and side, in one query."""
+    out = proportions.feat_tests(_milestone_rows(spark, sf_dir), ["season", "team"])
+    rounded = {"p_with": 10, "p_without": 10, "difference": 10, "se": 10, "low": 9, "high": 9}
+    return out.select("season", "team", "n_with", "n_without", *[F.round(c, k).alias(c) for c, k in rounded.items()], F.round(F.log10("p_value"), 7).alias("log10_p"), "reject")
+
+
+QUERIES["feat_outcomes"], QUERIES["feat_tests"] = feat_outcomes, feat_tests
