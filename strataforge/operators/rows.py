@@ -31,12 +31,21 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: list[str], order: l
     return fresh if target is None else target.join(fresh.select(keys), keys, "left_anti").unionByName(fresh)
 
 
+def unseen(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose key target does not have; a key with nulls counts as any other.
+
+    Of target only the keys that rows has too are kept, by a semi join that a small batch of rows is broadcast to. So a
+    large target is read by its key columns and does not move.
+    """
+    asked = rows.select(*[F.col(k).alias(f"_asked_{k}") for k in keys]).distinct()
+    named = target.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    known = named.join(asked, [named[f"_{k}"].eqNullSafe(asked[f"_asked_{k}"]) for k in keys], "left_semi").distinct()
+    return rows.join(known, [rows[k].eqNullSafe(known[f"_{k}"]) for k in keys], "left_anti")
+
+
 def insert_missing(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows, one per key, whose key target does not have yet; a key with nulls counts as any other."""
-    fresh = rows.dropDuplicates(keys)
-    named = target.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-    match = [fresh[k].eqNullSafe(named[f"_{k}"]) for k in keys]
-    return fresh.join(named, match, "left_anti")
+    return unseen(target, rows.dropDuplicates(keys), keys)
 
 
 def orphans(rows: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:

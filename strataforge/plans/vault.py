@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import fast_hash, joined
-from ..operators.rows import insert_missing
+from ..operators.rows import unseen
 from .schemas import ITEM_SLOTS, RAW
 
 HUB = ["id", "match_id", "player_id", "minute"]
 #: What a state is made of, in the order that goes into its digest.
 STATE = [c for c in RAW["intervals"].names if c not in HUB]
-_KEY = ["id", "match_id", "player_id", "minute"]
+_KEY = HUB
+ECONOMY = ["current_gold", "total_gold", "cs", "jungle_cs", "xp", "level", "gold_diff", "xp_diff"]
 
 
 def with_hashes(staged: DataFrame) -> DataFrame:
@@ -20,13 +21,22 @@ def with_hashes(staged: DataFrame) -> DataFrame:
     return staged.withColumn("hub_hash", fast_hash(F.col("id").cast("string"))).withColumn("diff_hash", fast_hash(joined([F.col(c) for c in STATE])))
 
 
+def _first(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """One row per key: the earliest, of equally early ones the least."""
+    values = F.min(F.struct("ldts", *[c for c in columns if c not in ("ldts", *keys)])).alias("v")
+    return rows.groupBy(keys).agg(values).select(*[F.col(c) if c in keys else F.col(f"v.{c}").alias(c) for c in columns])
+
+
 def new_hub_rows(hub: DataFrame, staged: DataFrame) -> DataFrame:
-    return insert_missing(hub, staged.select("hub_hash", *HUB, "ldts", "rsrc"), ["hub_hash"])
+    """Keys that the hub does not have; one that comes several times counts with its earliest row."""
+    columns = ["hub_hash", *HUB, "ldts", "rsrc"]
+    return unseen(hub, _first(staged.select(columns), ["hub_hash"], columns), ["hub_hash"])
 
 
 def new_states(satellite: DataFrame, staged: DataFrame) -> DataFrame:
     """States whose (hub_hash, diff_hash) has not been seen: one that returns to an older value is not recorded again."""
-    return insert_missing(satellite, staged.select("hub_hash", "ldts", "rsrc", *STATE, "diff_hash"), ["hub_hash", "diff_hash"])
+    columns = ["hub_hash", "ldts", "rsrc", *STATE, "diff_hash"]
+    return unseen(satellite, _first(staged.select(columns), ["hub_hash", "diff_hash"], columns), ["hub_hash", "diff_hash"])
 
 
 def _number(column: str) -> Column:
@@ -44,19 +54,19 @@ def partitions(states: DataFrame, hub: DataFrame) -> dict[str, DataFrame]:
     kda = _ratio((F.col("kills") + F.col("assists")).cast("decimal(38,0)"), "deaths")
     objectives = F.col("team_dragons") + F.col("team_barons") + F.col("team_heralds") + F.col("team_void_grubs")
     team = [c for c in STATE if c.startswith("team_")]
-    economy = ["current_gold", "total_gold", "cs", "jungle_cs", "xp", "level", "gold_diff", "xp_diff"]
     return {
         "kda": rows.select(*_KEY, "kills", "deaths", "assists", kda.alias("kda_ratio")),
-        "economy": rows.select(*_KEY, *economy, (F.col("cs") + F.col("jungle_cs")).alias("net_cs"), _ratio(_number("total_gold"), "minute").alias("gold_per_min")),
+        "economy": rows.select(*_KEY, *ECONOMY, (F.col("cs") + F.col("jungle_cs")).alias("net_cs"), _ratio(_number("total_gold"), "minute").alias("gold_per_min")),
         "items": rows.select(*_KEY, *ITEM_SLOTS),
         "team_objectives": rows.select(*_KEY, *team, objectives.alias("total_objectives")),
     }
 
 
 def player_summary(kda: DataFrame, economy: DataFrame) -> DataFrame:
-    """A row per player of a match: values at the last minute, and rates over its minutes."""
-    rows = kda.join(economy, _KEY)
-    last = lambda c: F.max_by(c, "minute")
+    """A row per player of a match: values at the last minute, of several rows there the one with the largest id, and
+    rates over its minutes."""
+    rows = kda.distinct().join(economy.distinct(), _KEY)
+    last = lambda c: F.max_by(c, F.struct("minute", "id"))
     final = {"final_kills": "kills", "final_deaths": "deaths", "final_assists": "assists", "final_kda_ratio": "kda_ratio", "final_gold": "total_gold", "final_cs": "net_cs", "final_level": "level"}
     rate = lambda c: last(c).cast("decimal(20,0)") / F.nullifzero(F.max("minute")).cast("decimal(20,0)")
     return rows.groupBy("match_id", "player_id").agg(

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .plans import gold, monitors, proportions, quality, vault
-from .season import gold_tables, raw_tables, silver_tables, stored
+from .season import gold_tables, raw_tables, scratch, silver_tables, stored
+from .streaming.vault_stream import VaultStreams
 
 QUERIES, SQL = {}, {}
 
@@ -203,3 +204,70 @@ def feat_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["feat_outcomes"], QUERIES["feat_tests"] = feat_outcomes, feat_tests
+
+_RUNS: dict[tuple[str, str], VaultStreams] = {}
+
+
+def run_again(streams: VaultStreams, stream: str) -> None:
+    """Forget that the last batch of a stream was committed, so that its next start runs that batch again."""
+    path = streams.spark._jvm.org.apache.hadoop.fs.Path
+    folder = path(streams.path("checkpoints", stream, "commits"))
+    files = folder.getFileSystem(streams.spark._jsc.hadoopConfiguration())
+    last = max(int(f.getPath().getName()) for f in files.listStatus(folder) if f.getPath().getName().isdigit())
+    for name in (str(last), f".{last}.crc"):
+        files.delete(path(streams.path("checkpoints", stream, "commits", name)), False)
+
+
+def vault_streams(spark: SparkSession, sf_dir: str) -> VaultStreams:
+    """Snapshots in two deliveries through both streams; the second repeats the first and adds the later states. Then the
+    last batch of either stream runs once more. Done once for a session and its tables, which seven queries read."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _RUNS:
+        streams, staged = VaultStreams(spark, scratch(spark)), raw_tables(spark, sf_dir)["intervals"]
+        for rows in (staged.where("team_kills = cast(total_gold as bigint) / 10 % 60"), staged):
+            rows.write.mode("append").parquet(streams.path("staged"))
+            streams.run()
+        for stream in ("record", "derive"):
+            run_again(streams, stream)
+        streams.run()
+        _RUNS[key] = streams
+    return _RUNS[key]
+
+
+_HUB = f"""WITH {_LINE}, raw AS (SELECT CAST(p * 1000000 + s AS VARCHAR) AS id, 'ord_' || match_id[5:] AS match_id, CAST(3200 + pos AS VARCHAR) AS player_id, CAST(q AS VARCHAR) AS minute, p, s FROM line),
+hub AS (SELECT DISTINCT ON (id) * FROM raw ORDER BY id, match_id, player_id, minute), st AS (SELECT id, match_id, player_id, CAST(minute AS BIGINT) AS minute, p, s, later FROM hub, (VALUES (0), (10)) AS t(later))"""
+_DRAGONS = ", ".join(f"CAST(0 AS BIGINT) AS {c}" for c in vault.STATE if c.startswith("team_dragons_"))
+SQL["vault_hub"] = f"{_HUB} SELECT upper(sha1(id)) AS hub_hash, id, match_id, player_id, minute FROM hub"
+SQL["vault_satellite"] = f"""{_HUB} SELECT upper(sha1(id)) AS hub_hash, upper(sha1(array_to_string([{", ".join(f"CAST({_TEXT.get(c, '0')} AS VARCHAR)" for c in vault.STATE)}], '^'))) AS diff_hash FROM st"""
+SQL["vault_kda"] = f"""{_HUB}, v AS (SELECT *, p % 12 AS kills, CAST([0, 1, 3, 4][1 + s % 4] AS BIGINT) AS deaths, p % 9 AS assists FROM st)
+SELECT id, match_id, player_id, minute, kills, deaths, assists, {_ratio("(kills + assists)", "deaths", 2)} AS kda_ratio FROM v"""
+SQL["vault_economy"] = f"""{_HUB} SELECT id, match_id, player_id, minute, CAST(0 AS BIGINT) AS current_gold, p * 10 AS total_gold, p % 300 AS cs, s % 50 AS jungle_cs, CAST(0 AS BIGINT) AS xp, 1 + p % 22 AS level, s - 50 AS gold_diff, s - 70 AS xp_diff,
+  p % 300 + s % 50 AS net_cs, {_ratio("(p * 10)", "minute", 2)} AS gold_per_min FROM st"""
+SQL["vault_items"] = f"{_HUB} SELECT id, match_id, player_id, minute, p % 30 AS item_0, s % 30 AS item_1, (p + s) % 30 AS item_2, {', '.join(f'CAST(0 AS BIGINT) AS item_{i}' for i in range(3, 7))} FROM st"
+SQL["vault_team_objectives"] = f"""{_HUB} SELECT id, match_id, player_id, minute, {", ".join(f"(p + later) % {n} AS team_{c}" for c, n in (("kills", 60), ("inhibitors", 4), ("towers", 12), ("dragons", 6), ("barons", 3), ("void_grubs", 7), ("heralds", 2)))},
+  {_DRAGONS}, p - 500 AS team_gold_diff, (p + later) % 6 + (p + later) % 3 + (p + later) % 2 + (p + later) % 7 AS total_objectives FROM st"""
+SQL["vault_summary"] = f"""{_HUB}, v AS (SELECT *, p % 12 AS kills, CAST([0, 1, 3, 4][1 + s % 4] AS BIGINT) AS deaths, p % 9 AS assists, max(s - 50) OVER (PARTITION BY match_id, player_id) AS peak FROM st WHERE later = 0),
+final AS (SELECT DISTINCT ON (match_id, player_id) * FROM v ORDER BY match_id, player_id, minute DESC, id DESC)
+SELECT match_id, player_id, minute AS game_duration, kills AS final_kills, deaths AS final_deaths, assists AS final_assists, {_ratio("(kills + assists)", "deaths", 2)} AS final_kda_ratio, p * 10 AS final_gold, p % 300 + s % 50 AS final_cs, 1 + p % 22 AS final_level,
+  round(CAST(p * 10 AS DOUBLE) / minute, 6) AS gold_per_min, round(CAST(p % 300 + s % 50 AS DOUBLE) / minute, 6) AS cs_per_min, peak AS peak_gold_advantage, s - 50 AS final_gold_diff FROM final"""
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """Digests as hex, decimals as doubles."""
+    how = {"binary": lambda c: F.hex(c), "decimal": lambda c: F.round(F.col(c).cast("double"), 6)}
+    return df.select(*[how.get(f.dataType.typeName(), F.col)(f.name).alias(f.name) for f in df.schema.fields])
+
+
+def _vault_query(target: str, columns: list[str] | None = None):
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = vault_streams(spark, sf_dir)
+        out = _plain(out.summary() if target == "summary" else out.read(target))
+        return out.select(columns) if columns else out
+
+    return query
+
+
+QUERIES["vault_hub"] = _vault_query("hub", ["hub_hash", *vault.HUB])
+QUERIES["vault_satellite"] = _vault_query("satellite", ["hub_hash", "diff_hash"])
+for _target in ("kda", "economy", "items", "team_objectives", "summary"):
+    QUERIES[f"vault_{_target}"] = _vault_query(_target)

@@ -37,7 +37,7 @@ class Lake:
         return {t: self.silver(t).read() for t in SILVER}
 
 
-def _once_or_every(writer, every: str | None):
+def once_or_every(writer, every: str | None):
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
@@ -55,7 +55,7 @@ def land(lake: Lake, table: str, every: str | None = None) -> StreamingQuery:
 
     files = lake.spark.readStream.schema(csv_schema(table)).options(**csv_options(table)).csv(lake.path("landing"))
     writer = with_load_columns(files, table).writeStream.foreachBatch(write).option("checkpointLocation", lake.path("checkpoints", "land", table))
-    return _once_or_every(writer, every).start()
+    return once_or_every(writer, every).start()
 
 
 def refine(lake: Lake, table: str, every: str | None = None) -> StreamingQuery:
@@ -66,7 +66,7 @@ def refine(lake: Lake, table: str, every: str | None = None) -> StreamingQuery:
 
     stream = lake.spark.readStream.schema(lake.bronze_schema(table)).option("recursiveFileLookup", "true").parquet(lake.path("bronze", table))
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", lake.path("checkpoints", "refine", table))
-    return _once_or_every(writer, every).start()
+    return once_or_every(writer, every).start()
 
 
 def run_until_done(start: Callable[[], StreamingQuery], attempts: int = 3, pause: float = 0.0) -> None:
