@@ -327,12 +327,13 @@ def hash_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus FROM orders
 """)
-def versioned_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two batches into a keyed table; the second batch is sent twice and counts once."""
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    store = KeyedTable(spark, scratch(spark), orders.schema, ["o_orderkey"], buckets=8)
-    for part in ("o_orderkey % 2 = 0", "o_orderkey % 2 != 0", "o_orderkey % 2 != 0"):
-        store.upsert(orders.where(part), ["o_custkey"])
+def keyed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final orders into a table by month, with a month's delay; then all orders, twice, which move to their own month."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    store = KeyedTable(spark, scratch(spark), orders.drop("o_orderdate").schema, ["o_orderkey"], F.date_format("o_orderdate", "yyyy-MM"))
+    late = orders.where("o_orderstatus = 'F'").withColumn("o_orderdate", F.add_months("o_orderdate", 1)).withColumn("o_custkey", F.lit(0).cast("int"))
+    for batch in (late, orders, orders):
+        store.upsert(batch.withColumn("o_custkey", F.col("o_custkey").cast(orders.schema["o_custkey"].dataType)), ["o_custkey"])
     return store.read()
 
 

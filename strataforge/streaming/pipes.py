@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.keyed import KeyedTable
+from ..functions.columns import stamp_in_name
+from ..operators.keyed import KeyedTable, day_of
 from ..plans.schemas import KEYS, LOAD_COLUMNS, LOAD_ORDER, RAW, SILVER
 from ..plans.silver import cleaned
 from ..sources.landing import accepted_rows, csv_options, csv_schema, file_report, numbered, with_load_columns
@@ -31,7 +32,9 @@ class Lake:
         return self.spark.read.schema(self.bronze_schema(table)).parquet(self.path("bronze", table))
 
     def silver(self, table: str) -> KeyedTable:
-        return KeyedTable(self.spark, self.path("silver", table), SILVER[table], KEYS[table])
+        """By the day in the name of the file that a row came with; the tables of names are one partition."""
+        day = None if table.endswith("_ref") else day_of(F.coalesce(stamp_in_name(F.col("file_name")), F.col("ldts")))
+        return KeyedTable(self.spark, self.path("silver", table), SILVER[table], KEYS[table], day)
 
     def silver_tables(self) -> dict[str, DataFrame]:
         return {t: self.silver(t).read() for t in SILVER}

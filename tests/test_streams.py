@@ -67,19 +67,101 @@ def test_upload_guard(spark, tmp_path):
         validate_folder(spark, str(tmp_path), ["matches", "players", "items_ref", "intervals"])
 
 
+ROW = "k long, v string, day string, at long"
+
+
+def keyed(spark, tmp_path, **options):
+    schema = spark.createDataFrame([], ROW).drop("at").schema
+    return KeyedTable(spark, f"{tmp_path}/t", schema, ["k"], F.col("day"), **options)
+
+
+def put(store, rows):
+    store.upsert(store.spark.createDataFrame(rows, ROW), ["at"])
+
+
+def rows_of(store):
+    return sorted(tuple(r) for r in store.read().select("k", "v", "day").collect())
+
+
+def files_of(tmp_path, day="*"):
+    return {str(f): os.stat(f).st_mtime_ns for f in tmp_path.glob(f"t/_day={day}/*.parquet")}
+
+
 def test_keyed_table(spark, tmp_path):
-    batch = lambda rows: spark.createDataFrame(rows, "k long, v string, at long")
-    store = KeyedTable(spark, f"{tmp_path}/t", batch([]).drop("at").schema, ["k"], buckets=4)
-    read = lambda: sorted(map(tuple, store.read().collect()))
-    assert read() == []
-    store.upsert(batch([(i, "a", 0) for i in range(20)]), ["at"])
-    files = {f: os.stat(f).st_mtime_ns for f in map(str, tmp_path.glob("t/_bucket=*/*.parquet"))}
-    late = batch([(3, "b", 1), (3, "c", 2), (30, "new", 1), (None, "no key", 1)])
-    for _ in range(2):  # the same batch twice changes nothing
-        store.upsert(late, ["at"])
-        assert read() == [*[(i, "c" if i == 3 else "a") for i in range(20)], (30, "new")]
-    left = [f for f, at in files.items() if os.path.exists(f) and os.stat(f).st_mtime_ns == at]
-    assert 0 < len(left) < len(files)  # buckets that the batch does not touch are not written again
+    """A batch of one day rewrites one partition; the same batch again changes nothing."""
+    store = keyed(spark, tmp_path)
+    assert rows_of(store) == []
+    put(store, [(i, "a", f"2024-05-0{i % 5}", 0) for i in range(20)])
+    before = files_of(tmp_path)
+    for _ in range(2):
+        put(store, [(3, "b", "2024-05-03", 1), (3, "c", "2024-05-03", 2), (30, "new", "2024-05-03", 1), (None, "no key", "2024-05-03", 1)])
+        assert rows_of(store) == [*[(i, "c" if i == 3 else "a", f"2024-05-0{i % 5}") for i in range(20)], (30, "new", "2024-05-03")]
+    same = {f for f, at in files_of(tmp_path).items() if before.get(f) == at}
+    assert same == {f for f in before if "2024-05-03" not in f} and len(same) == len(before) - len([f for f in before if "2024-05-03" in f])
+    put(store, [])
+    assert len(rows_of(store)) == 21
+
+
+def test_keyed_rows_that_move(spark, tmp_path):
+    """A key that comes with another day leaves its old one, also where nothing is left there, and rows without a day stand apart."""
+    store = keyed(spark, tmp_path)
+    put(store, [(1, "a", "2024-05-01", 0), (2, "a", "2024-05-02", 0), (3, "a", "2024-05-02", 0), (4, "a", None, 0)])
+    put(store, [(1, "b", "2024-05-02", 1), (4, "b", "2024-05-07", 1)])
+    assert rows_of(store) == [(1, "b", "2024-05-02"), (2, "a", "2024-05-02"), (3, "a", "2024-05-02"), (4, "b", "2024-05-07")]
+    assert not files_of(tmp_path, "2024-05-01") and not files_of(tmp_path, "none")
+
+
+@pytest.mark.parametrize("moment", ["before the copy", "in the copy", "after the copy", "in the table", "after the table"])
+def test_keyed_writer_lost(spark, tmp_path, monkeypatch, moment):
+    """A writer is lost at some moment: readers see the table as it was or as it will be, and running the batch again ends well."""
+    store = keyed(spark, tmp_path)
+    old = [(i, "a", f"2024-05-0{i % 3}", 0) for i in range(9)]
+    put(store, old)
+    batch = [(0, "b", "2024-05-00", 1), (1, "b", "2024-05-00", 1), (4, "b", "2024-05-00", 1), (7, "b", "2024-05-00", 1), (50, "b", "2024-05-02", 1)]
+    want = sorted({**{r[0]: r[:3] for r in old}, **{r[0]: r[:3] for r in batch}}.values())
+    write, publish = KeyedTable._write, KeyedTable._publish
+
+    def lost_write(self, rows, touched):
+        if moment == "in the copy":
+            write(self, rows, touched)
+            os.remove(f"{self._pending}/_SUCCESS")
+        elif moment != "before the copy":
+            return write(self, rows, touched)
+        raise RuntimeError("lost")
+
+    def lost_publish(self):
+        if moment == "in the table":  # the old day is gone, the new one not there yet
+            for f in files_of(tmp_path, "2024-05-00"):
+                os.remove(f)
+        if moment == "after the table":
+            monkeypatch.setattr(KeyedTable, "_delete", lambda self, folder: (_ for _ in ()).throw(RuntimeError("lost")))
+            publish(self)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(KeyedTable, "_write", lost_write)
+    monkeypatch.setattr(KeyedTable, "_publish", lost_publish)
+    with pytest.raises(RuntimeError, match="lost"):
+        put(store, batch)
+    monkeypatch.undo()
+    assert rows_of(store) == (sorted(r[:3] for r in old) if moment in ("before the copy", "in the copy") else want)
+    for _ in range(2):
+        put(keyed(spark, tmp_path), batch)
+        assert rows_of(store) == want and not os.path.exists(store._pending)
+
+
+def test_one_day_of_most_rows(spark, tmp_path):
+    """A day that holds most rows is written by several tasks, and reads as it was put."""
+    store = keyed(spark, tmp_path, moves=False)
+    rows = spark.range(200_000).select(F.col("id").alias("k"), F.repeat(F.lit("v"), 50).alias("v"), F.when(F.col("id") % 10 == 0, "2024-05-02").otherwise("2024-05-01").alias("day"), F.lit(1).alias("at"))
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB", "spark.sql.adaptive.coalescePartitions.enabled": "false"}  # so that little is much
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        store.upsert(rows, ["at"])
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert len(files_of(tmp_path, "2024-05-01")) > 1 and store.read().count() == 200_000 and store.read().agg(F.sum("k")).first()[0] == 199_999 * 100_000
 
 
 def test_retries():
