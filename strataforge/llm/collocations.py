@@ -25,14 +25,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
-from .common import BATCH_ROWS, binary_texts, discard, read_table, salted_join, stored, to_tasks
-from .shingles import mix
+from .bits import bit_filter, may_be
+from .common import BATCH_ROWS, binary_texts, discard, read_table, salted_join, stored
 
 MIN_COUNT, TOP, CONTAINED_PERCENT = 10, 2000, 50
 #: Words of one shard, and at most one text more.
 SHARD_WORDS = 1_000_000
-#: Bits of a filter of frequent words or pairs (8 MB).
-FILTER_BITS = 1 << 26
 #: Bitmap blocks of first words that are extended together.
 _GROUP = 100_000
 
@@ -143,45 +141,12 @@ def _word_counter(shard_words: int):
     return run
 
 
-def _place(*hashes: np.ndarray) -> np.ndarray:
-    """The bit of a filter that stands for a word or for a pair of words."""
-    out = np.zeros(len(hashes[0]), np.uint64)
-    for h in hashes:
-        out = mix(out ^ h)
-    return (out % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def _bits(columns: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            bit = _place(*(b.column(c).to_numpy().view(np.uint64) for c in columns))
-            slot, at = np.unique(bit >> 6, return_inverse=True)
-            bits = np.zeros(len(slot), np.int64)
-            np.bitwise_or.at(bits, at, np.left_shift(np.int64(1), bit & 63))
-            yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(bits)], names=["slot", "bits"])
-
-    return run
-
-
-def _filter(rows: DataFrame, *columns: str) -> Callable[[], np.ndarray]:
-    """A filter of FILTER_BITS bits, whatever the rows: set where one of them may be. For tasks."""
-    bits = rows.select(*columns).mapInArrow(_bits(list(columns)), "slot long, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(FILTER_BITS >> 6, np.int64)
-    out[bits.column("slot").to_numpy()] = bits.column("bits").to_numpy()
-    return to_tasks(rows.sparkSession, out)
-
-
-def _may_be(bits: np.ndarray, *hashes: np.ndarray) -> np.ndarray:
-    place = _place(*hashes)
-    return bits[place >> 6] >> (place & 63) & 1 == 1
-
-
 def _phrase_counter(shard_words: int, words: Callable[[], np.ndarray], pairs: Callable[[], np.ndarray] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         in_words, in_pairs = words(), pairs() if pairs else None
         for langs, seq in _shards(batches, shard_words):
             hashes = _hashes(langs)
-            common = _may_be(in_words, hashes)
+            common = may_be(in_words, hashes)
             common[[_GAP, _EMPTY]] = False
             seq = seq[seq != _EMPTY]
             place = np.flatnonzero(common[seq])
@@ -190,7 +155,7 @@ def _phrase_counter(shard_words: int, words: Callable[[], np.ndarray], pairs: Ca
             order = np.argsort(word, kind="stable")
             own = hashes[common]
             shard = Shard(word[order], place[order], len(own))
-            test = (lambda a, b: _may_be(in_pairs, own[a], own[b])) if pairs else None  # noqa: B023
+            test = (lambda a, b: may_be(in_pairs, own[a], own[b])) if pairs else None  # noqa: B023
             for *phrase, counts in shard.phrases(test):
                 yield pa.RecordBatch.from_arrays([*(pa.array(own[p].view(np.int64)) for p in phrase), pa.array(counts)], names=[*(f"w{i + 1}" for i in range(len(phrase))), "a"])
 
@@ -232,10 +197,10 @@ def collocations(docs: DataFrame, *, min_count: int = MIN_COUNT, top: int = TOP,
     words, _ = stored(counted.where(F.col("f") >= min_count))
     sizes, _ = stored(counted.groupBy("lang").agg(F.sum("f").alias("n")))
     discard(spark, in_counted)
-    in_words = _filter(words, "id")
+    in_words = bit_filter(words, "id")
     pairs = rows.mapInArrow(_phrase_counter(shard_words, in_words, None), "w1 long, w2 long, a long").groupBy("w1", "w2").agg(F.sum("a").alias("a"))
     pairs, _ = stored(pairs.where(F.col("a") >= min_count))
-    in_pairs = _filter(pairs, "w1", "w2")
+    in_pairs = bit_filter(pairs, "w1", "w2")
     triples = rows.mapInArrow(_phrase_counter(shard_words, in_words, in_pairs), "w1 long, w2 long, w3 long, a long").groupBy("w1", "w2", "w3").agg(F.sum("a").alias("a"))
     triples, _ = stored(triples.where(F.col("a") >= min_count))
 

@@ -9,6 +9,8 @@ finds stretches of them that share `size` bytes or more from the permuted common
 window stays. Windows of anchors with more than `hot_contexts` different contexts, the edges of a passage in very many
 texts, are too many for one shard: each is dealt by a 128-bit hash of its own bytes instead, and the earliest of each stays.
 
+Texts that are equal as a whole are told apart first, by their SHA-256.
+
 Order is by doc_id (null last), a hash of id and text, and start. So rows with the same id and text are one document, and
 of different texts with one id the one with the smaller hash comes first.
 """
@@ -16,7 +18,7 @@ of different texts with one id the one with the smaller hash comes first.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .bits import bit_filter, may_be
 from .common import binary_texts, checked, discard, id_text, read_table, salted_join, stored
 from .shingles import Hasher, mix
 from .suffix_array import common_prefixes, suffix_array
@@ -96,11 +99,23 @@ class _Contexts:
         return [text[of], start - begin[of] + offset[of], times, grams[anchor[first]].view(np.int64), whole.view(np.int64)]
 
 
-def _context_finder(size: int):
+def _anchor_finder(size: int):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         contexts = _Contexts(size)
         for b in batches:
-            text, start, times, anchor, whole = contexts.find(list(binary_texts(b.column("text"))))
+            anchor, k = np.unique(contexts.find(list(binary_texts(b.column("text"))))[3], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(k)], names=["anchor", "k"])
+
+    return find
+
+
+def _context_finder(size: int, repeated: Callable[[], np.ndarray]):
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts, bits = _Contexts(size), repeated()
+        for b in batches:
+            found = contexts.find(list(binary_texts(b.column("text"))))
+            keep = may_be(bits, found[3].view(np.uint64))
+            text, start, times, anchor, whole = (x[keep] for x in found)
             rows = pa.array(text)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id").take(rows), b.column("h").take(rows), pa.array(start.astype(np.int32)), pa.array(times.astype(np.int32)), pa.array(anchor), pa.array(whole)],
@@ -178,10 +193,19 @@ def repeated_spans(docs: DataFrame, *, size: int = SIZE, hot_contexts: int = HOT
     context, window = F.struct(null_id, "doc_id", "h", "start", "n"), F.struct(null_id, "doc_id", "h", "start")
     count = F.count(F.lit(1))
 
-    every, in_every = stored(docs.mapInArrow(_context_finder(size), f"doc_id {kind}, h long, start int, n int, anchor long, ctx long"))
-    twice = every.groupBy("anchor").agg(count.alias("k")).where("k > 1")
-    found, in_found = stored(salted_join(every, twice, ["anchor"], ["ctx", "doc_id", "start"]).select("doc_id", "h", "start", "n", "anchor", "ctx"))
-    discard(spark, in_every)
+    # whole texts that stand earlier as they are: all of them goes, and they need no contexts
+    digest = F.sha2(F.col("text").cast("binary"), 256).alias("digest")
+    texts, in_texts = stored(docs.where(F.octet_length("text") >= size).select("doc_id", "h", F.octet_length("text").alias("bytes"), digest))
+    one = F.struct(null_id, "doc_id", "h")
+    same = texts.groupBy("digest").agg(F.min(one).alias("first"), count.alias("k")).where("k > 1")
+    equal, in_equal = stored(salted_join(texts, same, ["digest"], ["doc_id", "h"]).where(~one.eqNullSafe(F.col("first"))).select("doc_id", "h", F.lit(0).alias("start"), F.col("bytes").alias("end")).distinct())
+    discard(spark, in_texts)
+    gone = checked(equal.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h")))
+    docs = docs.where(F.octet_length("text") >= size).join(gone, (F.col("h") == F.col("_h")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+
+    twice = docs.select("text").mapInArrow(_anchor_finder(size), "anchor long, k long").groupBy("anchor").agg(F.sum("k").alias("k")).where("k > 1")
+    repeated = bit_filter(twice, "anchor")
+    found, in_found = stored(docs.mapInArrow(_context_finder(size, repeated), f"doc_id {kind}, h long, start int, n int, anchor long, ctx long"))
     firsts, in_firsts = stored(found.groupBy("anchor", "ctx").agg(F.min(context).alias("first"), count.alias("k")))
     copies = salted_join(found, firsts.where("k > 1"), ["anchor", "ctx"], ["doc_id", "start"]).where(~context.eqNullSafe(F.col("first")))
     whole = copies.select("doc_id", "h", "start", (F.col("start") + F.col("n") + size - 1).alias("end"))
@@ -198,8 +222,8 @@ def repeated_spans(docs: DataFrame, *, size: int = SIZE, hot_contexts: int = HOT
     windows = pieces.where("piece is null").select("doc_id", "h", "start", "w1", "w2")
     least = windows.groupBy("w1", "w2").agg(F.min(window).alias("first"), count.alias("k")).where("k > 1")
     alone = salted_join(windows, least, ["w1", "w2"], ["doc_id", "start"]).where(~window.eqNullSafe(F.col("first"))).select("doc_id", "h", "start", (F.col("start") + size).alias("end"))
-    out, _ = stored(whole.unionByName(sorted_).unionByName(alone))
-    discard(spark, in_found, in_firsts, in_pieces)
+    out, _ = stored(equal.unionByName(whole).unionByName(sorted_).unionByName(alone))
+    discard(spark, in_equal, in_found, in_firsts, in_pieces)
     return out
 
 
