@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,7 +16,8 @@ from .operators.keyed import KeyedTable
 from .plans import gold, monitors, proportions
 from .season import scratch
 from .sources import landing
-from .streaming.pipes import Lake, refresh
+from .streaming.history import StreamHistory, Suspended, last_errors, stream_summary
+from .streaming.pipes import Lake, refresh, run_guarded
 from .streaming.replay import export
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -507,6 +509,45 @@ def stream_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.silver("champions_ref").read()
 
 
+@query("""
+SELECT o_orderstatus AS stream, CASE o_orderstatus WHEN 'P' THEN 3 ELSE 2 END AS runs, CASE o_orderstatus WHEN 'P' THEN 3 WHEN 'O' THEN 1 ELSE 0 END AS failures, CASE o_orderstatus WHEN 'P' THEN 0 ELSE count(*) END AS rows,
+  CASE o_orderstatus WHEN 'P' THEN 3 ELSE 0 END AS failures_in_a_row, o_orderstatus = 'P' AS suspended, o_orderstatus = 'P' AS refused, CASE o_orderstatus WHEN 'P' THEN 'broken P' WHEN 'O' THEN 'broken O' END AS last_error FROM orders GROUP BY o_orderstatus
+""")
+def stream_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status in streams of their own, and their history. One fails once, one every time: that is refused when
+    it starts for the fourth time."""
+    folder, broken, refused = scratch(spark), {"O": 1, "P": 9}, []
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    orders.write.partitionBy("o_orderstatus").parquet(f"{folder}/orders")
+    states = [r[0] for r in orders.select("o_orderstatus").distinct().collect()]
+    name = folder.rsplit("/", 1)[-1]
+    history = StreamHistory(spark, f"{folder}/history", f"{name}:")
+
+    def start(status: str):
+        def take(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{folder}/taken/{status}/{number}")
+            if broken.get(status, 0):
+                broken[status] -= 1
+                raise ValueError(f"broken {status}")
+
+        source = spark.readStream.schema("o_orderkey long").parquet(f"{folder}/orders/o_orderstatus={status}")
+        return source.writeStream.foreachBatch(take).queryName(f"{name}:{status}").option("checkpointLocation", f"{folder}/checkpoints/{status}").trigger(availableNow=True).start()
+
+    with history.watching():
+        for status in states:
+            for _ in range(4 if status == "P" else 2):
+                try:
+                    run_guarded(history, f"{name}:{status}", lambda s=status: start(s))
+                except Suspended:
+                    refused.append(status)
+                except StreamingQueryException:
+                    pass
+    events = history.events()
+    out = stream_summary(events, F.current_timestamp()).join(last_errors(events).select("stream", F.regexp_extract("error", "broken [A-Z]", 0).alias("last_error")), "stream", "left")
+    stream = F.substring_index("stream", ":", -1)
+    return out.select(stream.alias("stream"), "runs", "failures", "rows", "failures_in_a_row", "suspended", stream.isin(refused).alias("refused"), "last_error")
+
+
 # the models, cleaning and checks over a season made of these tables
 QUERIES.update(season_queries.QUERIES)
 SQL.update(season_queries.SQL)

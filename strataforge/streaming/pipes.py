@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,6 +15,7 @@ from ..operators.keyed import KeyedTable, day_of
 from ..plans.schemas import KEYS, LOAD_COLUMNS, LOAD_ORDER, RAW, SILVER
 from ..plans.silver import cleaned
 from ..sources.landing import accepted_rows, csv_options, csv_schema, file_report, numbered, with_load_columns
+from .history import StreamHistory, Suspended
 
 
 class Lake:
@@ -21,6 +23,11 @@ class Lake:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
+        self.name = self.root.rsplit("/", 1)[-1]  # streams of two lakes in a session need names of their own
+
+    def history(self) -> StreamHistory:
+        """What the streams of this lake did, as far as they were watched."""
+        return StreamHistory(self.spark, self.path("stream_history"), f"{self.name}:")
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -57,7 +64,7 @@ def land(lake: Lake, table: str, every: str | None = None) -> StreamingQuery:
         batch.unpersist()
 
     files = lake.spark.readStream.schema(csv_schema(table)).options(**csv_options(table)).csv(lake.path("landing"))
-    writer = with_load_columns(files, table).writeStream.foreachBatch(write).option("checkpointLocation", lake.path("checkpoints", "land", table))
+    writer = with_load_columns(files, table).writeStream.foreachBatch(write).queryName(f"{lake.name}:land:{table}").option("checkpointLocation", lake.path("checkpoints", "land", table))
     return once_or_every(writer, every).start()
 
 
@@ -68,7 +75,7 @@ def refine(lake: Lake, table: str, every: str | None = None) -> StreamingQuery:
         lake.silver(table).upsert(cleaned(table, batch), LOAD_ORDER)
 
     stream = lake.spark.readStream.schema(lake.bronze_schema(table)).option("recursiveFileLookup", "true").parquet(lake.path("bronze", table))
-    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", lake.path("checkpoints", "refine", table))
+    writer = stream.writeStream.foreachBatch(merge).queryName(f"{lake.name}:refine:{table}").option("checkpointLocation", lake.path("checkpoints", "refine", table))
     return once_or_every(writer, every).start()
 
 
@@ -84,6 +91,27 @@ def run_until_done(start: Callable[[], StreamingQuery], attempts: int = 3, pause
             time.sleep(pause)
 
 
+def run_guarded(history: StreamHistory, stream: str, start: Callable[[], StreamingQuery]) -> None:
+    """Run a query that ends by itself, unless the history says that its stream is suspended."""
+    history.check(stream)
+    start().awaitTermination()
+
+
+def refresh_watched(lake: Lake, tables: tuple[str, ...] = tuple(RAW)) -> dict[str, str]:
+    """As `refresh`, with every run in the lake's history; what keeps a stream from running is returned by its name, and
+    the other streams go on. A stream that has failed three times in a row stays away until it is resumed."""
+    history, kept = lake.history(), {}
+    with history.watching():
+        for stage, start in (("land", land), ("refine", refine)):
+            for table in tables:
+                name = f"{lake.name}:{stage}:{table}"
+                try:
+                    run_guarded(history, name, lambda s=start, t=table: s(lake, t))
+                except (Suspended, StreamingQueryException, AnalysisException) as e:
+                    kept[name] = str(e)
+    return kept
+
+
 def refresh(lake: Lake, tables: tuple[str, ...] = tuple(RAW)) -> None:
     """Take all new files through both streams. Tables without a file yet are left out."""
     for table in tables:
