@@ -95,6 +95,16 @@ def test_keep_clean_keeps_columns(spark):
     assert kept.columns == d.columns and sorted(r.text or "" for r in kept.collect()) == ["", "a c b"]
 
 
+def test_every_list_counts(spark):
+    """Intersecting the lists of the rarest words alone finds what is no match; with each list more it finds less."""
+    window = "a b c d e f g h i j"
+    items = spark.createDataFrame([(1, window)], "item_id long, text string")
+    texts = [(0, window)] + [(k, " ".join("x" if i >= k else w for i, w in enumerate(window.split()))) for k in range(1, 10)]
+    texts.append((99, " x ".join(f"{w} x " * (100 * (i + 1)) for i, w in enumerate(window.split()))))  # a is the rarest, then b
+    hits = [decontaminate.matches(docs(spark, texts), items, lists=k)[1].count() for k in range(1, 11)]
+    assert hits == [110, *range(9, 0, -1)], hits
+
+
 def brute_near(text, windows, slop):
     """Items whose windows have all words, as often, in some stretch of their size and slop."""
     w, items = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER)), set()
@@ -189,6 +199,19 @@ def test_training_on_a_share(spark):
     assert quality_rank.keep_good(docs(spark, []), labels).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 255, 1023, 1024, 1025, 1500, 2048, 2049, 2100, 5000])
+def test_worst_stretch_reaches_the_end(n):
+    """Junk counts the same at the end of a text as at its start, whatever the length; every byte and word is looked at."""
+    clean, junk = "word " * (n // 5 + 1), "#$% " * 60
+    names = dict(zip(quality_rank.FEATURES, range(100)))
+    first, last = (quality_rank.features(t.encode()) for t in (junk + clean[:n], clean[:n] + junk))
+    assert last[names["worst_symbol"]] > 2 and abs(first[names["worst_symbol"]] - last[names["worst_symbol"]]) < 1.2
+    assert first[names["worst_repeat"]] > 0.5 and last[names["worst_repeat"]] > 0.5
+    for size in (100, 1024):
+        starts = quality_rank._starts(n, size)
+        assert starts[0] == 0 and max(starts) + size >= n and all(b - a <= size for a, b in zip(starts, starts[1:])) and all(s + size <= max(n, size) for s in starts)
+
+
 # --- 3 --------------------------------------------------------------------------------------------------------------
 
 
