@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +22,10 @@ def csv_schema(table: str) -> T.StructType:
     return T.StructType([*RAW[table].fields, T.StructField("_bad", T.StringType())])
 
 
-def csv_options(table: str) -> dict[str, str]:
-    """Comma, one header line that is skipped, optional quotes, trimmed; files are matched by the table's prefix."""
-    return _CSV | {"pathGlobFilter": f"{table}*"}
+def csv_options(table: str, multi_line: bool = False) -> dict[str, str]:
+    """Comma, one header line that is skipped, optional quotes, trimmed; files are matched by the table's prefix. With
+    multi_line a quoted field may go over lines, and a file is read by one task."""
+    return _CSV | {"pathGlobFilter": f"{table}*", "multiLine": str(multi_line).lower()}
 
 
 def _null_word(column: Column) -> Column:
@@ -69,13 +68,39 @@ def accepted_rows(rows: DataFrame, report: DataFrame) -> DataFrame:
     return rows.where(F.col("_bad").isNull()).join(good, "file_name", "left_semi").drop("_bad")
 
 
+def same_path(column: Column) -> Column:
+    """A path as both the file sources and the metadata columns write it: one slash after the scheme."""
+    return F.regexp_replace(column, "^([a-zA-Z0-9]+):/+", "$1:/")
+
+
+def broken_over_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """(path) of the files with a quoted line break: those in which some line has an odd number of quotes.
+
+    Lines are looked at in splits of any place, so a large file is many tasks' work.
+    """
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select(F.col("_metadata.file_path").alias("path"), "value")
+    return lines.where(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).select("path").distinct()
+
+
 def read_csv(spark: SparkSession, folder: str, table: str, source: str | None = None, loaded_at: Column | None = None, pattern: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows with load columns of the accepted files, the report on all files). Files: the table's prefix, or a pattern."""
-    options = csv_options(table) | ({"pathGlobFilter": pattern} if pattern else {})
-    raw = spark.read.schema(csv_schema(table)).options(**options).csv(folder)
-    rows = with_load_columns(raw, table, loaded_at, source)
-    report = file_report(rows)
-    return accepted_rows(numbered(rows), report), report
+    """(rows with load columns of the accepted files, the report on all files). Files: the table's prefix, or a pattern.
+
+    Files with a quoted line break are read whole, each by a task; all others in splits.
+    """
+    pattern = pattern or f"{table}*"
+    whole = [r.path for r in broken_over_lines(spark, folder, pattern).collect()]  # names of files, of which the driver lists all anyway
+    read = lambda multi_line, *paths: spark.read.schema(csv_schema(table)).options(**csv_options(table, multi_line) | {"pathGlobFilter": pattern}).csv(list(paths))
+    path = same_path(F.col("_metadata.file_path"))
+    raw = with_load_columns(read(False, folder).where(~path.isin([_plain_path(p) for p in whole])) if whole else read(False, folder), table, loaded_at, source)
+    if whole:
+        raw = raw.unionByName(with_load_columns(read(True, *whole), table, loaded_at, source))
+    report = file_report(raw)
+    return accepted_rows(numbered(raw), report), report
+
+
+def _plain_path(path: str) -> str:
+    scheme, slash, rest = path.partition(":/")
+    return f"{scheme}:/{rest.lstrip('/')}" if slash else path
 
 
 def load_errors(history: DataFrame, now: Column, days: int = 30) -> DataFrame:
@@ -84,11 +109,24 @@ def load_errors(history: DataFrame, now: Column, days: int = 30) -> DataFrame:
 
 
 def listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """path, size and time of the files of a folder, empty ones too, without reading them."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{pattern}")
-    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []
-    rows = [(f.getPath().toString(), f.getLen(), dt.datetime.fromtimestamp(f.getModificationTime() / 1000, dt.UTC)) for f in found if f.isFile()]
-    return spark.createDataFrame(rows, "path string, size long, modified timestamp")
+    """path, size and time of the files of a folder and of those in it. No file is opened: the column of contents is not
+    asked for. Sizes and times come from tasks, which pass over empty files; the index of the source, which lists many
+    folders by a job, knows those too: they have size 0 and no time."""
+    files = spark.read.format("binaryFile").options(pathGlobFilter=pattern, recursiveFileLookup="true").load(folder)
+    sized = files.select(same_path(F.col("path")).alias("_path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    named = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string")
+    return named.join(sized, same_path(F.col("path")) == F.col("_path"), "left").select("path", F.coalesce("size", F.lit(0)).alias("size"), "modified")
+
+
+def unloaded(files: DataFrame, history: DataFrame) -> DataFrame:
+    """The files of a listing that the load history (file_name) does not know, among them those without a row."""
+    known = history.select(same_path(F.col("file_name")).alias("_known")).distinct()
+    return files.join(known, same_path(F.col("path")) == F.col("_known"), "left_anti")
+
+
+def has_data(files: DataFrame, history: DataFrame) -> bool:
+    """Whether a file that is not empty waits to be loaded."""
+    return bool(unloaded(files, history).where("size > 0").take(1))
 
 
 def count_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
@@ -96,6 +134,12 @@ def count_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     return spark.read.options(header="true", pathGlobFilter=pattern).csv(folder).agg(F.count(F.lit(1)).alias("n"))
 
 
+def export_csv(df: DataFrame, folder: str) -> None:
+    """CSV part files with headers, each written by a task, in a folder that is replaced. Quotes are doubled, so that
+    quotes, commas and line breaks in a field come back as they were."""
+    df.write.mode("overwrite").options(header="true", quote='"', escape='"', emptyValue="").csv(folder)
+
+
 def unload_csv(df: DataFrame, folder: str) -> None:
     """One CSV file with a header, in a folder that is replaced. For exports that one file is meant to hold."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(folder)
+    export_csv(df.coalesce(1), folder)

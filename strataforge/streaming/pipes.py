@@ -63,7 +63,7 @@ def land(lake: Lake, table: str, every: str | None = None) -> StreamingQuery:
         report.write.mode("overwrite").parquet(lake.path("load_history", f"table={table}", f"batch={batch_id}"))
         batch.unpersist()
 
-    files = lake.spark.readStream.schema(csv_schema(table)).options(**csv_options(table)).csv(lake.path("landing"))
+    files = lake.spark.readStream.schema(csv_schema(table)).options(**csv_options(table, multi_line=True)).csv(lake.path("landing"))
     writer = with_load_columns(files, table).writeStream.foreachBatch(write).queryName(f"{lake.name}:land:{table}").option("checkpointLocation", lake.path("checkpoints", "land", table))
     return once_or_every(writer, every).start()
 

@@ -59,6 +59,35 @@ def test_listing_and_lines(spark, tmp_path):
     assert landing.count_lines(spark, str(tmp_path), "a_*").first().n == 2
 
 
+def test_quoted_line_breaks(spark, tmp_path):
+    """Quotes, commas and line breaks in fields, in files of their own and beside plain ones; rows are counted, not lines."""
+    write(tmp_path, "items_ref_1.csv", 'ID,NAME,KIND\n1,"two\nlines, ""quoted""",Basic\n2,plain,"x\n\ny"\n3,last,\n')
+    write(tmp_path, "items_ref_2.csv", "ID,NAME,KIND\n" + "".join(f"{i},n{i},k\n" for i in range(50)))
+    assert [os.path.basename(r.path) for r in landing.broken_over_lines(spark, str(tmp_path), "items*").collect()] == ["items_ref_1.csv"]
+    rows, report = landing.read_csv(spark, str(tmp_path), "items_ref")
+    got = {(os.path.basename(r.file_name)[-5], r.file_row_number): (r.item_id, r.item_name, r.item_category) for r in rows.collect()}
+    assert got["1", 1] == ("1", 'two\nlines, "quoted"', "Basic") and got["1", 2] == ("2", "plain", "x\n\ny") and got["1", 3] == ("3", "last", None)
+    assert all(got["2", i + 1] == (str(i), f"n{i}", "k") for i in range(50)) and len(got) == 53
+    assert {(r.parsed, r.rejected, r.accepted) for r in report.collect()} == {(3, 0, True), (50, 0, True)}
+    values = [(1, 'a,"b"\n c'), (2, ""), (3, None), (4, '"')]
+    landing.export_csv(spark.createDataFrame(values, "id int, name string"), f"{tmp_path}/out")
+    back, _ = landing.read_csv(spark, f"{tmp_path}/out", "champions_ref", pattern="part-*")
+    assert {r.champion_id: r.champion_name for r in back.where("champion_id < 5").collect()} == {"1": 'a,"b"\n c', "2": None, "3": None, "4": '"'}
+
+
+def test_unloaded_files(spark, tmp_path):
+    write(tmp_path / "in" / "deep", "items_ref_1.csv", "ID,NAME,KIND\n1,a,b\n")
+    write(tmp_path / "in", "items_ref_2.csv", "ID,NAME,KIND\n1,a,b\n")
+    write(tmp_path / "in", "items_ref_0.csv", "")
+    files = landing.listing(spark, f"{tmp_path}/in")
+    assert sorted((os.path.basename(r.path), r.size > 0) for r in files.collect()) == [("items_ref_0.csv", False), ("items_ref_1.csv", True), ("items_ref_2.csv", True)]
+    _, report = landing.read_csv(spark, f"{tmp_path}/in", "items_ref")
+    assert {os.path.basename(r.path) for r in landing.unloaded(files, report).collect()} == {"items_ref_0.csv", "items_ref_1.csv"} and landing.has_data(files, report)
+    _, more = landing.read_csv(spark, f"{tmp_path}/in/deep", "items_ref")
+    assert not landing.has_data(files, report.unionByName(more)) and landing.has_data(files, report.limit(0))
+    assert "content#" not in files._jdf.queryExecution().executedPlan().toString()
+
+
 def test_upload_guard(spark, tmp_path):
     for name, text in (("matches_1.csv", "h\n"), ("players_1.csv", "h\n"), ("players_2.csv", "h\n"), ("items_ref.csv", "")):
         write(tmp_path, name, text)
