@@ -16,14 +16,17 @@ PARTS = 16
 
 
 def profile(df: DataFrame) -> DataFrame:
-    """(name, dtype, null_share, distinct_share, min, max) of every column."""
-    n = F.count(F.lit(1))
-
-    def of(name: str, kind: str):
-        c = F.col(name)
-        return F.struct(F.lit(name).alias("name"), F.lit(kind).alias("dtype"), F.avg(c.isNull().cast("double")).alias("null_share"), (F.count_distinct(c) / n).alias("distinct_share"), F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max"))
-
-    return df.agg(F.array(*[of(*x) for x in df.dtypes]).alias("columns")).select(F.explode("columns").alias("c")).select("c.*")
+    """(name, dtype, null_share, distinct_share, min, max) of every column.
+
+    Values are counted per column, all columns in one aggregation that combines before it moves; then they are counted as
+    distinct. No row is multiplied by distinct aggregates, and no task sees all values of a column.
+    """
+    named = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(name).cast("string").alias("value")) for name in df.columns])).alias("c")
+    counts = df.select(named).groupBy("c.name", "c.value").agg(F.count(F.lit(1)).alias("k"))
+    shares = counts.groupBy("name").agg(F.sum("k").alias("n"), F.count("value").alias("distinct"), F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("k"))), F.lit(0)).alias("nulls"))
+    ends = df.agg(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(kind).alias("dtype"), F.min(name).cast("string").alias("min"), F.max(name).cast("string").alias("max")) for name, kind in df.dtypes]).alias("c"))
+    out = ends.select(F.explode("c").alias("c")).select("c.*").join(F.broadcast(shares), "name", "left")  # a row per column
+    return out.select("name", "dtype", (F.col("nulls") / F.col("n")).alias("null_share"), (F.col("distinct") / F.col("n")).alias("distinct_share"), "min", "max")
 
 
 def with_fold(df: DataFrame, label: str, folds: int, seed: int) -> DataFrame:

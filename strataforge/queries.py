@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from .functions import columns as C
 from . import season_queries
+from .functions.variants import element_pairs
 from .operators import rows as R
 from .operators.keyed import KeyedTable
 from .plans import gold, monitors, proportions
@@ -349,6 +350,22 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.variant_get(F.parse_json("props"), "$.k", "bigint").alias("k"))
 
 
+@query("""
+WITH j AS (SELECT event_id, '[{"id":' || k % 7 || '},{"id":' || k % 5 || ',"kind":"' || event_type || '"},{"id":null},{"kind":"x"},' || k || ',{"id":' || k % 3 || '}]' AS j FROM (SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)),
+u AS (SELECT event_id, i, CAST(json_extract(j, '$[' || i || '].id') AS BIGINT) AS id, json_extract_string(j, '$[' || i || '].kind') AS kind FROM j, (SELECT unnest(range(6)) AS i))
+SELECT a.id, b.id AS other, b.kind, count(*) AS n FROM u a JOIN u b ON a.event_id = b.event_id AND a.i <> b.i WHERE a.id IS NOT NULL AND b.id IS NOT NULL GROUP BY ALL
+""")
+def variant_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays of objects in a variant, exploded twice in each row; objects without an id, nulls and bare numbers go."""
+    k = F.variant_get(F.parse_json("props"), "$.k", "bigint")
+    text = lambda c: c.cast("string")
+    array = F.concat(F.lit('[{"id":'), text(k % 7), F.lit('},{"id":'), text(k % 5), F.lit(',"kind":"'), "event_type", F.lit('"},{"id":null},{"kind":"x"},'), text(k), F.lit(',{"id":'), text(k % 3), F.lit("}]"))
+    pairs = element_pairs(table(spark, sf_dir, "events").select(F.parse_json(array).alias("items")), "items")
+    of = lambda side, path, kind: F.try_variant_get(f"{side}_value", path, kind)
+    rows = pairs.select(of("a", "$.id", "bigint").alias("id"), of("b", "$.id", "bigint").alias("other"), of("b", "$.kind", "string").alias("kind"))
+    return rows.where("id is not null and other is not null").groupBy("id", "other", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""
 SELECT event_id, date_diff('minute', TIMESTAMP '1995-03-05 10:20:30', ts) AS minutes, date_diff('second', date_trunc('day', ts), ts) AS seconds,
   strftime(ts, '%Y%m%d') AS day, strftime(ts, '%Y%m%d_%H%M%S') AS stamp, CAST(CAST(ts AS DATE) - INTERVAL 1 DAY AS DATE) AS day_before, ts - INTERVAL 24 HOURS AS earlier FROM events

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .plans import gold, monitors, proportions, quality, vault
+from .plans import catalogue, gold, monitors, proportions, quality, vault
 from .season import gold_tables, raw_tables, scratch, silver_tables, stored
 from .streaming.vault_stream import VaultStreams
 
@@ -271,3 +271,21 @@ QUERIES["vault_hub"] = _vault_query("hub", ["hub_hash", *vault.HUB])
 QUERIES["vault_satellite"] = _vault_query("satellite", ["hub_hash", "diff_hash"])
 for _target in ("kda", "economy", "items", "team_objectives", "summary"):
     QUERIES[f"vault_{_target}"] = _vault_query(_target)
+
+_COUNTED = [(m, _TABLE.get(m, "iv JOIN pl USING (match_id, participant_pos_id)")) for m in gold.MODELS]
+SQL["model_catalogue"] = f"{_with(*_ALL)} " + " UNION ALL ".join(f"SELECT '{m}' AS model, (SELECT count(*) FROM {t}) AS row_count, TRUE AS has_bytes, TRUE AS commented, 'A model of the season' AS comment" for m, t in _COUNTED)
+
+
+def model_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six models as tables of a database of their own, and what the catalogue knows of them."""
+    folder = scratch(spark)
+    database = f"season_{folder.rsplit('/', 1)[-1]}"
+    models = gold_tables(stored(silver_tables(spark, sf_dir), spark))
+    catalogue.publish(spark, database, models, dict.fromkeys(models, "A model of the season"), folder)
+    known = catalogue.known_tables(spark, database)
+    told = F.create_map(*[F.lit(x) for pair in gold.DESCRIPTIONS.items() for x in pair])
+    right = F.forall(F.map_entries("comments"), lambda e: told[e["key"]] == e["value"]) & (F.size("comments") > 0)
+    return known.select("model", "row_count", (F.col("bytes") > 0).alias("has_bytes"), right.alias("commented"), "comment")
+
+
+QUERIES["model_catalogue"] = model_catalogue
