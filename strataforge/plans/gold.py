@@ -34,12 +34,15 @@ def _unlogged(minute: str) -> Column:
 
 def matchend_player_stats(intervals: DataFrame, matches: DataFrame, players: DataFrame, items_ref: DataFrame) -> DataFrame:
     """A row per player of a match, from the last snapshot. No item at all gives a null build, only unknown ones an empty."""
-    last = final_snapshot(intervals)
-    build = last.select(*PLAYER, F.explode(_items()).alias("item_id")).join(items_ref.select("item_id", "item_name"), "item_id", "left")
-    build = build.groupBy(*PLAYER).agg(F.array_sort(F.collect_list("item_name")).alias("item_build"))
-    stats = last.select(*PLAYER, "minute", "level", "kills", "deaths", "assists", (F.col("cs") + F.col("jungle_cs")).alias("cs"), "total_gold")
+    kept = ["minute", "level", "kills", "deaths", "assists", "cs", "total_gold"]
+    last = final_snapshot(intervals.withColumn("cs", F.col("cs") + F.col("jungle_cs")).withColumn("items", _items()).select(*PLAYER, *kept, "items"))
+    # snapshots stay where their window has put them: a row per item, its name, and back to a row per player
+    slots = last.select(*PLAYER, F.struct(*kept, F.size("items").alias("n_items")).alias("s"), F.explode_outer("items").alias("item_id"))
+    named = slots.join(items_ref.select("item_id", "item_name"), "item_id", "left")
+    stats = named.groupBy(*PLAYER).agg(F.any_value("s").alias("s"), F.array_sort(F.collect_list("item_name")).alias("names"))
+    stats = stats.select(*PLAYER, "s.*", F.when(F.col("s.n_items") > 0, F.col("names")).alias("item_build"))
     who = players.select(*PLAYER, "team", "champion_name", "champion_role")
-    joined = stats.join(matches.select("match_id", "game_duration", "winning_team"), "match_id").join(who, PLAYER).join(build, PLAYER, "left")
+    joined = stats.join(matches.select("match_id", "game_duration", "winning_team"), "match_id").join(who, PLAYER)
     return joined.select(
         *PLAYER, "game_duration", "team", (F.col("team") == F.col("winning_team")).alias("win"), "champion_name", "champion_role",
         "level", "kills", "deaths", "assists", "cs", "total_gold", "item_build", _unlogged("minute").alias("unlogged_duration"),
@@ -90,16 +93,18 @@ def matchend_pivot_teamstats(intervals: DataFrame, matches: DataFrame) -> DataFr
     return joined.select("match_id", "game_duration", "game_date", "game_version", "winning_team", "average_rank", *columns, diff.alias("winning_gold_diff"), _unlogged("last_minute").alias("unlogged_duration"))
 
 
-def companions(items: DataFrame, by: list[str], basket: list[str], k: int = 3) -> DataFrame:
+def companions(items: DataFrame, by: list[str], basket: list[str], k: int = 3, names: DataFrame | None = None) -> DataFrame:
     """(by, item_id, top_item_1..k): names of the items most often in one basket with an item, of the same or a higher tier.
 
     items: by, basket, item_id, item_name, tier. Copies in a basket count each. Pairs are made within a basket's array,
-    so no join multiplies the rows of the table.
+    so no join multiplies the rows of the table. names has item_id and item_name, one row an item; without it they are
+    sought among items.
     """
     baskets = items.where("tier is not null").groupBy(*by, *basket).agg(F.collect_list(F.struct("tier", "item_id")).alias("items"))
     pairs = baskets.select(*by, F.explode("items").alias("l"), "items").select(*by, "l", F.explode("items").alias("r")).where("l.item_id != r.item_id and l.tier <= r.tier")
     counts = pairs.groupBy(*by, F.col("l.item_id").alias("item_id"), F.col("r.item_id").alias("other")).agg(F.count(F.lit(1)).alias("n"))
-    named = counts.join(items.select(F.col("item_id").alias("other"), F.col("item_name").alias("name")).distinct(), "other", "left")
+    names = items.select("item_id", "item_name").distinct() if names is None else names
+    named = counts.join(names.select(F.col("item_id").alias("other"), F.col("item_name").alias("name")), "other", "left")
     rank = F.row_number().over(Window.partitionBy(*by, "item_id").orderBy(F.col("n").desc_nulls_first(), F.col("name").asc_nulls_last(), F.col("other").asc()))
     top = named.withColumn("rank", rank).where(F.col("rank") <= k)
     return top.groupBy(*by, "item_id").agg(*[F.max(F.when(F.col("rank") == i, F.col("name"))).alias(f"top_item_{i}") for i in range(1, k + 1)])
@@ -121,12 +126,12 @@ def item_recommendations(intervals: DataFrame, matches: DataFrame, players: Data
     last = last.join(matches.select("match_id", "winning_team"), "match_id").join(players.select(*PLAYER, "team", "champion_name"), PLAYER)
     last = last.withColumn("win", F.col("team") == F.col("winning_team"))
     ref = items_ref.select("item_id", "item_name", "item_category", tier.alias("tier"))
-    items = last.select(*PLAYER, "champion_name", "win", "kills", "deaths", "assists", F.explode("items").alias("item_id")).join(ref, "item_id", "left")
+    items = last.select(*PLAYER, "champion_name", "win", "kills", "deaths", "assists", F.posexplode_outer("items").alias("slot", "item_id"))
     kda = (F.col("kills") + F.col("assists")).cast("decimal(20,0)") / (F.col("deaths") + 1).cast("decimal(20,0)")
-    stats = items.groupBy("champion_name", "item_id").agg(F.count(F.lit(1)).alias("bought"), F.sum(F.when(F.col("win"), 1).otherwise(0)).alias("wins"), F.round(F.avg(kda), 2).cast("double").alias("avg_kda"))
-    picks = last.groupBy("champion_name").agg(F.count(F.lit(1)).alias("picks"))
-    top = companions(items, ["champion_name"], PLAYER)
-    joined = stats.join(ref, "item_id", "left").join(picks, "champion_name").join(top, ["champion_name", "item_id"], "left").join(first_minutes(intervals, players, items_ref), ["champion_name", "item_id"], "left")
+    stats = items.groupBy("champion_name", "item_id").agg(F.count(F.lit(1)).alias("bought"), F.sum(F.when(F.col("win"), 1).otherwise(0)).alias("wins"), F.round(F.avg(kda), 2).cast("double").alias("avg_kda"), F.count_if(F.coalesce("slot", F.lit(0)) == 0).alias("first"))
+    stats = stats.withColumn("picks", F.sum("first").over(Window.partitionBy("champion_name"))).where("item_id is not null")  # a player's first slot, empty or not, counts the player
+    top = companions(items.where("item_id is not null").join(ref, "item_id", "left"), ["champion_name"], PLAYER, names=ref)
+    joined = stats.join(ref, "item_id", "left").join(top, ["champion_name", "item_id"], "left").join(first_minutes(intervals, players, items_ref), ["champion_name", "item_id"], "left")
     return joined.where("champion_name is not null and item_name is not null").select(
         "champion_name", "item_name", "item_category", decimal_ratio(F.col("bought"), F.col("picks"), 4).alias("player_purchase_rate"),
         decimal_ratio(F.col("wins"), F.col("bought"), 4).alias("win_rate"), "avg_kda", "most_common_first_purchase_minute", "top_item_1", "top_item_2", "top_item_3",

@@ -77,7 +77,8 @@ def _with(*tables: str) -> str:
 
 def _model(name: str):
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return gold.build(name, silver_tables(spark, sf_dir))
+        needed = {t: df for t, df in silver_tables(spark, sf_dir).items() if t in gold.MODELS[name][1]}
+        return gold.build(name, stored(needed, spark) if name == "item_recommendations" else needed)  # it reads them several times
 
     return query
 
@@ -103,20 +104,26 @@ for _table, _alias in (("matches", "m"), ("players", "pl"), ("items_ref", "it"),
 
 _ALL = (_LAST, _SLOT, _M1, _M2, _M3, _M4, _M5)
 # who fails which check: check, model, key. The rules are those of the checks; a null that a rule can't judge is no failure
-_FAILED = f"""failed AS (
-  SELECT 2 AS c, 'NONE' AS model, '' AS k WHERE FALSE
-  UNION ALL SELECT 3, 'MATCHEND_PLAYER_STATS', match_id || '|' || participant_pos_id FROM (SELECT match_id, participant_pos_id FROM pl EXCEPT SELECT match_id, participant_pos_id FROM m1)
-  UNION ALL SELECT 3, 'MATCHEND_PIVOT_TEAMSTATS', match_id FROM (SELECT match_id FROM m EXCEPT SELECT match_id FROM m4)
-  UNION ALL SELECT 4, model, champion_name FROM (SELECT DISTINCT 'MATCHEND_PLAYER_STATS' AS model, champion_name FROM m1 UNION SELECT 'CHAMPION_INTERVALS', champion_name FROM m2 UNION SELECT 'ITEM_RECOMMENDATIONS', champion_name FROM m5) WHERE champion_name NOT IN (SELECT champion_name FROM ch)
-  UNION ALL SELECT 5, 'CHAMPION_INTERVALS', champion_name || '|' || minute FROM m2 WHERE avg_level < 1 OR avg_level > 20
-  UNION ALL SELECT 5, 'CHAMPION_OVERVIEWS', CAST(champion_id AS VARCHAR) FROM m3 WHERE greatest(global_win_rate, global_ban_rate, primary_lane_share, global_pick_rate) > 1
-  UNION ALL SELECT 5, 'MATCHEND_PIVOT_TEAMSTATS', match_id FROM m4 WHERE {" OR ".join(f"{t.lower()}_{c} IS NULL" for t, c in _SIDES)}
-  UNION ALL SELECT 5, 'ITEM_RECOMMENDATIONS', champion_name || '|' || item_name FROM m5 WHERE player_purchase_rate > 1 OR win_rate > 1 OR top_item_1 = top_item_2 OR top_item_2 = top_item_3 OR top_item_1 = top_item_3
-  UNION ALL SELECT 1, upper(model), upper(model) FROM (SELECT 'matchend_player_stats' AS model, count(*) AS n FROM m1 UNION ALL SELECT 'champion_intervals', count(*) FROM m2 UNION ALL SELECT 'champion_overviews', count(*) FROM m3
-    UNION ALL SELECT 'matchend_pivot_teamstats', count(*) FROM m4 UNION ALL SELECT 'item_recommendations', count(*) FROM m5) WHERE n < 50
-  UNION ALL SELECT 6, 'CHAMPION_OVERVIEWS', CAST(champion_id AS VARCHAR) FROM m3 WHERE global_games_played >= 30 AND global_win_rate NOT BETWEEN 0.4 AND 0.6
-  UNION ALL SELECT 7, 'MATCHEND_PLAYER_STATS', 'GLOBAL' FROM (SELECT avg(CAST(win AS INT)) AS w FROM m1) WHERE w NOT BETWEEN 0.48 AND 0.52
-  UNION ALL SELECT 8, 'CHAMPION_INTERVALS', 'CHAMPION_INTERVALS')"""
+_PLANTED = """p1 AS (SELECT * FROM m1 UNION ALL SELECT * REPLACE (CAST(21 AS BIGINT) AS level) FROM m1 WHERE kills = 11), p2 AS (SELECT * FROM m2 UNION ALL SELECT * REPLACE (CAST(-5 AS BIGINT) AS minute) FROM m2 WHERE minute = 5 UNION ALL SELECT * FROM m2 WHERE minute = 10),
+p3 AS (SELECT * FROM m3 UNION ALL SELECT * REPLACE (1.5 AS global_win_rate, CAST(31 AS BIGINT) AS global_games_played) FROM m3 WHERE champion_id < 4), p4 AS (SELECT * FROM m4 UNION ALL SELECT * REPLACE (CAST(NULL AS BIGINT) AS red_kills) FROM m4 WHERE red_kills = 0),
+p5 AS (SELECT * FROM m5 UNION ALL SELECT * REPLACE (top_item_1 AS top_item_3) FROM m5 WHERE win_rate > 0.6)"""
+_KEYS = {"p1": ("MATCHEND_PLAYER_STATS", "match_id || '|' || participant_pos_id"), "p2": ("CHAMPION_INTERVALS", "champion_name || '|' || minute"), "p3": ("CHAMPION_OVERVIEWS", "CAST(champion_id AS VARCHAR)"), "p4": ("MATCHEND_PIVOT_TEAMSTATS", "match_id"), "p5": ("ITEM_RECOMMENDATIONS", "champion_name || '|' || item_name")}
+_STATES = "(VALUES " + ", ".join(f"('{m}', 'SUCCEEDED', 1)" for m in gold.MODELS) + ", ('champion_intervals', 'FAILED', 2), ('item_recommendations', 'FAILED', 0)) AS t(model, state, at_)"
+_FAILED = f"""{_PLANTED}, failed AS (
+  SELECT 2 AS c, model, k FROM ({" UNION ALL ".join(f"SELECT '{m}' AS model, {k} AS k FROM {t} GROUP BY ALL HAVING count(*) > 1" for t, (m, k) in _KEYS.items())})
+  UNION ALL SELECT 5, 'MATCHEND_PLAYER_STATS', match_id || '|' || participant_pos_id FROM p1 WHERE level NOT BETWEEN 1 AND 20 OR least(kills, deaths, assists, cs, total_gold, unlogged_duration) < 0 OR team NOT IN ('BLUE', 'RED')
+  UNION ALL SELECT 3, 'MATCHEND_PLAYER_STATS', match_id || '|' || participant_pos_id FROM (SELECT match_id, participant_pos_id FROM pl EXCEPT SELECT match_id, participant_pos_id FROM p1)
+  UNION ALL SELECT 3, 'MATCHEND_PIVOT_TEAMSTATS', match_id FROM (SELECT match_id FROM m EXCEPT SELECT match_id FROM p4)
+  UNION ALL SELECT 4, model, champion_name FROM (SELECT DISTINCT 'MATCHEND_PLAYER_STATS' AS model, champion_name FROM p1 UNION SELECT 'CHAMPION_INTERVALS', champion_name FROM p2 UNION SELECT 'ITEM_RECOMMENDATIONS', champion_name FROM p5) WHERE champion_name NOT IN (SELECT champion_name FROM ch)
+  UNION ALL SELECT 5, 'CHAMPION_INTERVALS', champion_name || '|' || minute FROM p2 WHERE avg_level NOT BETWEEN 1 AND 20 OR minute < 0 OR rows_sampled < 1
+  UNION ALL SELECT 5, 'CHAMPION_OVERVIEWS', CAST(champion_id AS VARCHAR) FROM p3 WHERE greatest(global_win_rate, global_ban_rate, primary_lane_share, global_pick_rate) > 1
+  UNION ALL SELECT 5, 'MATCHEND_PIVOT_TEAMSTATS', match_id FROM p4 WHERE {" OR ".join(f"{t.lower()}_{c} IS NULL" for t, c in _SIDES)}
+  UNION ALL SELECT 5, 'ITEM_RECOMMENDATIONS', champion_name || '|' || item_name FROM p5 WHERE player_purchase_rate > 1 OR win_rate > 1 OR top_item_1 = top_item_2 OR top_item_2 = top_item_3 OR top_item_1 = top_item_3
+  UNION ALL SELECT 1, upper(model), upper(model) FROM (SELECT 'matchend_player_stats' AS model, count(*) AS n FROM p1 UNION ALL SELECT 'champion_intervals', count(*) FROM p2 UNION ALL SELECT 'champion_overviews', count(*) FROM p3
+    UNION ALL SELECT 'matchend_pivot_teamstats', count(*) FROM p4 UNION ALL SELECT 'item_recommendations', count(*) FROM p5) WHERE n < 50
+  UNION ALL SELECT 6, 'CHAMPION_OVERVIEWS', CAST(champion_id AS VARCHAR) FROM p3 WHERE global_games_played >= 30 AND global_win_rate NOT BETWEEN 0.4 AND 0.6
+  UNION ALL SELECT 7, 'MATCHEND_PLAYER_STATS', 'GLOBAL' FROM (SELECT avg(CAST(win AS INT)) AS w FROM p1) WHERE w NOT BETWEEN 0.48 AND 0.52
+  UNION ALL SELECT 8, upper(model), upper(model) FROM (SELECT DISTINCT ON (model) model, state FROM {_STATES} WHERE model <> 'diff_intervals' ORDER BY model, at_ DESC) WHERE state <> 'SUCCEEDED')"""
 _CHECKS = ", ".join(f"({c}, '{name}', '{trip}', '{scope}')" for c, name, trip, scope in quality.CHECKS)
 SQL["dq_report"] = f"""{_with(*_ALL, _FAILED)},
 per AS (SELECT c, count(k) AS n, array_to_string((list(model || ':' || k ORDER BY model, k) FILTER (WHERE k IS NOT NULL))[1:5], '  |  ') AS five FROM (VALUES {_CHECKS}) AS t(c, name, trip, scope) LEFT JOIN failed USING (c) GROUP BY c),
@@ -126,12 +133,31 @@ SELECT coalesce(c, 99) AS check_id, coalesce(name, 'OVERALL: ' || if(bool_or(bad
 FROM judged GROUP BY GROUPING SETS ((c, name, trip, scope), ())"""
 
 
+def _planted(models: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The models with rows of them again, some with values out of range, so that every check has something to find."""
+    m = dict(models)
+
+    def more(name: str, which: str, **values) -> None:
+        extra = models[name].where(which)
+        m[name] = m[name].unionByName(extra.withColumns({k: v.cast(extra.schema[k].dataType) for k, v in values.items()}) if values else extra)
+
+    more("matchend_player_stats", "kills = 11", level=F.lit(21))
+    more("champion_intervals", "minute = 5", minute=F.lit(-5))
+    more("champion_intervals", "minute = 10")
+    more("champion_overviews", "champion_id < 4", global_win_rate=F.lit(1.5), global_games_played=F.lit(31))
+    more("matchend_pivot_teamstats", "red_kills = 0", red_kills=F.lit(None))
+    more("item_recommendations", "win_rate > 0.6", top_item_3=F.col("top_item_1"))
+    return m
+
+
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All eight checks over the models of the season; the history says that one refresh failed after it had succeeded."""
+    """All eight checks over the models of the season, with violations planted in each; the history says that one refresh
+    failed after it had succeeded, and another before."""
     silver = stored(silver_tables(spark, sf_dir), spark)
-    models = stored(gold_tables(silver), spark)
+    models = _planted(stored(gold_tables(silver), spark))
     day = dt.datetime(2024, 6, 2)
-    rows = [(m, "SUCCEEDED", day, day + dt.timedelta(minutes=1), 1) for m in models] + [("champion_intervals", "FAILED", day + dt.timedelta(hours=1), day + dt.timedelta(hours=2), None)]
+    at = lambda hours: (day + dt.timedelta(hours=hours), day + dt.timedelta(hours=hours, minutes=1))
+    rows = [(m, "SUCCEEDED", *at(1), 1) for m in models] + [("champion_intervals", "FAILED", *at(2), None), ("item_recommendations", "FAILED", *at(0), None)]
     return quality.report(spark, quality.all_failures(models, silver, spark.createDataFrame(rows, monitors.HISTORY)))
 
 
