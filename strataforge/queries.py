@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .functions import columns as C
-from . import season_queries
+from . import season_queries, upkeep_queries
 from .functions.variants import element_pairs
 from .operators import rows as R
 from .operators.keyed import KeyedTable
@@ -592,5 +592,6 @@ def stream_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # the models, cleaning and checks over a season made of these tables
-QUERIES.update(season_queries.QUERIES)
-SQL.update(season_queries.SQL)
+for _module in (season_queries, upkeep_queries):
+    QUERIES.update(_module.QUERIES)
+    SQL.update(_module.SQL)
