@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import boundaries_between
 from ..operators.rows import insert_missing, orphans, top_rows
 from ..sources.landing import BACKFILL_SOURCE
-from .gold import MODELS
+from .gold import MODELS, TEAM_MEASURES
 from .schemas import ITEM_SLOTS
 
 PLAYER = ["match_id", "participant_pos_id"]
@@ -80,6 +80,19 @@ def side_by_side(sample: DataFrame, full: DataFrame, keys: list[str], columns: l
     return sample.select(*keys, *columns).join(other, keys, "left")
 
 
+def verified_sides(pivot: DataFrame, intervals: DataFrame) -> DataFrame:
+    """(match_id, verification) of a pivot of both teams: its values beside the last snapshot of either team, which is
+    joined twice. MATCH where all are equal, else MISMATCH; matches that lack a team are left out."""
+    last = top_rows(intervals, ["match_id", "team"], [F.col("minute").desc_nulls_first(), F.col("participant_pos_id").asc_nulls_last()])
+    joined, same = pivot, F.lit(True)
+    for side in ("blue", "red"):
+        seen = last.where(F.col("team") == side.upper()).select("match_id", *[F.col(f"team_{m}").alias(f"_{side}_{m}") for m in TEAM_MEASURES])
+        joined = joined.join(seen, "match_id")
+        for m in TEAM_MEASURES:
+            same = same & (F.col(f"{side}_{m}") == F.col(f"_{side}_{m}"))
+    return joined.select("match_id", F.when(same, "MATCH").otherwise("MISMATCH").alias("verification"))
+
+
 def random_rows(df: DataFrame, n: int, seed: int, keys: list[str]) -> DataFrame:
     """n rows by the order of a digest of seed and keys: the same ones whenever and wherever it runs."""
     return df.orderBy(F.md5(F.concat_ws("|", F.lit(seed).cast("string"), *[F.col(k).cast("string") for k in keys])), *keys).limit(n)

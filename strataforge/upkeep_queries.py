@@ -11,7 +11,7 @@ from .plans import gold, monitors
 from .plans.schemas import KEYS, LOAD_ORDER, SILVER
 from .plans.silver import cleaned
 from .season import raw_tables, silver_tables
-from .season_queries import _with
+from .season_queries import _M4, _with
 from .sources import landing
 
 QUERIES, SQL = {}, {}
@@ -88,3 +88,13 @@ def load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = orders.select(F.concat(F.lit("orders_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit(".csv")).alias("file_name"), F.when(F.col("o_orderstatus") == "P", "partial").alias("_bad"))
     history = landing.file_report(rows).withColumn("loaded_at", F.to_timestamp(F.regexp_extract("file_name", "_([0-9]+)", 1), "yyyyMMdd").cast("timestamp_ntz"))
     return landing.load_errors(history, F.expr(_NOW).cast("timestamp_ntz"), days=1500).select("file_name", "parsed", "rejected")
+
+
+@_query(f"""{_with(_M4)} SELECT match_id, CASE WHEN red_towers = 3 THEN 'MISMATCH' ELSE 'MATCH' END AS verification FROM m4
+WHERE match_id IN (SELECT match_id FROM iv WHERE team = 'BLUE') AND match_id IN (SELECT match_id FROM iv WHERE team = 'RED')""")
+def pivot_verification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pivot of all matches against the snapshots it was made of; where red has three towers it has been tampered with."""
+    silver = silver_tables(spark, sf_dir)
+    pivot = gold.matchend_pivot_teamstats(silver["intervals"], silver["matches"])
+    tampered = pivot.withColumn("blue_kills", F.col("blue_kills") + F.when(F.col("red_towers") == 3, 1).otherwise(0))
+    return monitors.verified_sides(tampered, silver["intervals"])
