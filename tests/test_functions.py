@@ -81,3 +81,10 @@ def test_insert_missing_with_null_keys(spark):
 def test_top_rows_null_order(spark):
     df = spark.createDataFrame([("g", None), ("g", 5), ("h", 1)], "g string, v int")
     assert sorted(map(str, R.top_rows(df, ["g"], [F.col("v").desc_nulls_first()]).collect())) == sorted(["Row(g='g', v=None)", "Row(g='h', v=1)"])
+
+
+def test_safe_int_of_many_columns_stays_out_of_generated_code(spark):
+    """The way over decimals is a lambda: no column brings its decimals into the code of a row."""
+    df = spark.createDataFrame([("7", "1.5", "5\x7f")], "a string, b string, c string")
+    out = df.select(*[C.safe_int(F.col(c)).alias(c) for c in df.columns])
+    assert out.first() == (7, 2, None) and "transform(" in out._jdf.queryExecution().executedPlan().toString().lower().replace("lambdafunction", "transform(")
