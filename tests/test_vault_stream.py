@@ -3,6 +3,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
+from strataforge import season_queries
 from strataforge.plans import vault
 from strataforge.season_queries import run_again
 from strataforge.streaming.vault_stream import DERIVED, TARGETS, VaultStreams
@@ -127,3 +128,25 @@ def test_few_and_many_staged_rows_give_the_same(spark, small):
     keys = [r[0] for r in hub.unionByName(more).select("hub_hash").collect()]
     assert None in keys and len(keys) == len(set(keys)) == rows.select("hub_hash").distinct().count()
     assert hub.unionByName(more).where("hub_hash is not null").join(later(staged(spark)), ["id", "ldts"], "left_semi").count() == 0
+
+
+def test_staged_rows_and_known_keys_move_once(spark):
+    rows = staged(spark)
+    known = vault.with_hashes(rows)
+    for fresh in (vault.new_hub_rows(known, later(rows)), vault.new_states(known, later(rows))):
+        plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression") == 1 and "Join" not in plan
+    assert vault.new_states(known, rows).count() == 0 and vault.new_hub_rows(known, later(rows)).count() == 0
+    a, b = (sorted(map(str, vault.new_states(known, x).collect())) for x in (later(rows), vault.with_hashes(later(rows))))
+    assert a == b != []
+
+
+def test_hub_and_satellite_are_read_without_deriving(spark, data, monkeypatch):
+    started = []
+    derive = VaultStreams.derive
+    monkeypatch.setattr(VaultStreams, "derive", lambda self, **kw: started.append(1) or derive(self, **kw))
+    monkeypatch.setattr(season_queries, "_RUNS", {})
+    monkeypatch.setattr(season_queries, "_DERIVED", set())
+    hub = season_queries.QUERIES["vault_hub"](spark, data).count()
+    assert hub > 0 and season_queries.QUERIES["vault_satellite"](spark, data).count() > hub and started == []
+    assert season_queries.QUERIES["vault_kda"](spark, data).count() > hub and started
