@@ -69,8 +69,15 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"matches": matches, "players": players, "items_ref": items, "champions_ref": champions, "intervals": intervals}
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: upsert(None, cleaned(t, raw), KEYS[t], LOAD_ORDER).select(SILVER[t].names) for t, raw in raw_tables(spark, sf_dir).items()}
+def silver_tables(spark: SparkSession, sf_dir: str, by_match: bool = False) -> dict[str, DataFrame]:
+    """The cleaned tables. Snapshots and players move once, by player of a match, or by match for what is about teams:
+    one row per key, last snapshots and the join of the two find their rows where they are."""
+    place = {t: [k for k in KEYS[t] if k == "match_id" or k == "participant_pos_id" and not by_match] for t in ("intervals", "players")}
+    out = {}
+    for t, raw in raw_tables(spark, sf_dir).items():
+        rows = cleaned(t, raw)
+        out[t] = upsert(None, rows.repartition(*place[t]) if t in place else rows, KEYS[t], LOAD_ORDER).select(SILVER[t].names)
+    return out
 
 
 def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
