@@ -18,8 +18,13 @@ from ..functions.normal import upper_quantile, upper_tail
 MILESTONES = (("team_kills", 3), ("team_towers", 1), ("epic_monsters", 3))
 
 
+def seasons(matches: DataFrame) -> DataFrame:
+    """(match_id, season): the first two characters of the game version."""
+    return matches.select("match_id", F.substring("game_version", 1, 2).try_cast("int").alias("season"))
+
+
 def with_season(intervals: DataFrame, matches: DataFrame) -> DataFrame:
-    """intervals with the season, the first two characters of the game version, and the sum of epic monsters."""
+    """intervals with the season, the winner, and the sum of epic monsters."""
     season = matches.select("match_id", "winning_team", F.substring("game_version", 1, 2).try_cast("int").alias("season"))
     epic = F.col("team_dragons") + F.col("team_barons") + F.col("team_void_grubs") + F.col("team_heralds")
     return intervals.withColumn("epic_monsters", epic).join(season, "match_id")
