@@ -81,15 +81,15 @@ def side_by_side(sample: DataFrame, full: DataFrame, keys: list[str], columns: l
 
 
 def verified_sides(pivot: DataFrame, intervals: DataFrame) -> DataFrame:
-    """(match_id, verification) of a pivot of both teams: its values beside the last snapshot of either team, which is
-    joined twice. MATCH where all are equal, else MISMATCH; matches that lack a team are left out."""
+    """(match_id, verification) of a pivot of both teams: its values beside the last snapshots of the two teams, side by
+    side in one row, which is joined once. MATCH where all are equal, else MISMATCH; matches that lack a team are left out."""
     last = top_rows(intervals, ["match_id", "team"], [F.col("minute").desc_nulls_first(), F.col("participant_pos_id").asc_nulls_last()])
-    joined, same = pivot, F.lit(True)
+    values = F.struct(*[F.col(f"team_{m}").alias(m) for m in TEAM_MEASURES])
+    sides = last.groupBy("match_id").agg(*[F.max(F.when(F.col("team") == side.upper(), values)).alias(f"_{side}") for side in ("blue", "red")])
+    joined, same = pivot.join(sides.where("_blue is not null and _red is not null"), "match_id"), F.lit(True)
     for side in ("blue", "red"):
-        seen = last.where(F.col("team") == side.upper()).select("match_id", *[F.col(f"team_{m}").alias(f"_{side}_{m}") for m in TEAM_MEASURES])
-        joined = joined.join(seen, "match_id")
         for m in TEAM_MEASURES:
-            same = same & (F.col(f"{side}_{m}") == F.col(f"_{side}_{m}"))
+            same = same & (F.col(f"{side}_{m}") == F.col(f"_{side}.{m}"))
     return joined.select("match_id", F.when(same, "MATCH").otherwise("MISMATCH").alias("verification"))
 
 

@@ -220,3 +220,16 @@ def test_classifiers(spark):
     got = compare(df, "rank", ["gold", "noise"], standard=["gold"], min_max=["noise"], folds=3)
     assert got.count() == 9 and got.agg(F.min("accuracy")).first()[0] > 0.95
     assert profile(df).where("name = 'rank'").first().distinct_share == 2 / 400
+
+
+def test_snapshots_move_once(spark, data):
+    """Cleaned snapshots are sent to other tasks once, whichever of their rows a query then looks for."""
+    from strataforge.queries import QUERIES
+    from strataforge.season import silver_tables
+
+    for name in ("feat_outcomes", "pivot_verification"):
+        plan = QUERIES[name](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression [match_id") == (1 if name == "feat_outcomes" else 2), plan
+    silver = silver_tables(spark, data)
+    joined = silver["intervals"].join(silver["players"], ["match_id", "participant_pos_id"])._jdf.queryExecution().executedPlan().toString()
+    assert joined.count("Exchange hashpartitioning(match_id") == 2  # one for either table, for its keys and the join
