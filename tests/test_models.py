@@ -233,3 +233,15 @@ def test_snapshots_move_once(spark, data):
     silver = silver_tables(spark, data)
     joined = silver["intervals"].join(silver["players"], ["match_id", "participant_pos_id"])._jdf.queryExecution().executedPlan().toString()
     assert joined.count("Exchange hashpartitioning(match_id") == 2  # one for either table, for its keys and the join
+
+
+def test_stored_tables_of_players_are_joined_where_they_are(spark, data):
+    from strataforge.season import silver_tables, stored
+
+    tables = stored({t: df for t, df in silver_tables(spark, data).items() if t in ("intervals", "players")}, spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = gold.diff_intervals(tables["intervals"], tables["players"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Join" in plan and "Exchange" not in plan
