@@ -150,3 +150,39 @@ def test_hub_and_satellite_are_read_without_deriving(spark, data, monkeypatch):
     hub = season_queries.QUERIES["vault_hub"](spark, data).count()
     assert hub > 0 and season_queries.QUERIES["vault_satellite"](spark, data).count() > hub and started == []
     assert season_queries.QUERIES["vault_kda"](spark, data).count() > hub and started
+
+
+def test_a_derived_table_by_its_own_stream(spark, tmp_path, expected):
+    """Each table filled by itself is as all four filled together, run again or not, and is not filled in both ways."""
+    streams = VaultStreams(spark, str(tmp_path))
+    for rows in (staged(spark), later(staged(spark))):
+        rows.write.mode("append").parquet(streams.path("staged"))
+        streams.record().awaitTermination()
+        for target in DERIVED:
+            streams.derive(target=target).awaitTermination()
+            run_again(streams, streams.derive_name(target))
+            streams.derive(target=target).awaitTermination()
+    assert contents(streams) == expected
+    shutil.rmtree(streams.path("checkpoints", streams.derive_name("items")))
+    streams.derive(target="items").awaitTermination()
+    assert contents(streams) == expected
+    with pytest.raises(ValueError, match="not both"):
+        streams.derive()
+
+
+def test_a_derived_table_reads_its_own_columns(spark, tmp_path):
+    streams = VaultStreams(spark, str(tmp_path))
+    rows = vault.numbered(spark.createDataFrame([], TARGETS["satellite"]), spark.createDataFrame([], TARGETS["hub"]), vault.DERIVED["items"])
+    assert vault.derived(rows, ("items",))["items"].columns == [*vault.HUB, *vault.DERIVED["items"]]
+    staged(spark).write.parquet(streams.path("staged"))
+    streams.record().awaitTermination()
+    plan = vault.numbered(streams.read("satellite"), streams.read("hub"), vault.DERIVED["items"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "item_0" in plan and not any(f"{c}#" in plan.split("Relation")[0] for c in ("kills", "team_kills", "gold_diff"))
+
+
+def test_only_the_derived_table_asked_for_is_filled(spark, data, monkeypatch):
+    monkeypatch.setattr(season_queries, "_RUNS", {})
+    monkeypatch.setattr(season_queries, "_DERIVED", set())
+    assert season_queries.QUERIES["vault_items"](spark, data).count() > 0
+    streams, = season_queries._RUNS.values()
+    assert [t for t in DERIVED if streams.read(t).count()] == ["items"]
