@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,15 +48,14 @@ def with_load_columns(rows: DataFrame, table: str, loaded_at: Column | None = No
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """file_row_number from 1, in the order of the file. A file of several blocks is counted block by block: rows within
-    a block, then the blocks before it, so that a large file is not one task's."""
-    order = F.monotonically_increasing_id()
-    placed = rows.withColumn("_order", order)
-    within = F.row_number().over(Window.partitionBy("file_name", "_block").orderBy("_order"))
-    sizes = rows.groupBy("file_name", "_block").agg(F.count(F.lit(1)).alias("_rows"))
+    """file_row_number from 1, in the order of the file. Rows of a block of a file lie one after the other in a partition of
+    what was read, so a row's number is its distance from the first row of its block, plus the rows of the blocks before. Rows
+    are not moved or sorted for it; what goes to all tasks is a row per block."""
+    placed = rows.withColumn("_order", F.monotonically_increasing_id())
+    blocks = placed.groupBy("file_name", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_order").alias("_first"))
     before = F.coalesce(F.sum("_rows").over(Window.partitionBy("file_name").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("file_name", "_block", before.alias("_before"))
-    return placed.withColumn("_within", within).join(starts, ["file_name", "_block"]).withColumn("file_row_number", (F.col("_before") + F.col("_within")).cast("bigint")).drop("_order", "_within", "_before", "_block")
+    starts = blocks.select("file_name", "_block", (before - F.col("_first") + 1).alias("_shift"))
+    return placed.join(F.broadcast(starts), ["file_name", "_block"]).withColumn("file_row_number", (F.col("_order") + F.col("_shift")).cast("bigint")).drop("_order", "_shift", "_block")
 
 
 def file_report(rows: DataFrame, reject_percent: int = REJECT_PERCENT) -> DataFrame:
@@ -63,9 +65,9 @@ def file_report(rows: DataFrame, reject_percent: int = REJECT_PERCENT) -> DataFr
 
 
 def accepted_rows(rows: DataFrame, report: DataFrame) -> DataFrame:
-    """Rows of accepted files, without the bad ones."""
+    """Rows of accepted files, without the bad ones. The names of files go to all tasks: rows of one file are many tasks' work."""
     good = report.where("accepted").select("file_name")
-    return rows.where(F.col("_bad").isNull()).join(good, "file_name", "left_semi").drop("_bad")
+    return rows.where(F.col("_bad").isNull()).join(F.broadcast(good), "file_name", "left_semi").drop("_bad")
 
 
 def same_path(column: Column) -> Column:
@@ -73,8 +75,8 @@ def same_path(column: Column) -> Column:
     return F.regexp_replace(column, "^([a-zA-Z0-9]+):/+", "$1:/")
 
 
-def broken_over_lines(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """(path) of the files with a quoted line break: those in which some line has an odd number of quotes.
+def broken_over_lines(spark: SparkSession, folder: str | list[str], pattern: str) -> DataFrame:
+    """(path) of the files, of a folder or named, with a quoted line break: those in which some line has an odd number of quotes.
 
     Lines are looked at in splits of any place, so a large file is many tasks' work.
     """
@@ -82,6 +84,20 @@ def broken_over_lines(spark: SparkSession, folder: str, pattern: str) -> DataFra
     return lines.where(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).select("path").distinct()
 
 
+def csv_rows(spark: SparkSession, paths: list[str], table: str, loaded_at: Column | None = None, source: str | None = None, pattern: str | None = None) -> DataFrame:
+    """Rows with load columns of the files that are named. Those with a quoted line break are read whole, each by a task;
+    all others in splits."""
+    pattern = pattern or f"{table}*"
+    named = {_plain_path(p): _literal(p) for p in paths}
+    whole = {_plain_path(unquote(r.path)) for r in broken_over_lines(spark, list(named.values()), pattern).collect()}  # names of files, as paths are
+    out = None
+    for multi_line, some in ((False, [n for p, n in named.items() if p not in whole]), (True, [n for p, n in named.items() if p in whole])):
+        if some:
+            rows = with_load_columns(spark.read.schema(csv_schema(table)).options(**csv_options(table, multi_line) | {"pathGlobFilter": pattern}).csv(some), table, loaded_at, source)
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def read_csv(spark: SparkSession, folder: str, table: str, source: str | None = None, loaded_at: Column | None = None, pattern: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows with load columns of the accepted files, the report on all files). Files: the table's prefix, or a pattern.
 
@@ -98,6 +114,11 @@ def read_csv(spark: SparkSession, folder: str, table: str, source: str | None =
     return accepted_rows(numbered(raw), report), report
 
 
+def _literal(path: str) -> str:
+    """A path for a reader that takes signs of patterns for what they are."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _plain_path(path: str) -> str:
     scheme, slash, rest = path.partition(":/")
     return f"{scheme}:/{rest.lstrip('/')}" if slash else path

@@ -236,3 +236,27 @@ def test_replay_gives_what_one_load_gives(spark, tmp_path):
     assert {t: sorted(map(str, lake.silver(t).read().collect())) for t in SILVER} == before
     history = spark.read.parquet(lake.path("load_history"))
     assert history.where("rejected = 0").count() == history.count() > 0
+
+
+def test_a_large_file_lands_by_many_tasks(spark, tmp_path):
+    """Files without a quoted line break are split, others are whole; names with signs of patterns and blanks are only names."""
+    lake, odd = Lake(spark, str(tmp_path)), "champions_ref [1] {a} %41 *.csv"
+    write(lake.path("landing"), odd, "id,name\n" + "\n".join(f"{i},name {i}" for i in range(3000)) + "\n")
+    write(lake.path("landing"), "champions_ref_2.csv", "id,name\n" + "\n".join(f'{i},"name\n{i}"' for i in range(3000, 3050)) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        refresh(lake, ("champions_ref",))
+        rows = lake.bronze("champions_ref")
+        assert rows.count() == 3050 and rows.where("cast(champion_id as long) % 3000 + 1 != file_row_number").count() == 0
+        assert rows.select("ldts").distinct().count() == 1
+        assert rows.where("champion_id >= 3000 and champion_name like '%\n%'").count() == 50
+        assert rows.where("cast(champion_id as long) < 3000").select(F.input_file_name()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_numbering_moves_no_rows(spark, tmp_path):
+    write(tmp_path, "champions_ref.csv", "id,name\n1,a\n2,b\n")
+    rows = landing.csv_rows(spark, [f"file:{tmp_path}/champions_ref.csv"], "champions_ref")
+    plan = landing.accepted_rows(landing.numbered(rows), landing.file_report(rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2 and "row_number()" not in plan
