@@ -6,9 +6,10 @@ corpus are tokens of their own; every other word is of a token that stands for i
 within the shape from its count in the corpus, its own occurrence left out. So every word of every text is predicted.
 
 The counts of words are over the whole corpus and grow with it: a table of all words, of which the most frequent are
-sent to the tasks and all others joined by a shuffle. The weights are fitted in numpy on the driver, on a bounded sample
-of about TRAIN_WINDOWS windows, an even share of all positions by hash. Scoring is in the tasks, over all words of all
-texts.
+sent to the tasks and all others joined by a shuffle. The weights are fitted on every window of every text, in the tasks:
+texts are dealt by hash into parts of about PART_WINDOWS windows; a first part is fitted from random weights, all others
+follow in ROUNDS rounds, in each of which every task goes on from the same weights and the mean of what they come to is
+where the next round begins. Scoring is in the tasks, over all words of all texts.
 """
 
 from __future__ import annotations
@@ -30,8 +31,14 @@ SHAPES = CLUSTER
 #: Neighbours on either side.
 SIDE = 2
 DIM = 24
-#: Windows that the weights are fitted on, about; where the corpus has more, an even share of them.
-TRAIN_WINDOWS = 200_000
+#: Windows of a part of the corpus, about: what a task holds and fits at once. All parts are fitted, however many they are.
+PART_WINDOWS = 200_000
+#: Parts that a task fits one after the other in a round, at most, and rounds after the first part.
+PARTS_OF_TASK, ROUNDS = 5, 4
+#: Windows of a step of the rounds, and the rate of the first round; it falls to nothing over the rounds.
+BATCH, RATE = 16_384, 0.016
+#: Blocks that weights are cut into on their way from the tasks.
+BLOCKS = 64
 #: Words whose counts are sent to all tasks at most; the counts of all others are joined by a shuffle. Changes no result.
 HEAD_WORDS = 100_000
 #: What every word of a shape has besides its count.
@@ -78,8 +85,10 @@ def vocabulary(docs: DataFrame) -> DataFrame:
 class Words:
     """What tasks know of the corpus: its frequent words by hash, with their tokens, and log P(word | shape) of the others."""
 
-    def __init__(self, frequent, of_shape: np.ndarray, kinds: np.ndarray) -> None:
-        """frequent: word, shape, n of the most frequent words; of_shape, kinds: words of each shape that are no tokens, counted and distinct."""
+    def __init__(self, frequent, of_shape: np.ndarray, kinds: np.ndarray, total: int) -> None:
+        """frequent: word, shape, n of the most frequent words; of_shape, kinds: words of each shape that are no tokens,
+        counted and distinct; total: all words, counted."""
+        self.total = total
         tops = frequent.sort_values(["n", "word"], ascending=[False, True]).reset_index(drop=True)
         rank, shape, n = np.arange(len(tops)), tops["shape"].to_numpy(np.int64), tops["n"].to_numpy(np.int64)
         own = rank < VOCABULARY - SHAPES
@@ -105,93 +114,211 @@ def padded(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return seq, np.flatnonzero(seq != VOCABULARY)
 
 
-def _sample(words, share: int):
-    """Windows (the context, then the token) at every place whose hash of place and word says so: one in `share`."""
+def _encoder(words):
+    """Texts as tokens of two bytes each, with the sum of log P(word | token) of the words known to the tasks, and the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, known = Hasher(), words()
         for b in batches:
             found = [words_and_shapes(text, hasher) for text in binary_texts(b.column("text"))]
-            seq, at = padded([known.tokens(*x)[0] for x in found])
-            order = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(x[0])) for x in found]])
-            at = at[mix(order.astype(np.uint64) + np.concatenate([np.zeros(0, np.int64), *[x[0] for x in found]]).view(np.uint64), 9) % np.uint64(share) == 0]
-            yield pa.RecordBatch.from_arrays([pa.array(seq[at + k]) for k in (*_CONTEXT, 0)], names=[f"c{k}" for k in range(2 * SIDE + 1)])
+            n = np.array([len(w) for w, _ in found], np.int64)
+            of = np.repeat(np.arange(len(n)), n)
+            word, shape = (np.concatenate(x) for x in zip((np.zeros(0, np.int64), np.zeros(0, np.int32)), *found, strict=True))
+            tokens, inside, rare = known.tokens(word, shape)
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of[rare], minlength=len(n)))]).astype(np.int32)
+            packed = pa.array([x.astype("<u2").tobytes() for x in np.split(tokens, np.cumsum(n)[:-1])][: len(n)], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row"), b.column("doc_id"), b.column("h"), pa.array(n), pa.array(np.bincount(of, inside, len(n))), packed, pa.ListArray.from_arrays(pa.array(ends), pa.array(word[rare]))],
+                names=["row", "doc_id", "h", "n_tokens", "inside", "tokens", "rare"],
+            )
 
     return run
 
 
+def encoded(rows: DataFrame, known: Words) -> DataFrame:
+    """rows (doc_id, text) as row, doc_id, h, n_tokens, inside, tokens, rare: see `_encoder`; h is a hash of id and text. Cut."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64(F.lit(5), "doc_id", "text").alias("h"), "text")
+    return cut(rows.mapInArrow(_encoder(to_tasks(rows.sparkSession, known)), f"row long, doc_id {kind}, h long, n_tokens long, inside double, tokens binary, rare array<bigint>"))
+
+
+def unpacked(column: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_py(), "<u2").astype(np.int32) for x in column]
+
+
+def distinct_windows(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different windows of texts: contexts, tokens, and how often each is seen."""
+    seq, at = padded(tokens)
+    key, bits = seq[at].astype(np.uint64), VOCABULARY.bit_length()  # 12 bits and four times 13: an edge is VOCABULARY
+    for j, k in enumerate(_CONTEXT):
+        key |= seq[at + k].astype(np.uint64) << np.uint64(bits * (j + 1) - 1)
+    key, n = np.unique(key, return_counts=True)
+    context = [key >> np.uint64(bits * (j + 1) - 1) & np.uint64((1 << bits) - 1) for j in range(2 * SIDE)]
+    return np.stack(context, axis=1).astype(np.int32), (key & np.uint64(VOCABULARY - 1)).astype(np.int64), n
+
+
 class Network:
     """Weights, and the log-probability of tokens in their contexts."""
 
     def __init__(self, seed: int = 3, dim: int = DIM) -> None:
         draw = np.random.default_rng(seed)
         shapes = {"in": (2 * SIDE, VOCABULARY + 1, dim), "hidden": (dim,), "cluster": (dim, VOCABULARY // CLUSTER), "cluster_bias": (VOCABULARY // CLUSTER,), "member": (VOCABULARY // CLUSTER, dim, CLUSTER), "member_bias": (VOCABULARY // CLUSTER, CLUSTER)}
+        self.moments: tuple = ()
         self.p = {k: (draw.normal(0, 0.1, s) if len(s) > 1 and "bias" not in k else np.zeros(s)).astype(np.float32) for k, s in shapes.items()}
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        return np.tanh(sum(self.p["in"][k][context[:, k]] for k in range(2 * SIDE)) + self.p["hidden"])
+        """What the network makes of contexts, and a last column of ones for the biases."""
+        h = np.ones((len(context), len(self.p["hidden"]) + 1), np.float32)
+        h[:, :-1] = np.tanh(sum(self.p["in"][k].take(context[:, k], axis=0) for k in range(2 * SIDE)) + self.p["hidden"])
+        return h
+
+    def outer(self) -> tuple[np.ndarray, np.ndarray, bool]:
+        """The matrices of the clusters and of their members, biases below, and whether no exponential of their logits can
+        overflow or vanish: what is hidden is within -1 and 1."""
+        p = self.p
+        clusters, members = np.vstack([p["cluster"], p["cluster_bias"]]), np.concatenate([p["member"], p["member_bias"][:, None]], axis=1)
+        return clusters, members, bool(np.abs(clusters).sum(0).max() <= 80 and np.abs(members).sum(1).max() <= 80)
 
     @staticmethod
-    def _log_softmax(z: np.ndarray) -> np.ndarray:
-        z = z - z.max(1, keepdims=True)
-        return z - np.log(np.exp(z).sum(1, keepdims=True))
-
-    def parts(self, h: np.ndarray, token: np.ndarray):
-        """Log-probabilities of all clusters, and for each cluster that occurs: its rows and the log-probabilities of its members."""
-        cluster = token // CLUSTER
-        order = np.argsort(cluster, kind="stable")
-        ends = np.searchsorted(cluster[order], np.arange(VOCABULARY // CLUSTER + 1))
-        yield self._log_softmax(h @ self.p["cluster"] + self.p["cluster_bias"])
-        for c in np.flatnonzero(np.diff(ends)):
-            rows = order[ends[c] : ends[c + 1]]
-            yield c, rows, self._log_softmax(h[rows] @ self.p["member"][c] + self.p["member_bias"][c])
+    def by_cluster(token: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+        """An order of tokens by cluster, and where each cluster that occurs then lies."""
+        cluster = (token // CLUSTER).astype(np.uint16)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(cluster, minlength=VOCABULARY // CLUSTER))])
+        return np.argsort(cluster, kind="stable"), [(c, slice(ends[c], ends[c + 1])) for c in np.flatnonzero(np.diff(ends))]
+
+    @staticmethod
+    def member_logits(h: np.ndarray, members: np.ndarray, clusters: list[tuple[int, slice]]) -> np.ndarray:
+        z = np.empty((len(h), CLUSTER), np.float32)
+        for c, at in clusters:
+            np.matmul(h[at], members[c], out=z[at])
+        return z
+
+    @staticmethod
+    def exponentials(z: np.ndarray, own: np.ndarray, safe: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The log-probability of `own` in each row of logits, and the sums of the exponentials, which take the place of z."""
+        if not safe:
+            z -= z.max(1, keepdims=True)
+        chosen = z[np.arange(len(z)), own]
+        sums = np.exp(z, out=z) @ np.ones(z.shape[1], z.dtype)
+        return chosen - np.log(sums), sums
 
     def log_p(self, context: np.ndarray, token: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(token), np.float32)
+        out, (first, members, safe) = np.zeros(len(token), np.float32), self.outer()
         for i in range(0, len(token), 16_384):
-            t = token[i : i + 16_384]
-            clusters, *members = self.parts(self.hidden(context[i : i + 16_384]), t)
-            part = clusters[np.arange(len(t)), t // CLUSTER]
-            for _, rows, logp in members:
-                part[rows] += logp[np.arange(len(rows)), t[rows] % CLUSTER]
-            out[i : i + 16_384] = part
+            order, clusters = self.by_cluster(token[i : i + 16_384])
+            t, h = token[i : i + 16_384][order], self.hidden(context[i : i + 16_384].take(order, axis=0))
+            for z, own in ((h @ first, t // CLUSTER), (self.member_logits(h, members, clusters), t % CLUSTER)):
+                out[i + order] += self.exponentials(z, own, safe)[0]
         return out
 
-    def fit(self, context: np.ndarray, token: np.ndarray, weight: np.ndarray, *, epochs: int = 4, batch: int = 1024, rate: float = 0.01, steps: int = 200, seed: int = 5) -> Network:
+    def fit(self, context: np.ndarray, token: np.ndarray, weight: np.ndarray, *, epochs: int = 4, batch: int = 1024, rate: float = 0.01, steps: int = 200, seed: int = 5, resume: bool = False) -> Network:
         """Adam on the weighted log loss, for so many epochs and at least so many steps. The biases begin at the
-        frequencies of the tokens."""
+        frequencies of the tokens, unless the fit resumes an earlier one."""
         p, draw = self.p, np.random.default_rng(seed)
-        counts = np.bincount(token, weight, VOCABULARY).reshape(-1, CLUSTER) + 0.01
-        p["cluster_bias"] += np.log(counts.sum(1) / counts.sum()).astype(np.float32)
-        p["member_bias"] += np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32)
-        first, second, t = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0
+        if not resume:
+            counts = np.bincount(token, weight, VOCABULARY).reshape(-1, CLUSTER) + 0.01
+            p["cluster_bias"] += np.log(counts.sum(1) / counts.sum()).astype(np.float32)
+            p["member_bias"] += np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32)
+        first, second, t = self.moments or ({k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}, 0)
         epochs = max(epochs, -(-steps // -(-len(token) // batch))) if len(token) else 0
         for epoch in range(epochs):
             for part in np.array_split(draw.permutation(len(token)), -(-len(token) // batch)):
-                c, tok, w = context[part], token[part], (weight[part] / weight[part].sum()).astype(np.float32)[:, None]
-                h, g = self.hidden(c), {k: np.zeros_like(x) for k, x in p.items()}
-                clusters, *members = self.parts(h, tok)
-                dz = np.exp(clusters)
-                dz[np.arange(len(tok)), tok // CLUSTER] -= 1
-                dz *= w
-                g["cluster"], g["cluster_bias"], dh = h.T @ dz, dz.sum(0), dz @ p["cluster"].T
-                for k, rows, logp in members:
-                    dm = np.exp(logp)
-                    dm[np.arange(len(rows)), tok[rows] % CLUSTER] -= 1
-                    dm *= w[rows]
-                    g["member"][k], g["member_bias"][k] = h[rows].T @ dm, dm.sum(0)
-                    dh[rows] += dm @ p["member"][k].T
-                dh *= 1 - h * h
-                g["hidden"] = dh.sum(0)
+                order, clusters = self.by_cluster(token[part])
+                part = part[order]
+                c, tok, w = context.take(part, axis=0), token[part], (weight[part] / weight[part].sum()).astype(np.float32)
+                (outer, members, safe), h, at_row = self.outer(), self.hidden(c), np.arange(len(tok))
+                both = []
+                for z, own in ((h @ outer, tok // CLUSTER), (self.member_logits(h, members, clusters), tok % CLUSTER)):
+                    z *= (w / self.exponentials(z, own, safe)[1])[:, None]
+                    z[at_row, own] -= w
+                    both.append(z)
+                d_outer, d_members, dh = h.T @ both[0], np.zeros_like(members), both[0] @ p["cluster"].T
+                for k, at in clusters:
+                    d_members[k] = h[at].T @ both[1][at]
+                    dh[at] += both[1][at] @ p["member"][k].T
+                dh *= 1 - h[:, :-1] * h[:, :-1]
+                g = {"cluster": d_outer[:-1], "cluster_bias": d_outer[-1], "member": d_members[:, :-1], "member_bias": d_members[:, -1], "hidden": dh.sum(0), "in": np.empty_like(p["in"])}
+                turned = np.ascontiguousarray(dh.T, np.float64)
                 for k in range(2 * SIDE):
-                    np.add.at(g["in"][k], c[:, k], dh)
+                    column = c[:, k].astype(np.int64)
+                    g["in"][k] = np.stack([np.bincount(column, x, VOCABULARY + 1) for x in turned], axis=1)
                 t += 1
                 for k in p:
                     first[k] += 0.1 * (g[k] - first[k])
                     second[k] += 0.01 * (g[k] * g[k] - second[k])
                     p[k] -= rate * (1 - epoch / epochs) / (1 - 0.9**t) * first[k] / (np.sqrt(second[k] / (1 - 0.99**t)) + 1e-8)
+        self.moments = first, second, t
         return self
 
+    def vector(self) -> np.ndarray:
+        return np.concatenate([self.p[k].ravel() for k in sorted(self.p)])
+
+    def take(self, vector: np.ndarray) -> Network:
+        """The weights of `vector`, and no moments of an earlier fit."""
+        at, self.moments = 0, ()
+        for k in sorted(self.p):
+            self.p[k] = vector[at : at + self.p[k].size].reshape(self.p[k].shape).astype(np.float32)
+            at += self.p[k].size
+        return self
+
+
+def _fitter(model, windows: int, how: dict, resume: bool):
+    """Goes on from the weights of `model` with every window of its rows, about `windows` at once; yields the weights by block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network, held, size, seen = model(), [], 0, 0
+
+        def fit() -> None:
+            context, token, n = distinct_windows(held)
+            # a window counts by the square root of how often it is seen, so that copies do not drown the rest
+            network.fit(context, token, np.sqrt(n), **how, resume=resume or seen > 0)
+
+        for b in batches:
+            for tokens in unpacked(b.column("tokens")):
+                held.append(tokens)
+                size += len(tokens)
+                if size >= windows:
+                    fit()
+                    held, size, seen = [], 0, seen + size
+        if size:
+            fit()
+        if seen + size:
+            blocks = [x.astype("<f4").tobytes() for x in np.array_split(network.vector(), BLOCKS)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([seen + size] * BLOCKS, pa.int64()), pa.array(blocks, pa.binary())], names=["block", "n", "weights"])
+
+    return run
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    """The mean of a block over the tasks, by their windows; and these."""
+    n = table["n"].to_numpy()
+    total = sum(k * np.frombuffer(x.as_py(), "<f4").astype(np.float64) for k, x in zip(n, table["weights"], strict=True))
+    return pa.table({"block": table["block"][:1].cast(pa.int32()), "n": pa.array([int(n.sum())], pa.int64()), "weights": pa.array([(total / n.sum()).astype("<f4").tobytes()], pa.binary())})
+
+
+def fit_weights(texts: DataFrame, total: int, windows: int = PART_WINDOWS) -> Network:
+    """The network fitted on all `total` windows of texts (h, n_tokens, tokens), in parts of about `windows`.
+
+    A text is in one part, by its hash, and parts are taken in order of part and hash, so the weights do not depend on how
+    texts are partitioned, but for the rounding of means.
+    """
+    network, parts = Network(), max(1, -(-total // windows))
+    spark, network.windows = texts.sparkSession, 0
+    texts = texts.where("n_tokens > 0").select(F.pmod("h", F.lit(parts)).cast("int").alias("part"), "h", "tokens")
+    rounds = min(ROUNDS, parts - 1)
+    ends = [0, 1, *(1 + (parts - 1) * (r + 1) // rounds for r in range(rounds))]
+    for r, (low, high) in enumerate(zip(ends, ends[1:])):
+        how = {"epochs": 1, "steps": 0, "batch": BATCH, "rate": RATE * (1 - (r - 1) / rounds)} if r else {}
+        tasks = -(-(high - low) // PARTS_OF_TASK)
+        dealt = texts.where(F.col("part").between(low, high - 1)).repartitionById(tasks, F.expr(f"cast((part - {low}) % {tasks} as int)")).sortWithinPartitions("part", "h")
+        # the first part is fitted in one go, unless few texts hold most of it
+        fitted = dealt.mapInArrow(_fitter(to_tasks(spark, network), windows if r else 4 * windows, how, network.windows > 0), "block int, n long, weights binary")
+        blocks = sorted(fitted.groupBy("block").applyInArrow(_mean, "block int, n long, weights binary").collect())
+        if blocks:
+            seen = network.windows + blocks[0].n
+            network.take(np.concatenate([np.frombuffer(x.weights, "<f4") for x in blocks])).windows = seen
+    return network
+
 
 def frequent_words(words: DataFrame, most: int):
     """The words that occur at least so often that there are at most `most` of them, as pandas: word, shape, n."""
@@ -206,48 +333,39 @@ def frequent_words(words: DataFrame, most: int):
     return words.where(F.lit(False) if least is None else F.col("n") >= least).select("word", "shape", "n").toPandas()
 
 
-def train(rows: DataFrame, words: DataFrame, *, head_words: int = HEAD_WORDS, windows: int = TRAIN_WINDOWS) -> tuple[Words, Network]:
-    """The known words and the fitted network, from the counts of all words and a sample of the windows of rows (text)."""
+def known_words(words: DataFrame, head_words: int = HEAD_WORDS) -> Words:
+    """What tasks are to know, from the counts of all words."""
     frequent = frequent_words(words, max(head_words, VOCABULARY - SHAPES))
     tops = frequent.sort_values(["n", "word"], ascending=[False, True])["n"].head(VOCABULARY - SHAPES)
     sums = {r["shape"]: (r["n"], r["k"]) for r in words.groupBy("shape").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).collect()}
     of_shape, kinds = (np.array([sums.get(s, (0, 0))[i] for s in range(SHAPES)], np.int64) for i in (0, 1))
-    chosen = frequent.loc[tops.index]
+    total, chosen = int(of_shape.sum()), frequent.loc[tops.index]
     np.subtract.at(of_shape, chosen["shape"].to_numpy(np.int64), chosen["n"].to_numpy(np.int64))
     np.subtract.at(kinds, chosen["shape"].to_numpy(np.int64), 1)
-    known = Words(frequent, of_shape, kinds)
-    # texts first, by hash, then places in them
-    total = sum(n for n, _ in sums.values())
-    of_texts = max(1, total // (windows * 16))
-    share = max(1, round(total / of_texts / windows))
-    names = [f"c{k}" for k in range(2 * SIDE + 1)]
-    picked = rows.where(F.pmod(F.xxhash64(F.lit(5), "doc_id", "text"), F.lit(of_texts)) == 0).select("text")
-    picked = picked.mapInArrow(_sample(to_tasks(rows.sparkSession, known), share), ", ".join(f"{c} int" for c in names))
-    found = picked.groupBy(*names).agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(names)
-    # a window counts by the square root of how often it is seen, so that copies do not drown the rest
-    context, token = found[names[:-1]].to_numpy(np.int32), found[names[-1]].to_numpy(np.int64)
-    return known, Network().fit(context, token, np.sqrt(found["n"].to_numpy(np.float64)))
+    return Words(frequent, of_shape, kinds, total)
+
+
+def train(rows: DataFrame, words: DataFrame, *, head_words: int = HEAD_WORDS, windows: int = PART_WINDOWS) -> tuple[Words, Network]:
+    """The known words, from the counts of all words, and the network fitted on all windows of rows (doc_id, text)."""
+    known = known_words(words, head_words)
+    return known, fit_weights(encoded(rows, known), known.total, windows)
 
 
 def _scorer(model):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, (known, network) = Hasher(), model()
+        network = model()
         for b in batches:
-            found = [words_and_shapes(text, hasher) for text in binary_texts(b.column("text"))]
-            n = np.array([len(w) for w, _ in found], np.int64)
-            of = np.repeat(np.arange(len(n)), n)
-            tokens, inside, rare = known.tokens(*(np.concatenate(x) for x in zip((np.zeros(0, np.int64), np.zeros(0, np.int32)), *found, strict=True)))
-            seq, at = padded(np.split(tokens.astype(np.int32), np.cumsum(n)[:-1]))
+            tokens = unpacked(b.column("tokens"))
+            n = np.array([len(x) for x in tokens], np.int64)
+            seq, at = padded(tokens)
             logp = network.log_p(np.stack([seq[at + k] for k in _CONTEXT], axis=1), seq[at])
-            total = np.bincount(of, logp.astype(np.float64) + inside, len(n))
-            words = np.concatenate([np.zeros(0, np.int64), *[w for w, _ in found]])[rare]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(of[rare], minlength=len(n)))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), pa.array(n), pa.array(total), pa.ListArray.from_arrays(pa.array(ends), pa.array(words))], names=["row", "doc_id", "n_tokens", "total", "rare"])
+            total = np.bincount(np.repeat(np.arange(len(n)), n), logp.astype(np.float64), len(n)) + b.column("inside").to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("doc_id"), b.column("n_tokens"), pa.array(total)], names=["row", "doc_id", "n_tokens", "total"])
 
     return score
 
 
-def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS, windows: int = TRAIN_WINDOWS) -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", head_words: int = HEAD_WORDS, windows: int = PART_WINDOWS) -> DataFrame:
     """One row per row of docs: doc_id, n_tokens, pseudo_log_likelihood (the sum over all words), mean_log_likelihood.
 
     A word's probability is that of its token between its neighbours, times, for a word that is no token, its own within
@@ -257,14 +375,15 @@ def pseudo_likelihood(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     rows = id_text(docs, id_col, text_col)
     words = vocabulary(rows)
-    known, network = train(rows, words, head_words=head_words, windows=windows)
-    model = to_tasks(docs.sparkSession, (known, network))
+    known = known_words(words, head_words)
+    texts = encoded(rows, known)
+    network = fit_weights(texts, known.total, windows)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(_scorer(model), f"row long, doc_id {kind}, n_tokens long, total double, rare array<bigint>")
+    scored = texts.select("row", "doc_id", "n_tokens", "inside", "tokens").mapInArrow(_scorer(to_tasks(docs.sparkSession, network)), f"row long, doc_id {kind}, n_tokens long, total double")
     scored = cut(scored)
     inside = F.log(F.col("n") - 1 + F.lit(ALPHA)) - F.get(F.array(*[F.lit(float(x)) for x in known.log_shape]), F.col("shape"))
-    rare = scored.select("row", F.explode("rare").alias("word")).join(words.select("word", inside.alias("inside")), "word").groupBy("row").agg(F.sum("inside").alias("inside"))
-    scored = scored.drop("rare").join(rare, "row", "left")
+    rare = texts.select("row", F.explode("rare").alias("word")).join(words.select("word", inside.alias("inside")), "word").groupBy("row").agg(F.sum("inside").alias("inside"))
+    scored = scored.join(rare, "row", "left")
     scored = scored.select("doc_id", "n_tokens", (F.col("total") + F.coalesce("inside", F.lit(0.0))).alias("pseudo_log_likelihood"))
     return scored.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("pseudo_log_likelihood") / F.col("n_tokens")))
 

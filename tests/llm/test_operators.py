@@ -516,6 +516,42 @@ def test_every_word_is_predicted(spark):
     assert tuple(count) == (len(common) + 2, 10 * len(common) + 9 * 3)
 
 
+def test_network_is_fitted_on_all_windows(spark):
+    """Of a corpus of many parts every window is fitted: no token that occurs keeps its random weights. How texts are
+    partitioned does not matter."""
+    from strataforge.llm.common import id_text
+
+    texts = [(i, " ".join(f"{chr(97 + j % 26)}{j}" for j in range(40 * i, 40 * i + 40))) for i in range(90)]
+    fitted = []
+    for n in (1, 7):
+        rows = id_text(docs(spark, texts)).repartition(n)
+        known, network = lm_score.train(rows, lm_score.vocabulary(rows), windows=100)
+        fitted.append(network)
+    assert set(lm_score.SHAPES + np.arange(3600)) == set(known.token.tolist())
+    moved = (network.p["in"] != lm_score.Network().p["in"]).any(axis=2)
+    assert moved[:, known.token].any(axis=0).all() and network.windows == known.total == 3600
+    assert all(np.allclose(fitted[0].p[k], fitted[1].p[k], atol=1e-4) for k in network.p)
+
+
+def test_distinct_windows():
+    texts = [np.array(x, np.int32) for x in ([5, 4095, 5], [], [0], [5, 4095, 5])]
+    context, token, n = lm_score.distinct_windows(texts)
+    e = lm_score.VOCABULARY
+    want = {(e, e, 4095, 5, 5): 2, (e, 5, 5, e, 4095): 2, (5, 4095, e, e, 5): 2, (e, e, e, e, 0): 1}
+    assert {(*map(int, c), int(t)): int(k) for c, t, k in zip(context, token, n, strict=True)} == want
+
+
+def test_network_with_large_weights():
+    """Logits beyond the range of exponentials give finite log-probabilities, and a fit goes on from them."""
+    net = lm_score.Network()
+    net.p["cluster_bias"][3], net.p["member_bias"][:, 1] = 200, -300
+    context, token = np.full((4, 4), lm_score.VOCABULARY, np.int32), np.array([0, 1, 200, 193])
+    assert net.log_p(context, token)[[0, 2]] == pytest.approx([-200 - np.log(63), -np.log(63)], abs=1.0)
+    assert np.isfinite(net.log_p(context, token)).all()
+    net.fit(context, token, np.ones(4), resume=True, steps=3, epochs=1)
+    assert all(np.isfinite(x).all() for x in net.p.values())
+
+
 # --- 8 --------------------------------------------------------------------------------------------------------------
 
 
