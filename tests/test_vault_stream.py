@@ -186,3 +186,47 @@ def test_only_the_derived_table_asked_for_is_filled(spark, data, monkeypatch):
     assert season_queries.QUERIES["vault_items"](spark, data).count() > 0
     streams, = season_queries._RUNS.values()
     assert [t for t in DERIVED if streams.read(t).count()] == ["items"]
+
+
+def moves(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_stored_rows_stay_where_they_are(spark, tmp_path):
+    """What compares staged rows with hub and satellite, and joins these, finds its rows in their buckets."""
+    streams = VaultStreams(spark, str(tmp_path))
+    streams.load("a", [streams.deliver(staged(spark))])
+    streams.load("b", [streams.deliver(later(staged(spark)))])
+    rows = streams._stored(F.col("target").isin("staged", "satellite")).withColumn("_known", F.col("target") == "satellite")
+    hub, satellite = (streams._stored(F.col("target") == t) for t in ("hub", "satellite"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert [moves(df) for df in (vault.first_hub_rows(rows), vault.first_states(rows), vault.numbered(satellite, hub), streams.known_states())] == [0] * 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_deliveries_are_as_other_staged_files(spark, tmp_path, expected):
+    """A delivery is read where it is, in parts if its files come in parts; one that is repeated adds nothing."""
+    streams, parts = (VaultStreams(spark, f"{tmp_path}/{x}") for x in ("whole", "parts"))
+    for rows in (staged(spark), later(staged(spark)), staged(spark)):
+        streams.deliver(rows)
+        parts.deliver(rows)
+        streams.run()
+        parts.run(files_at_once=2)
+    assert contents(streams) == expected == contents(parts)
+    again = VaultStreams(spark, f"{tmp_path}/whole")
+    assert contents(again) == expected and again._keyed == streams._keyed
+
+
+def test_states_of_any_text(spark, tmp_path):
+    """Nulls, empty texts and those that hold what states are packed with come through as they are."""
+    values = [None, "", "a", "\x00", "\x1f", "a\x1fb", "\x00\x1f", "^", " x"]
+    rows = staged(spark).limit(1).drop("kills", "item_0", "id").crossJoin(spark.createDataFrame([(f"{i}", a, b) for i, (a, b) in enumerate((a, b) for a in values for b in values)], "id string, kills string, item_0 string"))
+    streams = VaultStreams(spark, str(tmp_path))
+    streams.load("a", [streams.deliver(rows.unionByName(rows))])
+    want = vault.with_hashes(rows).select("hub_hash", "diff_hash", *vault.STATE)
+    got = streams.read("satellite").select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    streams.load("b", [streams.deliver(rows.withColumn("id", F.concat(F.lit(" "), "id")))])
+    assert streams.read("satellite").count() == streams.read("hub").count() == len(values) ** 2
