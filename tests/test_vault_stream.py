@@ -230,3 +230,7 @@ def test_states_of_any_text(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     streams.load("b", [streams.deliver(rows.withColumn("id", F.concat(F.lit(" "), "id")))])
     assert streams.read("satellite").count() == streams.read("hub").count() == len(values) ** 2
+
+
+def test_combat_moves_no_rows(spark, data):
+    assert moves(season_queries.QUERIES["vault_combat"](spark, data)) == 0
