@@ -245,3 +245,13 @@ def test_stored_tables_of_players_are_joined_where_they_are(spark, data):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Join" in plan and "Exchange" not in plan
+
+
+def test_the_report_stores_what_its_checks_read(spark, data, monkeypatch):
+    from strataforge import season_queries as q
+
+    kept, store = {}, q.stored
+    monkeypatch.setattr(q, "stored", lambda tables, s: kept.update(tables) or store(tables, s))
+    total = q.dq_report(spark, data).where("check_id < 99").agg({"n_failures": "sum"}).first()[0]
+    assert "diff_intervals" not in kept and not set(q.UNCHECKED) & set(kept["intervals"].columns) and set(q.quality.MODEL_KEYS) < set(kept)
+    assert kept["failures"].count() == total > 0
